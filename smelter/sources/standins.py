@@ -12,8 +12,13 @@ from __future__ import annotations
 
 import re
 
-# Fixed stand-in definitions (documented in FIXTURES.md, part B).
-STANDIN_SQL = {
+from smelter.functions.columns import round_half_up_sql
+
+# Fixed stand-in definitions (documented in FIXTURES.md, part B).  The only
+# change from that text: ``round(x, 2)`` is written as the tie-safe rounding of
+# ``functions.columns`` (``{ROUND2:x}``), because Spark and DuckDB round exact
+# decimal ties of doubles differently (116 of 60,000 revenue values at sf0.01).
+_STANDIN_TEMPLATES = {
     "v_telemetry": """
 SELECT event_id AS reading_seq, CAST(user_id AS INT) AS furnace_id, CAST(date_trunc('hour', ts) AS TIMESTAMP) AS ts,
   CAST(950 AS DOUBLE) + value AS temperature_c,
@@ -37,18 +42,18 @@ SELECT p_partkey AS product_id, p_name AS product_name, p_type AS alloy_id, p_br
     "v_fact_production": """
 SELECT CAST(l_shipdate AS DATE) AS date, s_nationkey AS plant_id, CAST(l_suppkey AS INT) AS furnace_id, p_type AS alloy_id, l_partkey AS product_id,
   l_quantity AS tons_produced, l_extendedprice AS energy_kwh, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS defects,
-  round(l_extendedprice / 1000 * 320, 2) AS energy_cost_brl
+  {ROUND2:l_extendedprice / 1000 * 320} AS energy_cost_brl
 FROM {lineitem} JOIN {part} ON l_partkey = p_partkey JOIN {supplier} ON l_suppkey = s_suppkey""",
     "v_fact_sales": """
 SELECT CAST(o_orderdate AS DATE) AS date, l_partkey AS product_id, p_type AS alloy_id, r_name AS region,
   CASE WHEN r_name = 'EUROPE' THEN 'Externo' ELSE 'Interno' END AS market, c_mktsegment AS customer_segment,
   l_quantity AS tons_sold, p_retailprice AS lme_price_usd_ton,
   CAST(5 AS DOUBLE) + CAST(extract(day FROM o_orderdate) AS DOUBLE) / 100 AS usd_brl,
-  round(l_extendedprice * (1 - l_discount), 2) AS revenue_brl
+  {ROUND2:l_extendedprice * (1 - l_discount)} AS revenue_brl
 FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey JOIN {part} ON l_partkey = p_partkey
   JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey""",
     "v_lme": """
-SELECT CAST(o_orderdate AS DATE) AS date, round(avg(o_totalprice) / 50, 2) AS lme_price_usd_ton FROM {orders} GROUP BY CAST(o_orderdate AS DATE)""",
+SELECT CAST(o_orderdate AS DATE) AS date, {ROUND2:avg(o_totalprice) / 50} AS lme_price_usd_ton FROM {orders} GROUP BY CAST(o_orderdate AS DATE)""",
     "v_fx": """
 SELECT DISTINCT CAST(o_orderdate AS DATE) AS date, CAST(5 AS DOUBLE) + CAST(extract(day FROM o_orderdate) AS DOUBLE) / 100 AS usd_brl
 FROM {orders} WHERE extract(day FROM o_orderdate) <> 15""",
@@ -63,6 +68,10 @@ FROM {documents} JOIN {labels} USING (doc_id)""",
 SELECT doc_id AS id, source AS titulo, text AS conteudo FROM {documents}""",
 }
 
+_ROUND2 = re.compile(r"\{ROUND2:([^}]*)\}")
+STANDIN_SQL = {name: _ROUND2.sub(lambda m: round_half_up_sql(m.group(1), 2), body)
+               for name, body in _STANDIN_TEMPLATES.items()}
+
 # Role name used by the library -> stand-in view.
 ROLES = {
     "telemetry": "v_telemetry",
