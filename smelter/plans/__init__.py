@@ -1,4 +1,4 @@
 """Registered queries (one module per area) and their DuckDB oracles."""
 
-from smelter.plans import exploration, market, medallion  # noqa: F401  (registers queries)
+from smelter.plans import exploration, market, medallion, semantic  # noqa: F401  (registers queries)
 from smelter.plans.registry import OPERATORS, ORACLES, QUERIES  # noqa: F401
