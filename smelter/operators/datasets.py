@@ -19,6 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from smelter.functions.columns import round_half_up
 from smelter.operators import cleaning
 
 
@@ -65,7 +66,7 @@ def rule_report(df: DataFrame, rules: list[Expectation]) -> DataFrame:
         "rule", "action", "predicate", "rows_checked",
         (F.col("rows_checked") - F.col("violated")).alias("passed"),
         F.col("violated"),
-        F.round(F.try_divide(F.col("violated") * 100.0, F.col("rows_checked")), 4)
+        round_half_up(F.try_divide(F.col("violated") * 100.0, F.col("rows_checked")), 4)
         .alias("violated_pct"),
     )
 
