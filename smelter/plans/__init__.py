@@ -1,4 +1,4 @@
 """Registered queries (one module per area) and their DuckDB oracles."""
 
-from smelter.plans import exploration, ingest, market, medallion, profiling, semantic  # noqa: F401  (registers queries)
+from smelter.plans import exploration, ingest, market, medallion, profiling, semantic, versions  # noqa: F401,E501
 from smelter.plans.registry import OPERATORS, ORACLES, QUERIES  # noqa: F401
