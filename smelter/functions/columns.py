@@ -19,14 +19,15 @@ def round_half_up(c, digits: int) -> Column:
     """``round(c, digits)`` half away from zero, tolerant to sum-order noise."""
     x = _col(c)
     scale = float(10 ** digits)
-    return F.signum(x) * F.floor(F.abs(x) * scale + (0.5 + TIE_EPSILON)) / scale
+    # "+ 0.0" turns the -0.0 of a tiny negative value into 0.0
+    return F.signum(x) * F.floor(F.abs(x) * scale + (0.5 + TIE_EPSILON)) / scale + 0.0
 
 
 def round_half_up_sql(expr: str, digits: int) -> str:
     """The same rounding as SQL text (Spark and DuckDB both accept it)."""
     scale = float(10 ** digits)
     return (f"(sign({expr}) * floor(abs({expr}) * {scale!r} + {0.5 + TIE_EPSILON!r})"
-            f" / {scale!r})")
+            f" / {scale!r} + 0.0)")
 
 
 def safe_ratio(num, den) -> Column:

@@ -26,6 +26,7 @@ from pyspark.sql.streaming import StreamingQuery
 from smelter.operators import cleaning, datasets
 
 _CHECKPOINTS_IN_USE: dict[str, str] = {}
+INFER_SAMPLE_FILES = 100  # files probed to type a newly appeared column
 
 
 def claim_checkpoint(checkpoint: str, owner: str) -> None:
@@ -84,16 +85,37 @@ def _write_text(spark: SparkSession, path: str, text: str) -> None:
 
 
 def evolve_schema(spark: SparkSession, landing: str, schema_file: str,
-                  declared: T.StructType) -> T.StructType:
-    """Stored schema widened with columns that newly appeared in the landed
-    headers (typed by inference on the probe, appended at the end)."""
+                  declared: T.StructType, modified_after: str | None = None) -> T.StructType:
+    """Stored schema widened with columns that newly appeared in landed headers.
+
+    Distinct header lines are found with one scan of the landing files (only
+    files modified after ``modified_after`` when given); files carrying a new
+    header are then probed with type inference and their extra columns are
+    appended at the end.  Old columns keep their declared types.
+    """
     current = stored_schema(spark, schema_file) or declared
-    probe = spark.read.option("header", True).option("inferSchema", True).csv(landing)
-    names = {f.name for f in current.fields}
-    wider = T.StructType(list(current.fields) +
-                         [f for f in probe.schema.fields if f.name not in names])
-    _write_text(spark, schema_file, json.dumps(wider.jsonValue()))
-    return wider
+    reader = spark.read
+    if modified_after:
+        reader = reader.option("modifiedAfter", modified_after)
+    first = current.fieldNames()[0]
+    lines = reader.text(landing).filter(F.col("value").startswith(first))
+    names = set(current.fieldNames())
+    wider = list(current.fields)
+    for row in lines.select("value").distinct().collect():  # distinct headers: a handful
+        cols = [c.strip() for c in row.value.split(",")]
+        if set(cols) <= names:
+            continue
+        # type inference on a bounded sample of the files carrying the new header
+        sample = [r.f for r in lines.filter(F.col("value") == row.value)
+                  .select(F.col("_metadata.file_path").alias("f")).distinct().limit(INFER_SAMPLE_FILES).collect()]
+        probe = spark.read.option("header", True).option("inferSchema", True).csv(sample)
+        for f in probe.schema.fields:
+            if f.name not in names:
+                wider.append(f)
+                names.add(f.name)
+    out = T.StructType(wider)
+    _write_text(spark, schema_file, json.dumps(out.jsonValue()))
+    return out
 
 
 def silver_stream(bronze: DataFrame, watermark: str = "1 day") -> DataFrame:
