@@ -73,3 +73,21 @@ def market_class(c) -> Column:
 
 def logistic(x) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-_col(x)))
+
+
+# The failure-probability rule of the source data model,
+# logit = -5.2 + 1.3 * anode_effect + 0.55 * (vibration - 2.0) + 0.18 * |temperature - 960|.
+FAILURE_LOGIT_INTERCEPT = -5.2
+FAILURE_LOGIT_ANODE = 1.3
+FAILURE_LOGIT_VIBRATION = 0.55
+FAILURE_VIBRATION_REFERENCE = 2.0
+FAILURE_LOGIT_TEMP_DEVIATION = 0.18
+TEMPERATURE_SETPOINT = 960.0
+
+
+def failure_probability(anode="anode_effect", vibration="vibration_mm_s", temperature="temperature_c") -> Column:
+    logit = (F.lit(FAILURE_LOGIT_INTERCEPT)
+             + FAILURE_LOGIT_ANODE * _col(anode)
+             + FAILURE_LOGIT_VIBRATION * (_col(vibration) - FAILURE_VIBRATION_REFERENCE)
+             + FAILURE_LOGIT_TEMP_DEVIATION * F.abs(_col(temperature) - TEMPERATURE_SETPOINT))
+    return logistic(logit)

@@ -9,6 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from smelter.functions.columns import nan_to_null
 from smelter.operators.sizing import broadcast_if_small
 
 # Declared telemetry schema (column -> Spark SQL type).
@@ -46,7 +47,10 @@ def typed(df: DataFrame, types: dict[str, str] = TELEMETRY_TYPES) -> DataFrame:
     out = []
     for name in df.columns:
         if name in types:
-            out.append(F.col(name).try_cast(types[name]).alias(name))
+            c = F.col(name).try_cast(types[name])
+            if types[name] == "double":
+                c = nan_to_null(c)  # "NaN" text or NaN doubles mean missing
+            out.append(c.alias(name))
         else:
             out.append(F.col(name))
     return df.select(*out)

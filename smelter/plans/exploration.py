@@ -120,7 +120,7 @@ def q_external_by_region(t):
     return explore.external_by_region(t.role("sales"))
 
 
-@register("price_fx_by_month", ("AGG9", "FN20"), duckdb_with("sales") + f"""
+@register("price_fx_by_month", ("AGG9", "FN20", "TRAP8"), duckdb_with("sales") + f"""
 SELECT {MONTH} AS month, {r('avg(lme_price_usd_ton)', 2)} AS avg_lme_usd_ton,
        {r('avg(usd_brl)', 4)} AS avg_usd_brl, {r('avg(lme_price_usd_ton * usd_brl)', 2)} AS avg_price_brl_ton
 FROM sales GROUP BY {MONTH}""")

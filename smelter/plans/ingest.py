@@ -112,11 +112,21 @@ def q_required_inputs(t):
     return files.missing_inputs(inv, required)
 
 
+@register("published_gold", ("SNK3", "SRC3", "SNK1"), GOLD_SQL + "\nSELECT * FROM gold_oee")
+def q_published_gold(t):
+    """Furnace-day gold published as a named table with comment and layer
+    property, then scanned by name."""
+    path = os.path.join(scratch_dir(t.spark, "published"), "telemetry_gold_furnace_day")
+    return files.publish(gold(t), "telemetry_gold_furnace_day", path,
+                         "Daily indicators per furnace: energy, failure rate, availability.",
+                         {"quality": "gold"})
+
+
 GOLD_LOAD_ROLES = ["plants", "alloys", "products", "furnaces", "lme", "fx", "production", "sales",
                    "inspections", "telemetry"]
 
 
-@register("gold_load", ("SNK1", "SNK5", "AGG29"), duckdb_with(*GOLD_LOAD_ROLES) + "\nUNION ALL\n".join(
+@register("gold_load", ("SNK1", "SNK5", "AGG29", "TRAP12"), duckdb_with(*GOLD_LOAD_ROLES) + "\nUNION ALL\n".join(
     f"SELECT '{role}' AS table_name, count(*) AS rows FROM {role}" for role in GOLD_LOAD_ROLES))
 def q_gold_load(t):
     """Bulk load of the ten role tables; loaded row counts read back."""

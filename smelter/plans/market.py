@@ -41,7 +41,7 @@ def q_market_range(t):
     return lme.join(fx, "date", "inner")
 
 
-@register("margin_rows", ("JN5", "PRJ5", "FN11", "FN20", "TRAP13"), MARGIN_SQL + "\nSELECT * FROM margins2")
+@register("margin_rows", ("JN5", "PRJ5", "FN11", "FN20", "TRAP13", "TRAP6"), MARGIN_SQL + "\nSELECT * FROM margins2")
 def q_margin_rows(t):
     return _margins(t)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from smelter.functions.columns import round_half_up_sql as r
+from smelter.functions.columns import failure_probability, round_half_up, round_half_up_sql as r
 from smelter.operators import cleaning, datasets, rollups
 from smelter.plans.registry import register
 from smelter.sources.standins import duckdb_ctes, duckdb_with
@@ -55,7 +55,7 @@ def gold(t):
     return rollups.furnace_day(silver(t))
 
 
-@register("silver_clean", ("PRJ1", "PRJ2", "PRJ9", "FLT1", "FN19", "WIN1", "WIN2", "DQ5", "AGG22"),
+@register("silver_clean", ("PRJ1", "PRJ2", "PRJ9", "FLT1", "FN19", "WIN1", "WIN2", "DQ5", "AGG22", "SRC13", "FN8", "FN9", "FN10", "TRAP5"),
           SILVER_SQL + "\nSELECT * FROM silver")
 def q_silver_clean(t):
     """Typed telemetry, per-furnace median fill with audit flag, range filter, dedup."""
@@ -71,12 +71,12 @@ def q_silver_audit(t):
     return cleaning.imputation_audit(silver(t))
 
 
-@register("gold_furnace_day", ("AGG2", "PRJ12", "FN1", "FN2"), GOLD_SQL + "\nSELECT * FROM gold_oee")
+@register("gold_furnace_day", ("AGG2", "PRJ12", "FN1", "FN2", "TRAP4", "TRAP6"), GOLD_SQL + "\nSELECT * FROM gold_oee")
 def q_gold_furnace_day(t):
     return gold(t)
 
 
-@register("gold_furnace_day_lite", ("AGG3", "STR5"), duckdb_with("telemetry") + f""",
+@register("gold_furnace_day_lite", ("AGG3", "STR5", "TRAP9"), duckdb_with("telemetry") + f""",
 deduped AS (
   SELECT * EXCLUDE (rn) FROM (
     SELECT *, row_number() OVER (PARTITION BY furnace_id, ts ORDER BY reading_seq) AS rn FROM telemetry)
@@ -100,7 +100,7 @@ def q_gold_enriched(t):
     return rollups.enrich_with_location(gold(t), t.role("furnaces"), t.role("plants"))
 
 
-@register("plant_ranking", ("AGG4", "TOP2"), ENRICHED_SQL + f"""
+@register("plant_ranking", ("AGG4", "TOP2", "TRAP7"), ENRICHED_SQL + f"""
 SELECT plant_name, state,
        {r('avg(avg_energy_kwh_ton)', 1)} AS energy_kwh_ton,
        {r('avg(failure_rate) * 100', 2)} AS failure_rate_pct
@@ -147,3 +147,20 @@ def q_hottest_furnaces(t):
 SELECT * FROM gold_oee ORDER BY failure_rate DESC, furnace_id, day LIMIT 10""")
 def q_top_failure_days(t):
     return gold(t).orderBy(F.desc("failure_rate"), "furnace_id", "day").limit(10)
+
+
+@register("failure_risk", ("FN14", "FN13", "PRJ10"), SILVER_SQL + f"""
+SELECT furnace_id, CAST(ts AS DATE) AS day,
+       {r('avg(1 / (1 + exp(-(-5.2 + 1.3 * anode_effect + 0.55 * (vibration_mm_s - 2.0) + 0.18 * abs(temperature_c - 960)))))', 6)} AS expected_failure_rate,
+       {r('avg(is_failure)', 4)} AS observed_failure_rate,
+       {r('max(abs(temperature_c - 960))', 4)} AS max_temperature_deviation
+FROM silver GROUP BY furnace_id, CAST(ts AS DATE)""")
+def q_failure_risk(t):
+    """Expected failure rate per furnace-day from the logistic failure rule
+    (anode effect, vibration, distance to the 960 C setpoint) next to the
+    observed rate."""
+    s = silver(t)
+    return (s.groupBy("furnace_id", F.to_date("ts").alias("day"))
+            .agg(round_half_up(F.avg(failure_probability()), 6).alias("expected_failure_rate"),
+                 round_half_up(F.avg("is_failure"), 4).alias("observed_failure_rate"),
+                 round_half_up(F.max(F.abs(F.col("temperature_c") - 960)), 4).alias("max_temperature_deviation")))

@@ -162,7 +162,7 @@ def _margin_measures(d=4):
 MARGIN_MEASURES = ["price_brl_ton", "cost_brl_ton", "margin_brl_ton", "margin_pct"]
 
 
-@register("metric_production_plant", ("MET0", "MET1", "JN7", "DSH3", "DSH6"), PROD_ROWS + f"""
+@register("metric_production_plant", ("MET0", "MET1", "JN7", "DSH3", "DSH6", "TRAP3", "TRAP4"), PROD_ROWS + f"""
 SELECT plant_name, {r('sum(tons_produced)', 4)} AS total_tons,
        {r('(sum(energy_kwh) / 1000 * 320) / NULLIF(sum(tons_produced), 0)', 4)} AS energy_cost_per_ton,
        {r('(1 - sum(defects) / NULLIF(sum(tons_produced), 0)) * 100', 4)} AS oee_quality_pct
@@ -250,7 +250,7 @@ def _as_of(t):
     return t.role("sales").agg(F.max("date")).scalar()
 
 
-@register("metric_margin_12m", ("QRY1", "FLT7", "FN4"), MARGIN_ROWS + f"""
+@register("metric_margin_12m", ("QRY1", "FLT7", "FN4", "TRAP10"), MARGIN_ROWS + f"""
 SELECT alloy_name, {r(f'({P_SQL}) - ({C_SQL})', 4)} AS margin_brl_ton
 FROM margin_src
 WHERE month >= CAST(date_trunc('month', (SELECT max(date) FROM sales) - INTERVAL 12 MONTH) AS DATE)

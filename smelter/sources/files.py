@@ -93,3 +93,15 @@ def load_tables(frames: dict[str, DataFrame], directory: str) -> DataFrame:
             F.lit(name).alias("table_name"), "rows")
         out = part if out is None else out.unionByName(part)
     return out
+
+
+def publish(df: DataFrame, name: str, path: str, comment: str, properties: dict[str, str]) -> DataFrame:
+    """Named dataset: an external Parquet table at ``path`` registered in the
+    session catalog, with a comment and table properties (e.g. its layer).
+    Returns the table read back by name."""
+    spark = df.sparkSession
+    df.write.mode("overwrite").format("parquet").option("path", path).saveAsTable(name)
+    spark.sql(f"COMMENT ON TABLE {name} IS '{comment.replace(chr(39), chr(39) * 2)}'")
+    props = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({props})")
+    return spark.table(name)
