@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from smelter.functions.columns import hash_bucket, reading_key
 from smelter.operators.joins import key_profile, point_in_time_means
-from smelter.operators.sizing import broadcast_if_small
 
 ENERGY_FEATURES = ["temperature_c", "amperage_ka", "anode_effect", "bath_ratio", "alumina_feed_rate"]
 ENERGY_TARGET = "energy_kwh_ton"
@@ -50,8 +49,7 @@ def furnace_state_means(telemetry: DataFrame) -> DataFrame:
 def defect_dataset(inspections: DataFrame, telemetry: DataFrame) -> DataFrame:
     """Inspections enriched with their furnace's mean operating state (left
     join: a furnace without readings keeps NULL features)."""
-    means = broadcast_if_small(furnace_state_means(telemetry))
-    return inspections.join(means, "furnace_id", "left")
+    return inspections.join(furnace_state_means(telemetry), "furnace_id", "left")
 
 
 def defect_recent_state(inspections: DataFrame, telemetry: DataFrame, lookback_hours: int = 24) -> DataFrame:

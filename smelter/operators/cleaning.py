@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from smelter.functions.columns import nan_to_null
-from smelter.operators.sizing import broadcast_if_small
 
 # Declared telemetry schema (column -> Spark SQL type).
 TELEMETRY_TYPES: dict[str, str] = {
@@ -72,7 +71,8 @@ def impute_group_median(df: DataFrame, value: str, group: str, flag: str,
     unless ``global_fallback`` adds the median of all rows as a last resort
     (a scalar subquery, no join).
     """
-    medians = broadcast_if_small(group_median(df, value, group, "_median"))
+    # per-group aggregate: AQE broadcasts it at runtime when small (no extra pass)
+    medians = group_median(df, value, group, "_median")
     fill: list[Column] = [F.col(value), F.col("_median")]
     if global_fallback:
         fill.append(df.agg(F.percentile_approx(value, 0.5)).scalar())
@@ -89,9 +89,11 @@ def in_range(df: DataFrame, column: str, low: float, high: float) -> DataFrame:
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key: the row with the smallest ``order`` tuple.
 
-    Expressed as ``min_by`` in a hash aggregate rather than a window: the
-    aggregate combines map-side, so a hot key does not land whole in one
-    sorting task.
+    Expressed as a ``min_by`` aggregate rather than a ``row_number`` window:
+    the aggregate combines map-side (a partial aggregate per input
+    partition), so a hot key reaches the shuffle as one row per partition
+    instead of landing whole in one sorting task.  The struct buffer makes
+    Spark pick a sort-based aggregate; the map-side combine is the same.
     """
     rest = [c for c in df.columns if c not in keys]
     ordering = F.struct(*[F.col(c) for c in order])

@@ -18,10 +18,27 @@ from pyspark.sql import functions as F
 DIMENSION_ROW_BOUND = 200_000
 
 
+_CHECKED: dict[tuple[int, int], bool] = {}
+
+
 def is_bounded(df: DataFrame, bound: int = DIMENSION_ROW_BOUND) -> bool:
-    return df.limit(bound + 1).count() <= bound
+    """``True`` when ``df`` has at most ``bound`` rows.  The answer is kept per
+    logical plan (``semanticHash``) for the session, so the same dimension is
+    checked once, not once per query."""
+    key = (df.semanticHash(), bound)
+    if key not in _CHECKED:
+        _CHECKED[key] = df.limit(bound + 1).count() <= bound
+    return _CHECKED[key]
 
 
 def broadcast_if_small(df: DataFrame, bound: int = DIMENSION_ROW_BOUND) -> DataFrame:
-    """Hint a broadcast only when the row count is proven <= ``bound``."""
+    """Hint a broadcast only when the row count is proven <= ``bound``.
+
+    Meant for dimension tables, where the bounded count is a cheap scan.  For
+    sides that are themselves aggregates of a fact table (per-key medians,
+    means) do not call this: the check would run the aggregation an extra
+    time.  Leave such joins unhinted; AQE measures the aggregate's shuffle
+    output and turns the sort-merge join into a broadcast join at runtime
+    when it is below ``spark.sql.adaptive.autoBroadcastJoinThreshold``.
+    """
     return F.broadcast(df) if is_bounded(df, bound) else df

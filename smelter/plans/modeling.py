@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from smelter.functions.columns import hash_bucket_sql, round_half_up, round_half_up_sql as r
 from smelter.models import features as fx
 from smelter.models import scoring, training
-from smelter.operators.sizing import broadcast_if_small
 from smelter.plans.medallion import SILVER_SQL, silver
 from smelter.plans.registry import register
+from smelter.session import materialize
 from smelter.sources.standins import duckdb_ctes
 
 FEATS = fx.ENERGY_FEATURES
@@ -54,13 +54,13 @@ def mean_baselines(split):
     train = split.filter(F.col("split") == "train")
     fmean = train.groupBy("furnace_id").agg(F.avg(TARGET).alias("_fm"))
     gmean = train.agg(F.avg(TARGET)).scalar()
-    return (split.join(broadcast_if_small(fmean), "furnace_id", "left")
+    return (split.join(fmean, "furnace_id", "left")
             .withColumn("furnace_mean_pred", F.coalesce(F.col("_fm"), gmean))
             .withColumn("global_mean_pred", gmean).drop("_fm"))
 
 
 def _linear(t):
-    split = regression_split(t)
+    split = materialize(regression_split(t))
     model = training.fit_regressor(split.filter(F.col("split") == "train"), "linear", FEATS, TARGET)
     return split, model
 
@@ -164,7 +164,7 @@ def q_champion_decision(t):
 def q_energy_trees(t):
     """Gradient-boosted and random-forest (150 trees, depth 10, seed 42)
     challengers, evaluated with the same metrics."""
-    split = regression_split(t)
+    split = materialize(regression_split(t))
     train = split.filter(F.col("split") == "train")
     test = split.filter(F.col("split") == "test")
     models = {k: training.fit_regressor(train, k, FEATS, TARGET) for k in ("gbt", "random_forest")}
@@ -212,9 +212,18 @@ def q_inefficiency_alerts(t):
 DEFECT_FEATURES = ["surface_quality_score"] + [f"avg_{c}" for c in fx.STATE_COLUMNS]
 
 
+def defect_data(t):
+    """Classification set without identifiers, with a hash train/test label
+    on the inspection id, checkpointed for the iterative fits."""
+    ds = fx.defect_dataset(t.role("inspections"), silver(t))
+    ds = ds.withColumn("split", fx.split_label("inspection_id"))
+    return materialize(ds)
+
+
 def defect_search(t, families=("logistic", "random_forest", "gbt")):
-    data = fx.model_inputs(fx.defect_dataset(t.role("inspections"), silver(t)))
-    return data, training.classifier_search(data, "is_defect", DEFECT_FEATURES, families=families)
+    data = defect_data(t)
+    return data, training.classifier_search(fx.model_inputs(data.drop("split")), "is_defect",
+                                            DEFECT_FEATURES, families=families)
 
 
 @register("defect_classifier", ("ML9", "ML15", "PRJ3"))
@@ -227,37 +236,42 @@ def q_defect_classifier(t):
     return t.spark.createDataFrame(rows, "model string, f1 double, is_best boolean")
 
 
+def _held_out(t, family):
+    data = defect_data(t)
+    train = fx.model_inputs(data.filter(F.col("split") == "train").drop("split"))
+    model = training.fit_classifier(train, family, "is_defect", DEFECT_FEATURES)
+    test = data.filter(F.col("split") == "test").drop("split").withColumn(
+        "is_defect", F.col("is_defect").cast("double"))
+    return model, test
+
+
 @register("defect_confusion", ("ML10",))
 def q_defect_confusion(t):
-    data, results = defect_search(t, families=("logistic",))
-    model, _ = results["logistic"]
-    pred = model.transform(data.withColumn("is_defect", F.col("is_defect").cast("double")))
-    return pred.groupBy("is_defect", "prediction").agg(F.count(F.lit(1)).alias("n"))
+    """Confusion matrix of a logistic model on the held-out inspections."""
+    model, test = _held_out(t, "logistic")
+    return model.transform(test).groupBy("is_defect", "prediction").agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("defect_importance", ("ML10",))
 def q_defect_importance(t):
-    data, results = defect_search(t, families=("random_forest",))
-    model, _ = results["random_forest"]
+    """Feature importances of a random forest trained on the training split."""
+    model, _ = _held_out(t, "random_forest")
     imp = model.stages[-1].featureImportances.toArray().tolist()
     return t.spark.createDataFrame(list(zip(DEFECT_FEATURES, map(float, imp))), "feature string, importance double")
 
 
 @register("high_defect_probability", ("ML20",))
 def q_high_defect_probability(t):
-    """Inspections whose predicted defect probability exceeds 0.5."""
-    data, results = defect_search(t, families=("logistic",))
-    model, _ = results["logistic"]
-    ds = fx.defect_dataset(t.role("inspections"), silver(t))
-    pred = model.transform(ds.withColumn("is_defect", F.col("is_defect").cast("double")))
-    return (pred.withColumn("p_defect", scoring.probability_of("probability", 1))
+    """Held-out inspections whose predicted defect probability exceeds 0.5."""
+    model, test = _held_out(t, "logistic")
+    return (model.transform(test).withColumn("p_defect", scoring.probability_of("probability", 1))
             .filter(F.col("p_defect") > 0.5).select("inspection_id", "furnace_id", "is_defect", "p_defect"))
 
 
 @register("failure_classifier", ("ML19",))
 def q_failure_classifier(t):
     """Predictive-maintenance variant: is_failure on telemetry readings."""
-    data = silver(t).select(*FEATS, "vibration_mm_s", "is_failure")
+    data = materialize(silver(t).select(*FEATS, "vibration_mm_s", "is_failure"))
     results = training.classifier_search(data, "is_failure", FEATS + ["vibration_mm_s"], families=("logistic",))
     rows = [(name, float(f1)) for name, (_, f1) in results.items()]
     return t.spark.createDataFrame(rows, "model string, f1 double")

@@ -74,3 +74,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return configure(spark)
+
+
+def materialize(df):
+    """Cut lineage with a reliable checkpoint in the shared checkpoint folder.
+
+    Used before iterative work (model fits, cross-validation) so that folds
+    and iterations read the prepared rows instead of recomputing the whole
+    upstream plan, and so that a lost executor costs a re-read, not a
+    recomputation from the raw tables.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
