@@ -91,3 +91,14 @@ def failure_probability(anode="anode_effect", vibration="vibration_mm_s", temper
              + FAILURE_LOGIT_VIBRATION * (_col(vibration) - FAILURE_VIBRATION_REFERENCE)
              + FAILURE_LOGIT_TEMP_DEVIATION * F.abs(_col(temperature) - TEMPERATURE_SETPOINT))
     return logistic(logit)
+
+
+def with_scalars(df, **scalars: Column):
+    """Attach scalar subqueries as columns, each evaluated once.
+
+    A scalar subquery referenced in several expressions is planned once per
+    reference, and each copy re-runs its whole subplan.  Projecting it into a
+    column first and referring to the column keeps one copy (Catalyst does not
+    re-inline a non-cheap expression that is referenced more than once).
+    """
+    return df.select("*", *[value.alias(name) for name, value in scalars.items()])

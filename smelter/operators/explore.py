@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from smelter.functions.columns import month_start, round_half_up, safe_ratio
+from smelter.functions.columns import month_start, round_half_up, safe_ratio, with_scalars
 from smelter.operators.sizing import broadcast_if_small
 
 ENERGY_PRICE_BRL_PER_MWH = 320.0  # fixed reference tariff
@@ -51,8 +51,8 @@ def cost_vs_mean(production: DataFrame, plants: DataFrame) -> DataFrame:
     joined = production.join(broadcast_if_small(plants), "plant_id", "inner")
     per_plant = joined.groupBy("plant_name").agg(
         safe_ratio(energy_cost(F.sum("energy_kwh")), F.sum("tons_produced")).alias("_cpt"))
-    mean = per_plant.agg(F.avg("_cpt")).scalar()
-    return per_plant.select(
+    mean = F.col("_mean")
+    return with_scalars(per_plant, _mean=per_plant.agg(F.avg("_cpt")).scalar()).select(
         "plant_name",
         round_half_up(F.col("_cpt"), 2).alias("cost_per_ton"),
         round_half_up(mean, 2).alias("mean_cost_per_ton"),
@@ -131,7 +131,8 @@ def category_shares(df: DataFrame, column: str) -> DataFrame:
     result (one row per category).
     """
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n")).scalar()
+    counts = with_scalars(counts, _total=counts.agg(F.sum("n")).scalar())
+    total = F.col("_total")
     w = Window.orderBy(F.desc("n"), F.col(column)).rowsBetween(Window.unboundedPreceding, 0)
     return counts.select(
         column, "n",
@@ -142,8 +143,8 @@ def category_shares(df: DataFrame, column: str) -> DataFrame:
 
 def label_balance(df: DataFrame, label: str) -> DataFrame:
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n")).scalar()
-    return counts.select(label, "n", round_half_up(F.col("n") / total * 100, 2).alias("pct"))
+    counts = with_scalars(counts, _total=counts.agg(F.sum("n")).scalar())
+    return counts.select(label, "n", round_half_up(F.col("n") / F.col("_total") * 100, 2).alias("pct"))
 
 
 def running_total(df: DataFrame, date_col: str, value: str) -> DataFrame:

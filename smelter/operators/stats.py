@@ -12,7 +12,7 @@ from itertools import combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from smelter.functions.columns import hash_bucket, round_half_up
+from smelter.functions.columns import hash_bucket, round_half_up, with_scalars
 
 
 def _stack(wide: DataFrame, rows: list[tuple[list[str], list[str]]], names: list[str]) -> DataFrame:
@@ -60,15 +60,14 @@ def correlation_long(df: DataFrame, columns: list[str], digits: int = 6) -> Data
 def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
     """Equal-width histogram between the column's min and max (scalar
     subqueries); the maximum falls in the last bin."""
-    lo = df.agg(F.min(column)).scalar()
-    hi = df.agg(F.max(column)).scalar()
+    bounds = df.agg(F.struct(F.min(column).alias("lo"), F.max(column).alias("hi"))).scalar()
+    lo, hi = F.col("_b.lo"), F.col("_b.hi")
     width = (hi - lo) / bins
     b = F.least(F.floor((F.col(column) - lo) / width) + 1, F.lit(bins))
-    return (df.filter(F.col(column).isNotNull())
-            .groupBy(b.cast("int").alias("bin"))
-            .agg(F.count(F.lit(1)).alias("n"))
-            .select("bin", round_half_up(lo + (F.col("bin") - 1) * width, 4).alias("bin_start"),
-                    round_half_up(lo + F.col("bin") * width, 4).alias("bin_end"), "n"))
+    counts = (with_scalars(df.filter(F.col(column).isNotNull()), _b=bounds)
+              .groupBy(b.cast("int").alias("bin"), F.col("_b")).agg(F.count(F.lit(1)).alias("n")))
+    return counts.select("bin", round_half_up(lo + (F.col("bin") - 1) * width, 4).alias("bin_start"),
+                         round_half_up(lo + F.col("bin") * width, 4).alias("bin_end"), "n")
 
 
 def trend_line(df: DataFrame, y: str, x: str, digits: int = 6) -> DataFrame:

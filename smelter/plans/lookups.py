@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from smelter.functions.columns import round_half_up, round_half_up_sql as r
+from smelter.functions.columns import round_half_up, round_half_up_sql as r, with_scalars
 from smelter.functions.table_functions import register_furnace_functions
 from smelter.operators import similarity
 from smelter.plans.registry import register
+from smelter.session import materialize
 from smelter.sources.standins import duckdb_with
 
 
@@ -87,23 +88,27 @@ SELECT *, z_avg_anode_effect > 1 AS high_anode_effect, z_temperature_deviation >
        row_number() OVER (ORDER BY avg_energy_kwh_ton DESC, furnace_id) AS energy_rank
 FROM z""")
 def q_furnace_report(t):
-    """Set-based root-cause report: every furnace's lookup outputs side by
-    side, each metric as a z-score against the fleet, flags, energy rank."""
-    views = _functions(t)
-    ids = f"(SELECT DISTINCT furnace_id FROM {views['telemetry']})"
-    stats = _lateral(t, "get_furnace_telemetry_stats", ids)
-    fail = _lateral(t, "get_furnace_failure_rate", ids).select("furnace_id", "failure_rate_pct")
-    qual = _lateral(t, "get_furnace_quality", ids).select("furnace_id", "avg_surface_quality")
-    base = (stats.join(fail, "furnace_id").join(qual, "furnace_id", "left")
-            .select("furnace_id", "avg_energy_kwh_ton", "avg_anode_effect", "avg_vibration_mm_s",
-                    F.abs(F.col("avg_temperature_c") - 960).alias("temperature_deviation"),
-                    "avg_surface_quality", "failure_rate_pct"))
-    fleet = base.agg(*[F.avg(m).alias(f"mean_{m}") for m in REPORT_METRICS],
-                     *[F.stddev_samp(m).alias(f"std_{m}") for m in REPORT_METRICS])
-    zs = [round_half_up((F.col(m) - fleet.select(f"mean_{m}").scalar())
-                        / F.nullif(fleet.select(f"std_{m}").scalar(), F.lit(0)), 4).alias(f"z_{m}")
-          for m in REPORT_METRICS]
-    z = base.select("furnace_id", "avg_energy_kwh_ton", *zs)
+    """Set-based root-cause report for the whole fleet: the lookup functions'
+    metrics for every furnace side by side (one aggregation pass over the
+    readings, one over the inspections), each as a z-score against the fleet,
+    with flags and an energy rank."""
+    tel = t.role("telemetry")
+    stats = tel.groupBy("furnace_id").agg(
+        round_half_up(F.avg("energy_kwh_ton"), 1).alias("avg_energy_kwh_ton"),
+        round_half_up(F.avg("anode_effect"), 4).alias("avg_anode_effect"),
+        round_half_up(F.avg("vibration_mm_s"), 3).alias("avg_vibration_mm_s"),
+        F.abs(round_half_up(F.avg("temperature_c"), 2) - 960).alias("temperature_deviation"),
+        round_half_up(F.avg("is_failure") * 100, 3).alias("failure_rate_pct"))
+    qual = t.role("inspections").groupBy("furnace_id").agg(
+        round_half_up(F.avg("surface_quality_score"), 3).alias("avg_surface_quality"))
+    # one row per furnace, read twice below (fleet statistics and z-scores):
+    # checkpointed so the readings are aggregated once
+    base = materialize(stats.join(qual, "furnace_id", "left"))
+    fleet = base.agg(F.struct(*[F.avg(m).alias(f"mean_{m}") for m in REPORT_METRICS],
+                              *[F.stddev_samp(m).alias(f"std_{m}") for m in REPORT_METRICS])).scalar()
+    zs = [round_half_up((F.col(m) - F.col(f"_fleet.mean_{m}")) / F.nullif(F.col(f"_fleet.std_{m}"), F.lit(0)), 4)
+          .alias(f"z_{m}") for m in REPORT_METRICS]
+    z = with_scalars(base, _fleet=fleet).select("furnace_id", "avg_energy_kwh_ton", *zs)
     # one row per furnace: the ranking window sorts a fleet-sized table
     rank = F.row_number().over(Window.orderBy(F.desc("avg_energy_kwh_ton"), "furnace_id"))
     return z.select("*", (F.col("z_avg_anode_effect") > 1).alias("high_anode_effect"),

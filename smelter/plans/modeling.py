@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from smelter.functions.columns import hash_bucket_sql, round_half_up, round_half_up_sql as r
+from smelter.functions.columns import hash_bucket_sql, round_half_up, round_half_up_sql as r, with_scalars
 from smelter.models import features as fx
 from smelter.models import scoring, training
 from smelter.plans.medallion import SILVER_SQL, silver
@@ -53,10 +53,10 @@ def mean_baselines(split):
     """Two reference predictors defined by aggregates of the training split."""
     train = split.filter(F.col("split") == "train")
     fmean = train.groupBy("furnace_id").agg(F.avg(TARGET).alias("_fm"))
-    gmean = train.agg(F.avg(TARGET)).scalar()
-    return (split.join(fmean, "furnace_id", "left")
-            .withColumn("furnace_mean_pred", F.coalesce(F.col("_fm"), gmean))
-            .withColumn("global_mean_pred", gmean).drop("_fm"))
+    joined = with_scalars(split.join(fmean, "furnace_id", "left"),
+                          global_mean_pred=train.agg(F.avg(TARGET)).scalar())
+    return (joined.withColumn("furnace_mean_pred", F.coalesce(F.col("_fm"), F.col("global_mean_pred")))
+            .drop("_fm"))
 
 
 def _linear(t):

@@ -25,7 +25,7 @@ def register(name: str, operators: tuple[str, ...] = (), oracle: str | None = No
 
     def wrap(fn: Callable[[TableSet], DataFrame]) -> QueryFn:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(TableSet(spark, sf_dir))
+            return fn(TableSet.shared(spark, sf_dir))
 
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__

@@ -23,6 +23,17 @@ class TableSet:
     action runs.
     """
 
+    _shared: dict[tuple[int, str], "TableSet"] = {}
+
+    @classmethod
+    def shared(cls, spark: SparkSession, directory: str) -> "TableSet":
+        """One table set per (session, directory): source frames and role
+        views are resolved once and reused by every query of the session."""
+        key = (id(spark), directory)
+        if key not in cls._shared:
+            cls._shared[key] = cls(spark, directory)
+        return cls._shared[key]
+
     def __init__(self, spark: SparkSession, directory: str):
         self.spark = spark
         self.directory = directory
