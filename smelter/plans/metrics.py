@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from smelter.functions.columns import round_half_up
@@ -53,7 +53,8 @@ class MetricView:
         return df.select(*dims, *rest)
 
     def query(self, dimensions: Sequence[str] = (), measures: Sequence[str] = (),
-              where: Column | str | None = None, digits: int | None = None) -> DataFrame:
+              where: Column | str | None = None, digits: int | None = None,
+              within: dict[str, DataFrame] | None = None) -> DataFrame:
         unknown = [d for d in dimensions if d not in self.dimensions]
         unknown += [m for m in measures if m not in self.measures]
         if unknown:
@@ -61,6 +62,9 @@ class MetricView:
         df = self.rows()
         if where is not None:
             df = df.filter(F.expr(where) if isinstance(where, str) else where)
+        # dimension values restricted to a (small) frame: an equi semi-join
+        for dim, allowed in (within or {}).items():
+            df = df.join(allowed.select(F.col(dim)).distinct(), dim, "left_semi")
         aggs = [F.expr(self.measures[m]).alias(m) for m in measures]
         out = df.groupBy(*dimensions).agg(*aggs) if dimensions else df.agg(*aggs)
         if digits is None:
@@ -71,6 +75,25 @@ class MetricView:
             round_half_up(m, digits).alias(m) if types[m] in ("double", "float") else F.col(m)
             for m in measures])
 
-    def latest(self, dimension: str) -> Column:
-        """Scalar subquery: the largest value of a dimension."""
-        return self.rows().agg(F.max(dimension)).scalar()
+    def values(self, dimension: str, where: Column | None = None) -> DataFrame:
+        """Distinct values of a dimension (optionally of the rows matching ``where``)."""
+        rows = self.rows() if where is None else self.rows().filter(where)
+        return rows.select(dimension).distinct()
+
+
+def _with_top(values: DataFrame, column: str) -> DataFrame:
+    # The maximum comes from a window over the small frame of distinct values
+    # (one row per month), not from a scalar subquery: a predicate on a window
+    # output is not copied across the semi-join into the fact-side plans.
+    return values.withColumn("_top", F.max(column).over(Window.partitionBy()))
+
+
+def latest(values: DataFrame, column: str) -> DataFrame:
+    """The row holding the largest value of ``column`` in a small frame."""
+    return _with_top(values, column).filter(F.col(column) == F.col("_top")).select(column)
+
+
+def since(values: DataFrame, column: str, start_of) -> DataFrame:
+    """Values at or after ``start_of(max value)`` (e.g. trailing months, year
+    to date), computed on the small frame of distinct values."""
+    return _with_top(values, column).filter(F.col(column) >= start_of(F.col("_top"))).select(column)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from smelter.functions.columns import month_start, round_half_up_sql as r
 from smelter.operators.sizing import broadcast_if_small
-from smelter.plans.metrics import MetricView, ViewJoin
+from smelter.plans.metrics import MetricView, ViewJoin, latest, since
 from smelter.plans.registry import register
 from smelter.sources.standins import duckdb_with
 
@@ -230,9 +230,11 @@ SELECT {r(f'({P_SQL}) - ({C_SQL})', 4)} AS margin_brl_ton,
        {r(f'(({P_SQL}) - ({C_SQL})) / NULLIF({P_SQL}, 0) * 100', 4)} AS margin_pct
 FROM margin_src WHERE month = (SELECT max(month) FROM margin_src)""")
 def q_metric_margin_latest(t):
+    """KPI of the latest month of the view (restricted by a semi-join on the
+    one-row frame of that month)."""
     view = _margin(t)
-    return view.query([], ["margin_brl_ton", "margin_pct"],
-                      where=F.col("month") == view.latest("month"), digits=4)
+    return view.query([], ["margin_brl_ton", "margin_pct"], digits=4,
+                      within={"month": latest(view.values("month"), "month")})
 
 
 @register("metric_margin_latest_complete", ("DSH2", "TRAP2"), MARGIN_ROWS + f"""
@@ -241,13 +243,14 @@ FROM margin_src WHERE month = (SELECT max(month) FROM margin_src WHERE tons_prod
 def q_metric_margin_latest_complete(t):
     """Latest month that has both sales and production."""
     view = _margin(t)
-    latest = view.rows().filter(F.col("tons_produced").isNotNull()).agg(F.max("month")).scalar()
-    return view.query([], ["margin_brl_ton"], where=F.col("month") == latest, digits=4)
+    months = view.values("month", F.col("tons_produced").isNotNull())
+    return view.query([], ["margin_brl_ton"], digits=4, within={"month": latest(months, "month")})
 
 
-def _as_of(t):
-    """Reference date for relative periods: the last sales date in the data."""
-    return t.role("sales").agg(F.max("date")).scalar()
+def _sales_months(t):
+    """Distinct sales months (one row per month): the frame relative periods
+    are computed on; its maximum is the month of the last sale."""
+    return t.role("sales").select(month_start("date").alias("month")).distinct()
 
 
 @register("metric_margin_12m", ("QRY1", "FLT7", "FN4", "TRAP10"), MARGIN_ROWS + f"""
@@ -256,8 +259,9 @@ FROM margin_src
 WHERE month >= CAST(date_trunc('month', (SELECT max(date) FROM sales) - INTERVAL 12 MONTH) AS DATE)
 GROUP BY alloy_name""")
 def q_metric_margin_12m(t):
-    since = F.trunc(F.add_months(_as_of(t), -12), "MM")
-    return _margin(t).query(["alloy_name"], ["margin_brl_ton"], where=F.col("month") >= since, digits=4)
+    """Trailing 12 months relative to the last sales date (the ``as_of``)."""
+    months = since(_sales_months(t), "month", lambda top: F.add_months(top, -12))
+    return _margin(t).query(["alloy_name"], ["margin_brl_ton"], digits=4, within={"month": months})
 
 
 @register("metric_sales_ytd", ("QRY3", "FLT8", "FLT9"), SALES_ROWS + f"""
@@ -268,9 +272,10 @@ WHERE month >= CAST(date_trunc('year', (SELECT max(date) FROM sales)) AS DATE)
 GROUP BY market""")
 def q_metric_sales_ytd(t):
     """Year to date per market, with a multi-select alloy filter."""
-    since = F.trunc(_as_of(t), "year")
-    where = (F.col("month") >= since) & F.col("alloy_name").isin("ECONOMY", "MEDIUM-LARGE", "PROMO", "SMALL")
-    return _sales(t).query(["market"], ["total_tons_sold", "revenue_brl"], where=where, digits=4)
+    months = since(_sales_months(t), "month", lambda top: F.trunc(top, "year"))
+    return _sales(t).query(["market"], ["total_tons_sold", "revenue_brl"], digits=4,
+                           where=F.col("alloy_name").isin("ECONOMY", "MEDIUM-LARGE", "PROMO", "SMALL"),
+                           within={"month": months})
 
 
 @register("metric_quality", ("MET4", "QRY4"), duckdb_with("inspections") + f"""
