@@ -202,7 +202,8 @@ ORDER BY {TARGET} - furnace_mean_pred DESC, reading_id LIMIT 20""")
 def q_inefficiency_alerts(t):
     """Readings more than 300 kWh/t above their furnace's expected energy
     (the training-split furnace mean), largest first, top 20."""
-    scored = mean_baselines(regression_split(t)).withColumnRenamed("furnace_mean_pred", "predicted_energy_kwh_ton")
+    scored = mean_baselines(materialize(regression_split(t))).withColumnRenamed(
+        "furnace_mean_pred", "predicted_energy_kwh_ton")
     alerts = scoring.deviation_alerts(scored, TARGET, "predicted_energy_kwh_ton", 300.0, 20)
     return alerts.select("reading_id", "furnace_id", "ts", TARGET,
                          round_half_up("predicted_energy_kwh_ton", 4).alias("predicted_energy_kwh_ton"),
