@@ -78,6 +78,26 @@ def q_stream_silver_keys(t):
     return t.spark.read.parquet(out)
 
 
+@register("stream_quality", ("STR7", "DQ4"))
+def q_stream_quality(t):
+    """Rule counters of one streaming silver run, as reported by the stream's
+    observed metrics (rows seen and violations per rule, per micro-batch)."""
+    target = bronze_twice(t)
+    stream = ingest.silver_stream(t.spark.readStream.schema(
+        t.spark.read.parquet(target).schema).parquet(target))
+    base = scratch_dir(t.spark, "silver_q")
+    q = ingest.run_available_now(stream, os.path.join(base, "silver"), os.path.join(base, "_checkpoint"),
+                                 owner="silver_quality")
+    rows = []
+    for progress in q.recentProgress:
+        metrics = progress.get("observedMetrics", {}).get("silver_rules")
+        if metrics:  # a run with no new rows reports no metrics
+            rows.append((int(progress["batchId"]), *[int(metrics[k]) for k in
+                         ("rows", "plausible_temperature", "furnace_identified", "vibration_present")]))
+    return t.spark.createDataFrame(rows, "batch_id long, rows long, plausible_temperature long, "
+                                         "furnace_identified long, vibration_present long")
+
+
 @register("stream_gold", ("STR5", "SRC12"))
 def q_stream_gold(t):
     """Stream silver (dedup + rules) -> foreachBatch: silver epochs + gold
