@@ -18,12 +18,13 @@ from smelter.functions.columns import round_half_up
 
 REGRESSORS = {
     "linear": lambda label: LinearRegression(featuresCol="features", labelCol=label),
-    "gbt": lambda label: GBTRegressor(featuresCol="features", labelCol=label, maxIter=30, seed=42),
+    "gbt": lambda label: GBTRegressor(featuresCol="features", labelCol=label, maxIter=30, seed=42,
+                                      cacheNodeIds=True),
     # the reference's random-forest challenger settings (150 trees, depth 10,
     # seed 42); a larger node-statistics budget means fewer passes per level
     "random_forest": lambda label: RandomForestRegressor(featuresCol="features", labelCol=label,
                                                          numTrees=150, maxDepth=10, seed=42,
-                                                         maxMemoryInMB=1024),
+                                                         maxMemoryInMB=1024, cacheNodeIds=True),
 }
 
 
