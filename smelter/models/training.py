@@ -95,7 +95,7 @@ def promotion(metrics: DataFrame, champion: str, challenger: str, metric: str =
 def _classifier_grid(label: str):
     lr = LogisticRegression(featuresCol="features", labelCol=label, maxIter=50)
     rf = RandomForestClassifier(featuresCol="features", labelCol=label, seed=42)
-    gbt = GBTClassifier(featuresCol="features", labelCol=label, seed=42, maxIter=20)
+    gbt = GBTClassifier(featuresCol="features", labelCol=label, seed=42, maxIter=10, stepSize=0.3)
     return {
         "logistic": (lr, ParamGridBuilder().addGrid(lr.regParam, [0.0, 0.01]).build()),
         "random_forest": (rf, ParamGridBuilder().addGrid(rf.numTrees, [50]).addGrid(rf.maxDepth, [5, 8]).build()),

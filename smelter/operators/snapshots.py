@@ -33,6 +33,7 @@ class SnapshotTable:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._version: int | None = None  # last version this writer committed or read
 
     @property
     def _history_path(self) -> str:
@@ -48,8 +49,11 @@ class SnapshotTable:
             return self.spark.createDataFrame([], HISTORY_SCHEMA)
 
     def current_version(self) -> int | None:
-        """Latest committed version (a one-row aggregate of the history)."""
-        return self.history().agg(F.max("version")).first()[0]
+        """Latest committed version (a one-row aggregate of the history, read
+        once; afterwards this writer tracks the versions it commits)."""
+        if self._version is None:
+            self._version = self.history().agg(F.max("version")).first()[0]
+        return self._version
 
     def write(self, df: DataFrame, operation: str = "WRITE") -> int:
         current = self.current_version()
@@ -61,6 +65,7 @@ class SnapshotTable:
             [(version, operation, rows, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))],
             HISTORY_SCHEMA)
         entry.coalesce(1).write.mode("append").parquet(self._history_path)
+        self._version = version
         return version
 
     def read(self, version: int | None = None) -> DataFrame:
