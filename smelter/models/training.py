@@ -11,7 +11,7 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from smelter.functions.columns import round_half_up
@@ -36,18 +36,13 @@ def fit_regressor(train: DataFrame, kind: str, features: Sequence[str], label: s
 def linear_coefficients(model: PipelineModel, features: Sequence[str], digits: int = 4) -> DataFrame:
     """Fitted coefficients as a (term, coefficient) table."""
     lr = model.stages[-1]
-    spark = train_session(model)
+    spark = SparkSession.getActiveSession()
     rows = [(f, float(c)) for f, c in zip(features, lr.coefficients.toArray())]
     rows.append(("intercept", float(lr.intercept)))
     df = spark.createDataFrame(rows, "term string, coefficient double")
     return df.withColumn("coefficient", round_half_up("coefficient", digits))
 
 
-def train_session(model):
-    from pyspark.sql import SparkSession
-    return SparkSession.getActiveSession()
-
-
 def predictions_long(models: dict[str, PipelineModel], test: DataFrame, key: str, label: str) -> DataFrame:
     """(model, key, label, prediction) for every model on the same test set."""
     out = None
