@@ -6,6 +6,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from smelter.plans.medallion import GOLD_SQL, gold
 from smelter.plans.registry import register
@@ -44,6 +45,35 @@ def q_stream_bronze(t):
     return t.spark.read.parquet(target).select(*TELEMETRY_COLS)
 
 
+EVOLVE_CUTOFF = "2024-01-15 00:00:00"
+
+
+@register("stream_schema_evolution", ("SRC4", "SNK2"), duckdb_with("telemetry") + f"""
+SELECT * REPLACE (CASE WHEN ts < TIMESTAMP '{EVOLVE_CUTOFF}' THEN NULL ELSE is_failure END AS is_failure)
+FROM telemetry""")
+def q_stream_schema_evolution(t):
+    """Files land in two waves: readings before the cutoff without the
+    ``is_failure`` column, later readings with it.  The stream ingests the
+    first wave with the narrow schema, the stored schema is widened from the
+    new header, and the stream restarts on the same checkpoint: old rows read
+    the new column as NULL, new rows carry it."""
+    base = scratch_dir(t.spark, "evolve")
+    landing, target = os.path.join(base, "landing"), os.path.join(base, "bronze")
+    ckpt, schema_file = os.path.join(base, "_checkpoint"), os.path.join(base, "_schema", "schema.json")
+    tel = t.role("telemetry")
+    early = F.col("ts") < F.lit(EVOLVE_CUTOFF).cast("timestamp")
+    narrow = T.StructType([f for f in files.TELEMETRY_CSV_SCHEMA.fields if f.name != "is_failure"])
+    (tel.filter(early).drop("is_failure").repartition(2, "furnace_id")
+     .write.option("header", True).csv(landing))
+    owner = f"bronze:{landing}"
+    ingest.run_available_now(ingest.bronze_stream(t.spark, landing, narrow), target, ckpt, owner)
+    (tel.filter(~early).repartition(2, "furnace_id")
+     .write.mode("append").option("header", True).csv(landing))
+    wider = ingest.evolve_schema(t.spark, landing, schema_file, narrow)
+    ingest.run_available_now(ingest.bronze_stream(t.spark, landing, wider), target, ckpt, owner)
+    return t.spark.read.option("mergeSchema", True).parquet(target).select(*TELEMETRY_COLS)
+
+
 @register("stream_file_counts", ("AGG16", "SRC6"))
 def q_stream_file_counts(t):
     """Rows and distinct source files of the bronze table (provenance columns)."""
