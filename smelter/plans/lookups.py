@@ -24,7 +24,6 @@ def _lateral(t, fn, ids_view):
 
 
 FURNACE_IDS = "(SELECT DISTINCT furnace_id FROM furnaces)"
-TELEMETRY_IDS = "(SELECT DISTINCT furnace_id FROM telemetry)"
 
 
 @register("furnace_quality_fn", ("UDF1", "FLT2"), duckdb_with("furnaces", "inspections") + f"""

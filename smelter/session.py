@@ -68,6 +68,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("SMELTER_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # local runs keep catalog tables out of the working directory
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="smelter-warehouse-", dir="/tmp"))
     )
     for key, value in SESSION_DEFAULTS.items():
         builder = builder.config(key, value)
