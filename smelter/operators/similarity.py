@@ -41,14 +41,25 @@ def centroids(df: DataFrame, group: str, vec: str, dim: int) -> DataFrame:
         F.array(*[F.avg(F.col(vec)[i].cast("double")) for i in range(dim)]).alias(vec))
 
 
-def top_k(scored: DataFrame, query: str, item: str, score: str, k: int, salts: int = 32) -> DataFrame:
+def _default_salts(df: DataFrame) -> int:
+    """One slice per shuffle partition (at least 32): the first ranking stage
+    spreads a query's candidates over the whole cluster."""
+    try:
+        return max(32, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    except (TypeError, ValueError):
+        return 32
+
+
+def top_k(scored: DataFrame, query: str, item: str, score: str, k: int, salts: int | None = None) -> DataFrame:
     """Top-k items per query by score (desc), ties to the smaller item id.
 
     Stage 1 ranks within (query, salt) slices; stage 2 ranks the at most
-    ``k * salts`` survivors per query.
+    ``k * salts`` survivors per query, so no task sorts a query's whole
+    candidate list.
     """
     from pyspark.sql import Window
 
+    salts = salts or _default_salts(scored)
     order = [F.desc(score), F.asc(item)]
     salted = scored.withColumn("_salt", F.pmod(F.xxhash64(item), F.lit(salts)))
     w1 = Window.partitionBy(query, "_salt").orderBy(*order)
