@@ -105,3 +105,46 @@ def lsh_candidates(corpus: DataFrame, queries: DataFrame, item: str, query: str,
     scored = pairs.select(F.col("datasetA.id").alias(query), F.col("datasetB.id").alias(item),
                           round_half_up(dot(a, b), digits).alias("score"))
     return top_k(scored, query, item, "score", k)
+
+
+class SimilarityIndex:
+    """Versioned index of unit vectors, synchronised on trigger.
+
+    Each sync compares the corpus with the current index version on the item
+    key and a 64-bit hash of the vector (``snapshots.changes``), recomputes unit
+    vectors only for inserted or updated items, drops deleted ones, and
+    commits the result as a new version with the change counts in its
+    operation text.
+    """
+
+    def __init__(self, spark, root: str, item: str, vec: str):
+        from smelter.operators.snapshots import SnapshotTable
+
+        self.table = SnapshotTable(spark, root)
+        self.item, self.vec = item, vec
+
+    def _prepare(self, corpus: DataFrame) -> DataFrame:
+        n = norm(F.col(self.vec))
+        return corpus.select(F.col(self.item), F.xxhash64(self.vec).alias("vec_hash"),
+                             F.transform(self.vec, lambda x: x.cast("double") / n).alias("unit"))
+
+    def sync(self, corpus: DataFrame) -> int:
+        from smelter.operators.snapshots import changes
+
+        if self.table.current_version() is None:
+            return self.table.write(self._prepare(corpus), operation="BUILD")
+        current = self.table.read()
+        keyed = corpus.select(self.item, F.xxhash64(self.vec).alias("vec_hash"))
+        delta = changes(current.select(self.item, "vec_hash"), keyed, [self.item]).cache()
+        counts = {r.change_type: r.n for r in delta.groupBy("change_type").count()
+                  .withColumnRenamed("count", "n").collect()}  # at most three rows
+        touched = delta.filter(F.col("change_type") != "delete").select(self.item)
+        kept = current.join(delta.select(self.item), self.item, "left_anti")
+        fresh = self._prepare(corpus.join(touched, self.item, "left_semi"))
+        op = "SYNC +{} ~{} -{}".format(counts.get("insert", 0), counts.get("update", 0), counts.get("delete", 0))
+        version = self.table.write(kept.unionByName(fresh), operation=op)
+        delta.unpersist()
+        return version
+
+    def read(self) -> DataFrame:
+        return self.table.read()

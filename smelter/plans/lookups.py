@@ -9,7 +9,7 @@ from smelter.functions.columns import round_half_up, round_half_up_sql as r, wit
 from smelter.functions.table_functions import register_furnace_functions
 from smelter.operators import similarity
 from smelter.plans.registry import register
-from smelter.session import materialize
+from smelter.session import materialize, scratch_dir
 from smelter.sources.standins import duckdb_with
 
 
@@ -148,3 +148,20 @@ def q_similar_lsh(t):
     out = similarity.lsh_candidates(t.table("embeddings"), _label_centroids(t), "vec_id", "label",
                                     "embedding", 2)
     return out.select("vec_id", "label", "score", "rank")
+
+
+@register("similarity_index_sync", ("RET2", "VER6"), """
+WITH m AS (SELECT quantile_disc(vec_id, 0.5) AS cut FROM embeddings)
+SELECT CAST(0 AS BIGINT) AS version, 'BUILD' AS operation, count(*) AS rows FROM embeddings, m WHERE vec_id <= cut
+UNION ALL
+SELECT 1, 'SYNC +' || CAST(count(*) FILTER (WHERE vec_id > cut) AS VARCHAR) || ' ~0 -0', count(*) FROM embeddings, m""")
+def q_similarity_index_sync(t):
+    """Index built from the first arrival wave of vectors (ids up to the
+    median), then synchronised with the whole table: only the new vectors are
+    prepared, nothing is updated or deleted."""
+    emb = t.table("embeddings")
+    cut = emb.agg(F.percentile_approx("vec_id", 0.5)).scalar()
+    index = similarity.SimilarityIndex(t.spark, scratch_dir(t.spark, "vector_index"), "vec_id", "embedding")
+    index.sync(with_scalars(emb, _cut=cut).filter(F.col("vec_id") <= F.col("_cut")).drop("_cut"))
+    index.sync(emb)
+    return index.table.history().select("version", "operation", "rows")

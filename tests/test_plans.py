@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as entry
 
 # queries that run streams, writes or model fits at definition time
-SIDE_EFFECTS = {"stream_bronze", "stream_schema_evolution", "stream_file_counts", "stream_silver_keys", "stream_gold", "stream_quality", "csv_roundtrip",
+SIDE_EFFECTS = {"stream_bronze", "stream_schema_evolution", "similarity_index_sync", "stream_file_counts", "stream_silver_keys", "stream_gold", "stream_quality", "csv_roundtrip",
                 "gold_load", "snapshot_history", "snapshot_as_of", "snapshot_changes", "snapshot_restore",
                 "energy_trees", "defect_classifier", "defect_confusion", "defect_importance",
                 "high_defect_probability", "failure_classifier"}

@@ -27,3 +27,17 @@ def test_lsh_recall(spark, sf_small):
     exact = {(r.label, r.vec_id) for r in similarity.exact_top_k(emb, cents, "vec_id", "label", "embedding", 2).collect()}
     approx = {(r.label, r.vec_id) for r in similarity.lsh_candidates(emb, cents, "vec_id", "label", "embedding", 2).collect()}
     assert len(exact & approx) >= 0.8 * len(exact)
+
+
+def test_index_sync_applies_only_changes(spark):
+    import tempfile
+
+    v1 = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 2.0]), (3, [3.0, 4.0])], "id int, v array<float>")
+    v2 = spark.createDataFrame([(1, [1.0, 0.0]), (2, [2.0, 0.0]), (4, [0.0, 1.0])], "id int, v array<float>")
+    idx = similarity.SimilarityIndex(spark, tempfile.mkdtemp(prefix="idx-", dir="/tmp"), "id", "v")
+    idx.sync(v1)
+    idx.sync(v2)
+    ops = [r.operation for r in idx.table.history().orderBy("version").collect()]
+    assert ops == ["BUILD", "SYNC +1 ~1 -1"]
+    rows = {r.id: [round(x, 6) for x in r.unit] for r in idx.read().collect()}
+    assert rows == {1: [1.0, 0.0], 2: [1.0, 0.0], 4: [0.0, 1.0]}
