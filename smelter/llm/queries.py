@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from smelter.llm import exact_dedup, mixing, sentencepiece_bpe
+from smelter.llm import exact_dedup, language_id, mixing, quality_gam, sentencepiece_bpe
 from smelter.llm.common import documents
 
 QUERIES: dict = {}
@@ -43,7 +43,32 @@ def op9_mix_sources(spark, sf_dir):
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "epochs")
 
 
+def _fold(df, parts: int):
+    """The remainder that splits learnt from held-out documents."""
+    return F.crc32(df["doc_id"].cast("string").cast("binary")) % parts
+
+
+@query
+def op3_language_id(spark, sf_dir):
+    """Language of every document; learnt from three quarters of them."""
+    docs = documents(spark, sf_dir)
+    model = language_id.fit(docs.where(_fold(docs, 4) != 2))
+    found = language_id.predict(docs, model)
+    return found.withColumn("held_out", F.coalesce(_fold(found, 4) == 2, F.lit(False)))
+
+
 @query
 def op4_sentencepiece(spark, sf_dir):
     """Piece ids of every text, with the end id, and the text decoded again."""
     return sentencepiece_bpe.encode_documents(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op6_quality_classifier(spark, sf_dir):
+    """Quality score of every document; a fifth of them is held out."""
+    docs = documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = quality_gam.fit(docs, labels.where(_fold(labels, 5) != 0))
+    found = quality_gam.predict(docs, model)
+    return (found.withColumn("held_out", F.coalesce(_fold(found, 5) == 0, F.lit(False)))
+            .withColumn("predicted", (F.col("score") >= 0.3).cast("int")))
