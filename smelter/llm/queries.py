@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from smelter.llm import exact_dedup, language_id, mixing, quality_gam, sentencepiece_bpe
+from smelter.llm import exact_dedup, jaccard_join, language_id, mixing, quality_gam, sentencepiece_bpe
 from smelter.llm.common import documents
 
 QUERIES: dict = {}
@@ -35,6 +35,12 @@ FROM d JOIN g USING (norm)
 """
 
 
+@query
+def op7_jaccard_join(spark, sf_dir):
+    """Near-duplicate class of every document by 5-word shingles."""
+    return jaccard_join.classes_of(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
+
+
 @query
 def op9_mix_sources(spark, sf_dir):
     """How many words of each document a weighted mix of all sources takes."""
