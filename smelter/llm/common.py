@@ -27,6 +27,20 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), WORD_BREAK), lambda w: w != "")
 
 
+def text_bytes(docs: DataFrame, text: str) -> Column:
+    return F.coalesce(docs[text].cast("string"), F.lit("")).cast("binary")
+
+
+def row_key(docs: DataFrame, id: str, text: str) -> Column:
+    """A 64-bit key of id and text: rows with one key are the same document."""
+    return F.xxhash64(docs[id], docs[id].isNull(), text_bytes(docs, text))
+
+
+def keyed_texts(docs: DataFrame, id: str, text: str) -> DataFrame:
+    """(id, key, text) with the text as bytes, null as empty."""
+    return docs.select(docs[id].alias("id"), row_key(docs, id, text).alias("key"), text_bytes(docs, text).alias("text"))
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends there,
     so a lost executor costs a re-read."""

@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from smelter.llm import spans
-from smelter.llm.common import stored, unused
+from smelter.llm.common import keyed_texts, row_key, stored, unused
 from smelter.llm.components import connected_components
 
 WORDS, SIMILARITY = 5, 75
@@ -101,12 +101,6 @@ def _node(tokens: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "big", signed=True)
 
 
-def _texts(docs: DataFrame, id: str, text: str) -> DataFrame:
-    """(id, key, text): the key tells rows apart; rows with one key are equal."""
-    rows = docs.select(docs[id].alias("id"), F.coalesce(docs[text].cast("string"), F.lit("")).cast("binary").alias("text"))
-    return rows.select("id", F.xxhash64("id", F.col("id").isNull(), "text").alias("key"), "text")
-
-
 def set_table(texts: DataFrame) -> DataFrame:
     """Rows (id, key, n, node) per document and, with a part, rows (part,
     counts): this task's share of the counting table."""
@@ -443,7 +437,7 @@ def _best_pivots(shared: DataFrame, classes: DataFrame | None) -> DataFrame:
 def classes_of(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: id, key, n_shingles, class (null where it links
     with nothing for want of a shingle), component_id, least_key."""
-    texts = _texts(docs, id, text)
+    texts = keyed_texts(docs, id, text)
     both = stored(set_table(texts), "sets")
     sets = both.where("part is null").select("id", "key", "n", "node")
     table, total = frequency_classes(both.where("part is not null").select("part", "counts"))
@@ -484,6 +478,5 @@ def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFra
     with the least id stays, and one of rows that repeat it."""
     key = unused("row_key", docs)
     kept = classes_of(docs, id, text).where("key = least_key").select(F.col("key").alias(key))
-    rows = docs.withColumn(key, F.xxhash64(docs[id], docs[id].isNull(),
-                                           F.coalesce(docs[text].cast("string"), F.lit("")).cast("binary")))
+    rows = docs.withColumn(key, row_key(docs, id, text))
     return rows.join(kept, key, "left_semi").dropDuplicates([key]).drop(key)

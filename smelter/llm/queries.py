@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from smelter.llm import exact_dedup, jaccard_join, language_id, mixing, quality_gam, sentencepiece_bpe
+from smelter.llm import exact_dedup, jaccard_join, language_id, mixing, quality_gam, sentencepiece_bpe, substring_dedup
 from smelter.llm.common import documents
 
 QUERIES: dict = {}
@@ -49,6 +49,12 @@ def op9_mix_sources(spark, sf_dir):
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "epochs")
 
 
+@query
+def op2_substring_dedup(spark, sf_dir):
+    """Bytes of every document in 200-byte strings that occur elsewhere."""
+    return substring_dedup.remove_repeats(documents(spark, sf_dir))
+
+
 def _fold(df, parts: int):
     """The remainder that splits learnt from held-out documents."""
     return F.crc32(df["doc_id"].cast("string").cast("binary")) % parts
