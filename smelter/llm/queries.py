@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from smelter.llm import exact_dedup, jaccard_join, language_id, mixing, quality_gam, sentencepiece_bpe, substring_dedup
+from smelter.llm import exact_dedup, jaccard_join, language_id, mixing, quality_gam, quality_rules, sentencepiece_bpe, substring_dedup
 from smelter.llm.common import documents
 
 QUERIES: dict = {}
@@ -75,6 +75,16 @@ def op4_sentencepiece(spark, sf_dir):
     return sentencepiece_bpe.encode_documents(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@query
+def op5_quality_rules(spark, sf_dir):
+    """Text statistics of every document and the verdict of learned rules."""
+    docs = documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    rules = quality_rules.learn_list(quality_rules.labelled_rates(docs, labels))
+    return quality_rules.decide(docs, rules).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
+
+
 @query
 def op6_quality_classifier(spark, sf_dir):
     """Quality score of every document; a fifth of them is held out."""
