@@ -75,7 +75,10 @@ def statistics(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataF
             F.slice("w", 3, F.size("w") - 2), lambda ab, c: F.xxhash64(ab, c))).alias("windows"))
     rows = rows.withColumn("again", F.size("windows") > F.size(F.array_distinct("windows")))
     pairs = F.when(F.col("again"), F.array_sort(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))))
-    rows = rows.withColumn("pairs", pairs)
+    # one row in, one row out: a generated column is computed once, while a
+    # filter on the counts would be moved below a plain one with a copy of it
+    # in every place that names it
+    rows = rows.withColumn("pairs", F.explode(F.array(pairs)))
     n = F.size("pairs")
     places = F.filter("pairs", lambda p, i: (
         (i > 0) & (F.col("pairs")[F.greatest(i - 1, F.lit(0))]["h"] == p["h"])) | (
@@ -204,9 +207,9 @@ def labelled_rates(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text:
     one = one.orderBy(F.xxhash64("label_id"), "label_id").limit(most)
     picked = docs.select(docs[id].alias("id"), docs[text].alias("text")).join(F.broadcast(one), F.col("id") == F.col("label_id"))
     found = statistics(picked.select("label_id", "text", "label"), "label_id").join(F.broadcast(one), "label_id")
-    found = found.where(f"NOT ({BASE})").select((F.col("label") <= 0).cast("int").alias("bad"),
-                                                 *(F.expr(sql).cast("double").alias(name) for name, sql in RATES.items()))
-    return sorted((r.asDict() for r in found.collect()), key=lambda r: tuple(r.values()))
+    found = found.select(F.expr(BASE).alias("failed"), (F.col("label") <= 0).cast("int").alias("bad"),
+                         *(F.expr(sql).cast("double").alias(name) for name, sql in RATES.items()))
+    return sorted((r.asDict() for r in found.collect() if not r["failed"]), key=lambda r: tuple(r.values()))
 
 
 def decide(docs: DataFrame, rules: DecisionList, id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -9,9 +9,9 @@ then read from the table backwards, from the full text to the empty prefix.
 
 White space never joins the end of a piece to the begin of the next in these
 models (``▁`` only leads), so a text is cut in front of each run of ``▁`` and
-every distinct cut is encoded once per Python worker; the memo is emptied
-when it holds ``MEMO_CUTS`` cuts, and long cuts (over ``MEMO_CHARS``) are not
-kept.  Characters outside the vocabulary become byte pieces.
+a distinct cut is encoded once as long as it stays in the Python worker's
+memo: two generations of ``MEMO_CUTS`` cuts, long cuts (over ``MEMO_CHARS``)
+not kept.  Characters outside the vocabulary become byte pieces.
 
 Defined results: null counts as empty (the end id alone); texts of any length
 are encoded whole; extra columns pass through ``encode_documents`` untouched.
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 SPACE = "▁"
-MEMO_CUTS, MEMO_CHARS = 250_000, 200
+MEMO_CUTS, MEMO_CHARS = 150_000, 200
 #: Seams remembered per worker, and documents held as Python objects at once.
 SEAMS, ROWS_AT_ONCE = 400_000, 200
 
@@ -105,7 +105,9 @@ class PieceTable:
         self.automaton.make_automaton()
         self.halves: dict[int, tuple[int, int] | None] = {}
         self.seams: dict[int, bool] = {}
-        self.memo: dict[str, tuple[str, int, str]] = {}
+        self.sound: set[int] = set()
+        self.memo: dict[str, tuple[str, str]] = {}
+        self.older: dict[str, tuple[str, str]] = {}
 
     def merges(self, text: str) -> tuple[list[int], list[tuple[int, int]]]:
         """The tokens of a short text by plain merging, and the merges in order."""
@@ -163,21 +165,29 @@ class PieceTable:
     def encode_cut(self, cut: str) -> list[int]:
         """Ids of one cut.  ``last[i]`` is the last token of the prefix of
         length i, -1 for a character without a piece."""
-        n, ids = len(cut), self.ids
-        ending: list[list[tuple[int, int]]] = [[] for _ in range(n)]
-        for at, match in self.automaton.iter(cut):
-            ending[at].append(match)
-        last = [0] * (n + 1)
-        for i in range(n):
+        n, ids, seams, sound = len(cut), self.ids, self.seams, self.sound
+        last: list[int | None] = [None] * (n + 1)
+        done = 0
+        for at, (size, token) in self.automaton.iter(cut):
+            while done < at:  # no longer token fits there: the character itself
+                if last[done + 1] is None:
+                    last[done + 1] = ids.get(cut[done], -1)
+                done += 1
             # a prefix has one last token, so the first that fits is it
-            found = ids.get(cut[i], -1)
-            for size, token in ending[i]:
-                begin = i + 1 - size
-                if (begin == 0 or last[begin] < 0 or self.compatible(last[begin], token)) and self.half(token):
-                    found = token
-                    break
-            last[i + 1] = found
-        out, i = [], n
+            if last[at + 1] is None:
+                begin = at + 1 - size
+                if begin == 0 or (before := last[begin]) < 0:
+                    fits = True
+                elif (fits := seams.get(before << 20 | token)) is None:
+                    fits = self.compatible(before, token)
+                if fits and (token in sound or self.half(token)):
+                    sound.add(token)
+                    last[at + 1] = token
+        while done < n:
+            if last[done + 1] is None:
+                last[done + 1] = ids.get(cut[done], -1)
+            done += 1
+        out, i, pieces = [], n, self.pieces
         while i:
             token = last[i]
             if token < 0:
@@ -185,7 +195,7 @@ class PieceTable:
                 out.extend(self.byte_ids[b] for b in reversed(cut[i].encode()))
             else:
                 out.append(token)
-                i -= len(self.pieces[token])
+                i -= len(pieces[token])
         out.reverse()
         return out
 
@@ -216,26 +226,35 @@ class PieceTable:
     def encode(self, text: str) -> list[int]:
         return [i for cut in self.cuts(text) for i in self.encode_cut(cut)] + [self.end]
 
-    def remember(self, cut: str) -> tuple[str, int, str]:
-        ids = self.encode_cut(cut)
-        decoded = self.decode([self.end, *ids]) if cut[0] != SPACE else " " + self.decode(ids)
-        entry = (" ".join(map(str, ids)), len(ids), decoded)
-        if len(cut) <= MEMO_CHARS:
-            self.memo[cut] = entry
+    def _parts(self, text: str) -> list[str]:
+        """The cuts of a text; where single spaces part them, the bare words,
+        each standing for the cut of one leading space and the word."""
+        if text and "  " not in text and SPACE not in text and text[0] != " " and text[-1] != " ":
+            return text.split(" ")
+        return self.cuts(text)
+
+    def _entry(self, part: str) -> tuple[str, str]:
+        """Ids as text and the decoded text of a part, from either generation
+        of the memo or anew."""
+        entry = self.older.get(part)
+        if entry is None:
+            ids = self.encode_cut(part if part[0] == SPACE else SPACE + part)
+            # every cut starts with white space, of which decode drops one
+            entry = " ".join(map(str, ids)), " " + self.decode(ids)
+        if len(part) <= MEMO_CHARS:
+            self.memo[part] = entry
         return entry
 
     def digest(self, text: str) -> tuple[int, str, str]:
         """(number of ids, SHA-256 of the ids, SHA-256 of the decoded text)."""
-        memo = self.memo
-        if len(memo) > MEMO_CUTS:
-            memo.clear()
-        cuts = self.cuts(text)
-        new = {cut: self.remember(cut) for cut in set(cuts).difference(memo)}
-        entries = [memo.get(c) or new[c] for c in cuts] if new else [memo[c] for c in cuts]
-        ids = " ".join([*(e[0] for e in entries), str(self.end)])
-        decoded = "".join([e[2] for e in entries])[1:]
-        return (sum([e[1] for e in entries]) + 1, hashlib.sha256(ids.encode()).hexdigest(),
-                hashlib.sha256(decoded.encode()).hexdigest())
+        if len(self.memo) > MEMO_CUTS:
+            self.memo, self.older = {}, self.memo
+        memo, parts = self.memo, self._parts(text)
+        new = {p: self._entry(p) for p in set(parts).difference(memo)}
+        found = [memo.get(p) or new[p] for p in parts] if new else [memo[p] for p in parts]
+        ids = " ".join([e[0] for e in found] + [str(self.end)])
+        decoded = "".join([e[1] for e in found])[1:]
+        return ids.count(" ") + 1, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
 
 
 def _characters(data: bytes) -> str:
