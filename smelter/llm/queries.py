@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from smelter.llm import exact_dedup, jaccard_join, language_id, mixing, quality_gam, quality_rules, sentencepiece_bpe, substring_dedup
+from smelter.llm import exact_dedup, fuzzy_lines, jaccard_join, language_id, mixing, quality_gam, quality_rules, sentencepiece_bpe, substring_dedup
 from smelter.llm.common import documents
 
 QUERIES: dict = {}
@@ -41,6 +41,12 @@ def op7_jaccard_join(spark, sf_dir):
     return jaccard_join.classes_of(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
 
 
+@query
+def op8_fuzzy_lines(spark, sf_dir):
+    """Lines of every document that repeat an earlier line up to small edits."""
+    return fuzzy_lines.decisions(documents(spark, sf_dir)).select("doc_id", "n_lines", "n_removed", "removed_lines")
+
+
 @query
 def op9_mix_sources(spark, sf_dir):
     """How many words of each document a weighted mix of all sources takes."""
