@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from smelter.llm import exact_dedup, fuzzy_lines, jaccard_join, language_id, mixing, quality_gam, quality_rules, sentencepiece_bpe, substring_dedup
+from smelter.llm import chat_format, exact_dedup, fuzzy_lines, jaccard_join, language_id, mixing, quality_gam, quality_rules, sentencepiece_bpe, substring_dedup
 from smelter.llm.common import documents
 
 QUERIES: dict = {}
@@ -100,3 +100,9 @@ def op6_quality_classifier(spark, sf_dir):
     found = quality_gam.predict(docs, model)
     return (found.withColumn("held_out", F.coalesce(_fold(found, 5) == 0, F.lit(False)))
             .withColumn("predicted", (F.col("score") >= 0.3).cast("int")))
+
+
+@query
+def op10_chat_format(spark, sf_dir):
+    """Rendered pieces of all conversations, roles repaired at least cost."""
+    return chat_format.repair(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
