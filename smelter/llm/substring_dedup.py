@@ -189,15 +189,16 @@ def _grid_matches(cuts: DataFrame) -> DataFrame:
         core = F.expr(f"substring(bytes, int(q * {g} + {g} - u), {LEAST + 1 - g})")
         cell = stored(cell.withColumn("core", F.md5(F.concat(F.expr("unhex(hex(anchor))"), F.expr("unhex(hex(q))"), core)))
                       .withColumn("whole", F.md5(F.concat(F.col("core").cast("binary"), F.expr("unhex(hex(u))"), F.col("bytes")))),
-                      "grid")
+                      "grid").withColumn("place", F.xxhash64("key", "begin"))
         cores = stored(cell.groupBy("core").agg(F.count("*").alias("n")).where("n > 1"), "cores")
-        wholes = stored(cell.groupBy("whole").agg(F.count("*").alias("m")).where("m > 1"), "wholes")
+        wholes = stored(cell.groupBy("whole").agg(F.count("*").alias("m"), F.min("place").alias("one")).where("m > 1"), "wholes")
         cell = cell.join(cores, "core").join(wholes, "whole", "left")
         same = F.col("m").isNotNull() if g > 1 else F.lit(True)
         rows = cell.where(same).select("key", F.col("begin").cast("int").alias("begin"),
                                        (F.col("v") - F.col("u") + LEAST).cast("int").alias("size"))
         found = rows if found is None else found.union(rows)
-        active = cell.where(~same).select("anchor", "key", "begin", "u", "v", "bytes")
+        # one of equal cells goes on, for cells that only share some of its strings
+        active = cell.where(F.col("m").isNull() | (F.col("place") == F.col("one"))).select("anchor", "key", "begin", "u", "v", "bytes")
     return found
 
 
