@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Offset that makes rounding robust to the last-bit noise of summed doubles:
-# a mean that is mathematically x.xx5 rounds up whichever side of the tie
-# the floating-point sum landed on.
-TIE_EPSILON = 0.000001
+# Digits beyond the wanted ones that are rounded away first.  Sums of doubles
+# differ in their last bits with the order of addition; after this step a mean
+# that is mathematically x.xx5 is a tie on every engine and in every run.
+GUARD_DIGITS = 8
 
 
 def _col(c) -> Column:
@@ -16,18 +16,15 @@ def _col(c) -> Column:
 
 
 def round_half_up(c, digits: int) -> Column:
-    """``round(c, digits)`` half away from zero, tolerant to sum-order noise."""
-    x = _col(c)
-    scale = float(10 ** digits)
+    """Round half away from zero; large values keep their size."""
     # "+ 0.0" turns the -0.0 of a tiny negative value into 0.0
-    return F.signum(x) * F.floor(F.abs(x) * scale + (0.5 + TIE_EPSILON)) / scale + 0.0
+    return F.round(F.round(_col(c).cast("double"), digits + GUARD_DIGITS), digits) + 0.0
 
 
 def round_half_up_sql(expr: str, digits: int) -> str:
-    """The same rounding as SQL text (Spark and DuckDB both accept it)."""
-    scale = float(10 ** digits)
-    return (f"(sign({expr}) * floor(abs({expr}) * {scale!r} + {0.5 + TIE_EPSILON!r})"
-            f" / {scale!r} + 0.0)")
+    """The same rounding as SQL text (Spark and DuckDB both accept it), in
+    decimals, for values under 10^26 at four digits."""
+    return f"(CAST(round(CAST({expr} AS DECIMAL(38, {digits + GUARD_DIGITS})), {digits}) AS DOUBLE) + 0.0)"
 
 
 def safe_ratio(num, den) -> Column:
@@ -75,24 +72,6 @@ def logistic(x) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-_col(x)))
 
 
-# The failure-probability rule of the source data model,
-# logit = -5.2 + 1.3 * anode_effect + 0.55 * (vibration - 2.0) + 0.18 * |temperature - 960|.
-FAILURE_LOGIT_INTERCEPT = -5.2
-FAILURE_LOGIT_ANODE = 1.3
-FAILURE_LOGIT_VIBRATION = 0.55
-FAILURE_VIBRATION_REFERENCE = 2.0
-FAILURE_LOGIT_TEMP_DEVIATION = 0.18
-TEMPERATURE_SETPOINT = 960.0
-
-
-def failure_probability(anode="anode_effect", vibration="vibration_mm_s", temperature="temperature_c") -> Column:
-    logit = (F.lit(FAILURE_LOGIT_INTERCEPT)
-             + FAILURE_LOGIT_ANODE * _col(anode)
-             + FAILURE_LOGIT_VIBRATION * (_col(vibration) - FAILURE_VIBRATION_REFERENCE)
-             + FAILURE_LOGIT_TEMP_DEVIATION * F.abs(_col(temperature) - TEMPERATURE_SETPOINT))
-    return logistic(logit)
-
-
 def with_scalars(df, **scalars: Column):
     """Attach scalar subqueries as columns, each evaluated once.
 

@@ -62,7 +62,7 @@ def regression_metrics(long: DataFrame, digits: int = 4) -> DataFrame:
         F.count(F.lit(1)).alias("n"),
         F.sqrt(F.avg(err * err)).alias("rmse"),
         F.avg(F.abs(err)).alias("mae"),
-        (F.lit(1) - F.sum(err * err) / (F.var_pop("label") * F.count(F.lit(1)))).alias("r2"))
+        (F.lit(1) - F.try_divide(F.sum(err * err), F.var_pop("label") * F.count(F.lit(1)))).alias("r2"))
     return agg.select("model", "n", *[round_half_up(c, digits).alias(c) for c in ("rmse", "mae", "r2")])
 
 

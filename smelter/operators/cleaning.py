@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from smelter.functions.columns import nan_to_null
+from smelter.operators.sizing import broadcast_if_small
+from smelter.session import materialize
 
 # Declared telemetry schema (column -> Spark SQL type).
 TELEMETRY_TYPES: dict[str, str] = {
@@ -70,9 +72,13 @@ def impute_group_median(df: DataFrame, value: str, group: str, flag: str,
     the input (before any later filter).  A group with only NULLs stays NULL
     unless ``global_fallback`` adds the median of all rows as a last resort
     (a scalar subquery, no join).
+
+    The medians, one row per group, are computed and stored right away: their
+    size is then known, and while it is small the rows are filled where they
+    are.  Joining them as part of one plan would first shuffle every raw row
+    by the group, most of them to a few hot ones.
     """
-    # per-group aggregate: AQE broadcasts it at runtime when small (no extra pass)
-    medians = group_median(df, value, group, "_median")
+    medians = broadcast_if_small(materialize(group_median(df, value, group, "_median"), "medians"))
     fill: list[Column] = [F.col(value), F.col("_median")]
     if global_fallback:
         fill.append(df.agg(F.percentile_approx(value, 0.5)).scalar())

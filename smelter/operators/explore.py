@@ -56,7 +56,7 @@ def cost_vs_mean(production: DataFrame, plants: DataFrame) -> DataFrame:
         "plant_name",
         round_half_up(F.col("_cpt"), 2).alias("cost_per_ton"),
         round_half_up(mean, 2).alias("mean_cost_per_ton"),
-        round_half_up((F.col("_cpt") / mean - 1) * 100, 2).alias("pct_vs_mean"),
+        round_half_up((F.try_divide(F.col("_cpt"), mean) - 1) * 100, 2).alias("pct_vs_mean"),
     )
 
 

@@ -1,10 +1,9 @@
 """Checked broadcasts.
 
-A side is broadcast only after a bounded count proves it small:
-``limit(bound + 1).count()`` reads at most ``bound + 1`` rows, so the check
-itself is cheap even when the side is huge.  Beyond the bound the join is
-left to the planner (sort-merge, or AQE's runtime broadcast when the
-materialised shuffle turns out small).
+A side is broadcast only after its size is proven small, in rows and in bytes:
+``limit(bound + 1)`` reads at most ``bound + 1`` rows, whose width is measured.
+Beyond the bound the join is left to the planner (sort-merge, or AQE's runtime
+broadcast when the materialised shuffle turns out small).
 """
 
 from __future__ import annotations
@@ -12,33 +11,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Default row bound for dimension-like sides (furnaces, plants, alloys,
-# per-key summaries).  At ~100 bytes a row this is well below the
-# executors' broadcast budget.
+# Bounds for dimension-like sides (furnaces, plants, alloys, per-key summaries).
 DIMENSION_ROW_BOUND = 200_000
+DIMENSION_BYTE_BOUND = 32 << 20
 
+_CHECKED: dict[tuple, bool] = {}
 
-_CHECKED: dict[tuple[int, int], bool] = {}
 
+def _source_key(df: DataFrame) -> tuple:
+    """Plan, its planned size and its files: a rewritten table has other files,
+    and so another key, even under the same path."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    return df.semanticHash(), str(plan.stats().sizeInBytes()), tuple(sorted(df.inputFiles()))
 
-def is_bounded(df: DataFrame, bound: int = DIMENSION_ROW_BOUND) -> bool:
-    """``True`` when ``df`` has at most ``bound`` rows.  The answer is kept per
-    logical plan (``semanticHash``) for the session, so the same dimension is
-    checked once, not once per query."""
-    key = (df.semanticHash(), bound)
+
+def is_bounded(df: DataFrame, bound: int = DIMENSION_ROW_BOUND, bytes_bound: int = DIMENSION_BYTE_BOUND) -> bool:
+    """``True`` when ``df`` is within both bounds.  The answer is kept for the
+    same plan over the same files, so a dimension is checked once, not once
+    per query."""
+    key = (*_source_key(df), bound, bytes_bound)
     if key not in _CHECKED:
-        _CHECKED[key] = df.limit(bound + 1).count() <= bound
+        width = sum((F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in df.columns), F.lit(8))
+        seen = df.limit(bound + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+        _CHECKED[key] = seen[0] <= bound and seen[1] <= bytes_bound
     return _CHECKED[key]
 
 
 def broadcast_if_small(df: DataFrame, bound: int = DIMENSION_ROW_BOUND) -> DataFrame:
-    """Hint a broadcast only when the row count is proven <= ``bound``.
-
-    Meant for dimension tables, where the bounded count is a cheap scan.  For
-    sides that are themselves aggregates of a fact table (per-key medians,
-    means) do not call this: the check would run the aggregation an extra
-    time.  Leave such joins unhinted; AQE measures the aggregate's shuffle
-    output and turns the sort-merge join into a broadcast join at runtime
-    when it is below ``spark.sql.adaptive.autoBroadcastJoinThreshold``.
+    """Hint a broadcast only when the side is proven small.
+
+    Meant for stored tables, where the bounded check is a cheap scan.  A side
+    that is itself an aggregate of a fact table should be stored first
+    (``session.materialize``), or left unhinted for AQE.
     """
     return F.broadcast(df) if is_bounded(df, bound) else df

@@ -42,11 +42,17 @@ class SnapshotTable:
     def _version_path(self, version: int) -> str:
         return os.path.join(self.root, f"version={version}")
 
+    def _exists(self, path: str) -> bool:
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
     def history(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(HISTORY_SCHEMA).parquet(self._history_path)
-        except Exception:  # noqa: BLE001 - no version written yet
+        """Committed versions; empty only if the history folder is not there.
+        A failure to list or read it is raised, never taken for emptiness."""
+        if not self._exists(self._history_path):
             return self.spark.createDataFrame([], HISTORY_SCHEMA)
+        return self.spark.read.schema(HISTORY_SCHEMA).parquet(self._history_path)
 
     def current_version(self) -> int | None:
         """Latest committed version (a one-row aggregate of the history, read
@@ -56,9 +62,11 @@ class SnapshotTable:
         return self._version
 
     def write(self, df: DataFrame, operation: str = "WRITE") -> int:
-        current = self.current_version()
-        version = 0 if current is None else current + 1
+        self._version = self.history().agg(F.max("version")).first()[0]  # another writer may have committed
+        version = 0 if self._version is None else self._version + 1
         path = self._version_path(version)
+        # a folder without a history row is what a crashed write left behind;
+        # a committed one cannot be met here, as versions only count up
         df.write.mode("overwrite").parquet(path)
         rows = self.spark.read.parquet(path).count()  # footer metadata only
         entry = self.spark.createDataFrame(
@@ -89,18 +97,25 @@ class SnapshotTable:
 def changes(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """Row-level changes between two versions: insert / delete / update.
 
-    Full outer join on the key with a 64-bit hash of the non-key columns on
-    each side; unchanged rows are filtered out.  Both sides are shuffled once
-    on the key.
+    Full outer join on the keys (null keys meet null keys); a row is updated
+    when any column of either version differs, a column that one version lacks
+    counting as null there.  Values are compared as they are, null by null;
+    both sides are shuffled once on the keys.
     """
-    values = [c for c in old.columns if c not in keys]
+    values = [c for c in dict.fromkeys([*old.columns, *new.columns]) if c not in keys]
 
     def side(df: DataFrame, tag: str) -> DataFrame:
-        return df.select(*keys, F.xxhash64(*[F.col(c) for c in values]).alias(f"_h_{tag}"),
+        cols = [F.col(c) if c in df.columns else F.lit(None).alias(c) for c in values]
+        return df.select(*(F.col(k).alias(f"_{tag}_{k}") for k in keys), *(c.alias(f"_{tag}_{n}") for n, c in zip(values, cols, strict=True)),
                          F.lit(True).alias(f"_in_{tag}"))
 
-    j = side(old, "old").join(side(new, "new"), keys, "full_outer")
+    a, b = side(old, "old"), side(new, "new")
+    same_key = [a[f"_old_{k}"].eqNullSafe(b[f"_new_{k}"]) for k in keys]
+    differs = F.lit(False)
+    for c in values:
+        differs = differs | ~F.col(f"_old_{c}").eqNullSafe(F.col(f"_new_{c}"))
     change = (F.when(F.col("_in_old").isNull(), F.lit("insert"))
               .when(F.col("_in_new").isNull(), F.lit("delete"))
-              .when(F.col("_h_old") != F.col("_h_new"), F.lit("update")))
-    return j.select(*keys, change.alias("change_type")).filter(F.col("change_type").isNotNull())
+              .when(differs, F.lit("update")))
+    key = [F.when(F.col("_in_old").isNull(), F.col(f"_new_{k}")).otherwise(F.col(f"_old_{k}")).alias(k) for k in keys]
+    return a.join(b, same_key, "full_outer").select(*key, change.alias("change_type")).filter(F.col("change_type").isNotNull())

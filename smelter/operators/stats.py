@@ -30,7 +30,7 @@ def null_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     aggs += [F.count_if(F.col(c).isNull()).alias(f"n_{c}") for c in columns]
     wide = df.agg(*aggs)
     long = _stack(wide, [([c], ["_rows", f"n_{c}"]) for c in columns], ["column_name", "rows", "nulls"])
-    return long.withColumn("null_pct", round_half_up(F.col("nulls") / F.col("rows") * 100, 4))
+    return long.withColumn("null_pct", round_half_up(F.try_divide("nulls", "rows") * 100, 4))
 
 
 def describe_long(df: DataFrame, columns: list[str], digits: int = 6) -> DataFrame:
@@ -63,7 +63,8 @@ def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
     bounds = df.agg(F.struct(F.min(column).alias("lo"), F.max(column).alias("hi"))).scalar()
     lo, hi = F.col("_b.lo"), F.col("_b.hi")
     width = (hi - lo) / bins
-    b = F.least(F.floor((F.col(column) - lo) / width) + 1, F.lit(bins))
+    # a constant column has no width: everything is in the first bin
+    b = F.least(F.coalesce(F.floor(F.try_divide(F.col(column) - lo, width)), F.lit(0)) + 1, F.lit(bins))
     counts = (with_scalars(df.filter(F.col(column).isNotNull()), _b=bounds)
               .groupBy(b.cast("int").alias("bin"), F.col("_b")).agg(F.count(F.lit(1)).alias("n")))
     return counts.select("bin", round_half_up(lo + (F.col("bin") - 1) * width, 4).alias("bin_start"),

@@ -9,156 +9,135 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from smelter.plans.medallion import GOLD_SQL, gold
-from smelter.plans.registry import register
+from smelter.plans.registry import ORACLES, register
 from smelter.session import scratch_dir
 from smelter.sources import files
 from smelter.sources.standins import duckdb_with
-from smelter.sources.tables import BASE_TABLES
 from smelter.streaming import ingest
 
 TELEMETRY_COLS = [f.name for f in files.TELEMETRY_CSV_SCHEMA.fields]
 
 
-def land_telemetry(t, parts: int = 4) -> str:
-    """Write the telemetry role as header CSV files into a fresh landing folder."""
-    landing = os.path.join(scratch_dir(t.spark, "landing"), "telemetry")
-    (t.role("telemetry").repartition(parts, "furnace_id")
-     .write.option("header", True).csv(landing))
-    return landing
+#: Two waves of landed files: readings from the cutoff on come first, older
+#: ones a wave later, as late files do.
+WAVE_CUTOFF = "2024-01-15 00:00:00"
 
 
-def bronze_twice(t):
-    """Land, ingest, ingest again (no new files -> nothing appended)."""
-    landing = land_telemetry(t)
-    base = scratch_dir(t.spark, "bronze")
-    target, ckpt = os.path.join(base, "table"), os.path.join(base, "_checkpoint")
-    for _ in range(2):
-        ingest.ingest_bronze(t.spark, landing, target, ckpt, files.TELEMETRY_CSV_SCHEMA)
-    return target
+def waves(t) -> list:
+    tel = t.role("telemetry")
+    late = F.col("ts") < F.lit(WAVE_CUTOFF).cast("timestamp")
+    return [tel.filter(~F.coalesce(late, F.lit(False))), tel.filter(late)]
 
 
-@register("stream_bronze", ("SRC4", "SRC5", "SRC6", "SNK2", "STR1", "STR2", "FN5"),
+def ingested(t, first_without: str | None = None, after_wave=None) -> tuple[str, str]:
+    """Land the telemetry role as header CSV in two waves and ingest after
+    each; ingest once more at the end (no new files -> nothing appended).
+    Returns the bronze table's path and checkpoint."""
+    base = scratch_dir(t.spark, "bronze")
+    landing, target, ckpt = (os.path.join(base, d) for d in ("landing", "table", "_checkpoint"))
+    declared = T.StructType([f for f in files.TELEMETRY_CSV_SCHEMA.fields if f.name != first_without])
+    for i, wave in enumerate(waves(t)):
+        wave = wave.drop(first_without) if first_without and i == 0 else wave
+        if i:  # the second wave's files name their columns in another order
+            wave = wave.select(*reversed(wave.columns))
+        wave.write.mode("append").option("header", True).csv(landing)
+        ingest.ingest_bronze(t.spark, landing, target, ckpt, declared)
+        if after_wave:
+            after_wave(target, ckpt)
+    ingest.ingest_bronze(t.spark, landing, target, ckpt, declared)
+    return target, ckpt
+
+
+@register("stream_bronze", ("SRC4", "SRC5", "SNK2", "STR1", "STR2", "FN5"),
           duckdb_with("telemetry") + "SELECT * FROM telemetry")
 def q_stream_bronze(t):
-    """Incremental CSV ingest, run twice; the bronze table holds each reading once."""
-    target = bronze_twice(t)
-    return t.spark.read.parquet(target).select(*TELEMETRY_COLS)
-
-
-EVOLVE_CUTOFF = "2024-01-15 00:00:00"
+    """Incremental CSV ingest in two waves and a rerun; the bronze table holds
+    each reading once."""
+    return ingest.read_bronze(t.spark, *ingested(t)).select(*TELEMETRY_COLS)
 
 
 @register("stream_schema_evolution", ("SRC4", "SNK2"), duckdb_with("telemetry") + f"""
-SELECT * REPLACE (CASE WHEN ts < TIMESTAMP '{EVOLVE_CUTOFF}' THEN NULL ELSE is_failure END AS is_failure)
+SELECT * REPLACE (CASE WHEN ts >= TIMESTAMP '{WAVE_CUTOFF}' THEN NULL ELSE is_failure END AS is_failure)
 FROM telemetry""")
 def q_stream_schema_evolution(t):
-    """Files land in two waves: readings before the cutoff without the
-    ``is_failure`` column, later readings with it.  The stream ingests the
-    first wave with the narrow schema, the stored schema is widened from the
-    new header, and the stream restarts on the same checkpoint: old rows read
-    the new column as NULL, new rows carry it."""
-    base = scratch_dir(t.spark, "evolve")
-    landing, target = os.path.join(base, "landing"), os.path.join(base, "bronze")
-    ckpt, schema_file = os.path.join(base, "_checkpoint"), os.path.join(base, "_schema", "schema.json")
-    tel = t.role("telemetry")
-    early = F.col("ts") < F.lit(EVOLVE_CUTOFF).cast("timestamp")
-    narrow = T.StructType([f for f in files.TELEMETRY_CSV_SCHEMA.fields if f.name != "is_failure"])
-    (tel.filter(early).drop("is_failure").repartition(2, "furnace_id")
-     .write.option("header", True).csv(landing))
-    owner = f"bronze:{landing}"
-    ingest.run_available_now(ingest.bronze_stream(t.spark, landing, narrow), target, ckpt, owner)
-    (tel.filter(~early).repartition(2, "furnace_id")
-     .write.mode("append").option("header", True).csv(landing))
-    wider = ingest.evolve_schema(t.spark, landing, schema_file, narrow)
-    ingest.run_available_now(ingest.bronze_stream(t.spark, landing, wider), target, ckpt, owner)
-    return t.spark.read.option("mergeSchema", True).parquet(target).select(*TELEMETRY_COLS)
-
-
-@register("stream_file_counts", ("AGG16", "SRC6"))
+    """The first wave lacks the ``is_failure`` column, the second has it, in
+    another column order.  The stored schema widens by a text column, typed
+    with ``try_cast`` on the way out."""
+    bronze = ingest.read_bronze(t.spark, *ingested(t, first_without="is_failure"))
+    return ingest.cleaning.typed(bronze).select(*TELEMETRY_COLS)
+
+
+@register("stream_file_counts", ("AGG16", "SRC6"), duckdb_with("telemetry") + """
+SELECT count(*) AS rows, CAST(0 AS BIGINT) AS missing_file, CAST(0 AS BIGINT) AS missing_ingest_time,
+       true AS several_files FROM telemetry""")
 def q_stream_file_counts(t):
-    """Rows and distinct source files of the bronze table (provenance columns)."""
-    target = bronze_twice(t)
-    return t.spark.read.parquet(target).agg(
-        F.count(F.lit(1)).alias("rows"), F.countDistinct("source_file").alias("files"),
-        F.count_if(F.col("ingested_at").isNull()).alias("missing_ingest_time"))
+    """Rows of the bronze table and its provenance columns."""
+    return ingest.read_bronze(t.spark, *ingested(t)).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(~F.coalesce(F.col("source_file").endswith(".csv"), F.lit(False))).alias("missing_file"),
+        F.count_if(F.col("ingested_at").isNull()).alias("missing_ingest_time"),
+        (F.countDistinct("source_file") > 1).alias("several_files"))
 
 
-def silver_gold_stream(t):
-    target = bronze_twice(t)
+def silver_gold_stream(t) -> dict[str, str]:
+    """Bronze in two waves, the silver stream run after each."""
     base = scratch_dir(t.spark, "silver")
-    silver_path, gold_path = os.path.join(base, "silver"), os.path.join(base, "gold")
-    stream = ingest.silver_stream(t.spark.readStream.schema(
-        t.spark.read.parquet(target).schema).parquet(target))
-    ingest.run_silver_gold(stream, silver_path, gold_path, os.path.join(base, "_checkpoint"))
-    return silver_path, gold_path
+    paths = {name: os.path.join(base, name) for name in ("seen", "silver", "gold", "rules")}
+
+    def refresh(target, ckpt):
+        bronze = ingest.bronze_stream(t.spark, target, ckpt)
+        ingest.run_silver_gold(bronze, *paths.values(), os.path.join(base, "_checkpoint"))
+
+    ingested(t, after_wave=refresh)
+    return paths
 
 
 @register("stream_silver_keys", ("STR3", "STR4", "SRC12"), duckdb_with("telemetry") + """
 SELECT DISTINCT furnace_id, ts FROM telemetry""")
 def q_stream_silver_keys(t):
-    """Natural keys reaching the streaming dedup (bronze stream -> typed ->
-    watermark dedup), before the drop rule."""
-    target = bronze_twice(t)
-    typed = ingest.cleaning.typed(t.spark.readStream.schema(
-        t.spark.read.parquet(target).schema).parquet(target), ingest.cleaning.PIPELINE_TYPES)
-    deduped = typed.withWatermark("ts", "1 day").dropDuplicatesWithinWatermark(["furnace_id", "ts"])
-    out = os.path.join(scratch_dir(t.spark, "keys"), "keys")
-    ingest.run_available_now(deduped.select("furnace_id", "ts"), out, out + "_checkpoint", owner="keys")
-    return t.spark.read.parquet(out)
-
-
-@register("stream_quality", ("STR7", "DQ4"))
+    """Natural keys after the streaming dedup (before rules), the second wave
+    arriving after later days were processed."""
+    return t.spark.read.parquet(silver_gold_stream(t)["seen"]).select("furnace_id", "ts")
+
+
+@register("stream_quality", ("STR7", "DQ4"), duckdb_with("telemetry") + f""",
+waved AS (SELECT *, CAST(CASE WHEN ts < TIMESTAMP '{WAVE_CUTOFF}' THEN 1 ELSE 0 END AS BIGINT) AS batch_id FROM telemetry),
+firsts AS (SELECT * FROM waved QUALIFY row_number() OVER (PARTITION BY furnace_id, ts ORDER BY reading_seq) = 1)
+SELECT batch_id, count(*) AS rows,
+       count(*) FILTER (WHERE coalesce(temperature_c NOT BETWEEN 800 AND 1100, true)) AS plausible_temperature,
+       count(*) FILTER (WHERE furnace_id IS NULL) AS furnace_identified,
+       count(*) FILTER (WHERE vibration_mm_s IS NULL) AS vibration_present
+FROM firsts GROUP BY batch_id""")
 def q_stream_quality(t):
-    """Rule counters of one streaming silver run, as reported by the stream's
-    observed metrics (rows seen and violations per rule, per micro-batch)."""
-    target = bronze_twice(t)
-    stream = ingest.silver_stream(t.spark.readStream.schema(
-        t.spark.read.parquet(target).schema).parquet(target))
-    base = scratch_dir(t.spark, "silver_q")
-    q = ingest.run_available_now(stream, os.path.join(base, "silver"), os.path.join(base, "_checkpoint"),
-                                 owner="silver_quality")
-    rows = []
-    for progress in q.recentProgress:
-        metrics = progress.get("observedMetrics", {}).get("silver_rules")
-        if metrics:  # a run with no new rows reports no metrics
-            rows.append((int(progress["batchId"]), *[int(metrics[k]) for k in
-                         ("rows", "plausible_temperature", "furnace_identified", "vibration_present")]))
-    return t.spark.createDataFrame(rows, "batch_id long, rows long, plausible_temperature long, "
-                                         "furnace_identified long, vibration_present long")
-
-
-@register("stream_gold", ("STR5", "SRC12"))
+    """Rule counters of the streaming silver, stored per micro-batch (rows
+    seen and violations per rule)."""
+    counts = t.spark.read.parquet(silver_gold_stream(t)["rules"])
+    return counts.where("rows > 0").withColumn("batch_id", F.col("batch_id").cast("long"))
+
+
+@register("stream_gold", ("STR5", "SRC12"), ORACLES["gold_furnace_day_lite"])
 def q_stream_gold(t):
-    """Stream silver (dedup + rules) -> foreachBatch: silver epochs + gold
-    recomputed for touched days only."""
-    _, gold_path = silver_gold_stream(t)
-    return t.spark.read.parquet(gold_path)
+    """Stream silver (dedup + rules) -> gold recomputed for touched days only;
+    equal to the batch result."""
+    return t.spark.read.parquet(silver_gold_stream(t)["gold"])
 
 
-@register("csv_roundtrip", ("SNK4", "SRC1", "SRC2", "SNK1"), GOLD_SQL + "\nSELECT * FROM gold_oee")
-def q_csv_roundtrip(t):
-    """Export the furnace-day gold as CSV and Parquet; read the CSV back with
-    its declared schema."""
+@register("parquet_or_csv", ("SRC2",), GOLD_SQL + "\nSELECT * FROM gold_oee")
+def q_parquet_or_csv(t):
+    """The furnace-day gold exported and read back: Parquet where it exists."""
     out = scratch_dir(t.spark, "export")
     g = gold(t)
     files.export(g, out, "gold_furnace_day")
-    back = files.read_csv(t.spark, os.path.join(out, "gold_furnace_day.csv"), schema=g.schema)
-    assert files.read_parquet_or_csv(t.spark, os.path.join(out, "gold_furnace_day")).columns == g.columns
-    return back
-
-
-@register("landing_inventory", ("SRC10",))
-def q_landing_inventory(t):
-    """Files of the input directory: relative path and size, sorted."""
-    return files.landing_inventory(t.spark, t.directory)
+    return files.read_parquet_or_csv(t.spark, os.path.join(out, "gold_furnace_day"))
 
 
-@register("required_inputs", ("DQ8",))
-def q_required_inputs(t):
-    """Required input files missing from the input directory (expected: none)."""
-    inv = files.landing_inventory(t.spark, t.directory)
-    required = inv.sparkSession.createDataFrame([(f"{n}.parquet",) for n in BASE_TABLES], "name string")
-    return files.missing_inputs(inv, required)
+@register("csv_roundtrip", ("SNK4", "SRC1", "SNK1"), GOLD_SQL + "\nSELECT * FROM gold_oee")
+def q_csv_roundtrip(t):
+    """Export the furnace-day gold as CSV and Parquet; read the CSV back with
+    its declared schema."""
+    out = scratch_dir(t.spark, "export")
+    g = gold(t)
+    files.export(g, out, "gold_furnace_day", parquet=False)
+    return files.read_csv(t.spark, os.path.join(out, "gold_furnace_day.csv"), schema=g.schema)
 
 
 @register("published_gold", ("SNK3", "SRC3", "SNK1"), GOLD_SQL + "\nSELECT * FROM gold_oee")

@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from smelter.functions.columns import failure_probability, round_half_up, round_half_up_sql as r
+from smelter.functions.columns import logistic, round_half_up, round_half_up_sql as r
 from smelter.operators import cleaning, datasets, rollups
+from smelter.operators.sizing import broadcast_if_small
 from smelter.plans.registry import register
+from smelter.session import materialize
 from smelter.sources.standins import duckdb_ctes, duckdb_with
 
+#: Width of a temperature band of the failure risk model, in degrees.
+RISK_BIN = 10
+
 # ---- shared oracle fragments ------------------------------------------------
 
 SILVER_SQL = duckdb_with("telemetry") + """,
@@ -149,18 +154,29 @@ def q_top_failure_days(t):
     return gold(t).orderBy(F.desc("failure_rate"), "furnace_id", "day").limit(10)
 
 
-@register("failure_risk", ("FN14", "FN13", "PRJ10"), SILVER_SQL + f"""
-SELECT furnace_id, CAST(ts AS DATE) AS day,
-       {r('avg(1 / (1 + exp(-(-5.2 + 1.3 * anode_effect + 0.55 * (vibration_mm_s - 2.0) + 0.18 * abs(temperature_c - 960)))))', 6)} AS expected_failure_rate,
-       {r('avg(is_failure)', 4)} AS observed_failure_rate,
-       {r('max(abs(temperature_c - 960))', 4)} AS max_temperature_deviation
-FROM silver GROUP BY furnace_id, CAST(ts AS DATE)""")
+@register("failure_risk", ("FN14", "FN13", "PRJ10"), SILVER_SQL + f""",
+conditions AS (
+  SELECT *, floor(temperature_c / {RISK_BIN}) AS temperature_bin FROM silver),
+odds AS (
+  SELECT anode_effect, temperature_bin,
+         ln((sum(is_failure) + 1.0) / (count(is_failure) - sum(is_failure) + 1.0)) AS log_odds
+  FROM conditions GROUP BY anode_effect, temperature_bin)
+SELECT c.furnace_id, CAST(c.ts AS DATE) AS day,
+       {r('avg(1 / (1 + exp(-o.log_odds)))', 6)} AS expected_failure_rate,
+       {r('avg(c.is_failure)', 4)} AS observed_failure_rate
+FROM conditions c JOIN odds o ON c.anode_effect IS NOT DISTINCT FROM o.anode_effect
+  AND c.temperature_bin IS NOT DISTINCT FROM o.temperature_bin
+GROUP BY c.furnace_id, CAST(c.ts AS DATE)""")
 def q_failure_risk(t):
-    """Expected failure rate per furnace-day from the logistic failure rule
-    (anode effect, vibration, distance to the 960 C setpoint) next to the
-    observed rate."""
-    s = silver(t)
-    return (s.groupBy("furnace_id", F.to_date("ts").alias("day"))
-            .agg(round_half_up(F.avg(failure_probability()), 6).alias("expected_failure_rate"),
-                 round_half_up(F.avg("is_failure"), 4).alias("observed_failure_rate"),
-                 round_half_up(F.max(F.abs(F.col("temperature_c") - 960)), 4).alias("max_temperature_deviation")))
+    """Expected failure rate per furnace-day, next to the observed one: a
+    logistic model with one parameter per operating condition (anode effect
+    and temperature band), fitted on all readings by their smoothed odds."""
+    rows = silver(t).withColumn("temperature_bin", F.floor(F.col("temperature_c") / RISK_BIN))
+    failed, seen = F.sum("is_failure"), F.count("is_failure")
+    odds = broadcast_if_small(materialize(rows.groupBy("anode_effect", "temperature_bin").agg(
+        F.log((failed + 1.0) / (seen - failed + 1.0)).alias("log_odds")), "odds").withColumnsRenamed(
+        {"anode_effect": "_anode", "temperature_bin": "_bin"}))
+    fitted = rows.join(odds, F.col("anode_effect").eqNullSafe(F.col("_anode")) & F.col("temperature_bin").eqNullSafe(F.col("_bin")))
+    return (fitted.groupBy("furnace_id", F.to_date("ts").alias("day"))
+            .agg(round_half_up(F.avg(logistic("log_odds")), 6).alias("expected_failure_rate"),
+                 round_half_up(F.avg("is_failure"), 4).alias("observed_failure_rate")))

@@ -73,7 +73,7 @@ def q_null_profile(t):
 
 
 DESCRIBE_COLUMNS = ["temperature_c", "amperage_ka", "bath_ratio", "anode_effect", "alumina_feed_rate",
-                    "energy_kwh_ton", "vibration_mm_s", "is_failure"]
+                    "energy_kwh_ton", "pressure_pa", "vibration_mm_s", "is_failure"]
 
 
 @register("describe_long", ("AGG15",), duckdb_with("telemetry") + "\n" + "\nUNION ALL\n".join(

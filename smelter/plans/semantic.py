@@ -3,15 +3,17 @@ question queries built on them."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from smelter.functions.columns import month_start, round_half_up_sql as r
+from smelter.functions.columns import month_start, round_half_up, round_half_up_sql as r
+from smelter.operators import explore
 from smelter.operators.sizing import broadcast_if_small
-from smelter.plans.metrics import MetricView, ViewJoin, latest, since
+from smelter.plans.metrics import MetricView, ViewJoin, between, last_day, month_begin
 from smelter.plans.registry import register
 from smelter.sources.standins import duckdb_with
 
+TARIFF = explore.ENERGY_PRICE_BRL_PER_MWH
 PRICE = "SUM(revenue_brl) / NULLIF(SUM(tons_sold), 0)"
 COST = "SUM(energy_cost_brl) / NULLIF(SUM(tons_produced), 0)"
 
@@ -27,8 +29,8 @@ def production_view(production: DataFrame, plants: DataFrame, alloys: DataFrame)
         measures={
             "total_tons": "SUM(tons_produced)",
             "total_energy_kwh": "SUM(energy_kwh)",
-            "energy_cost_brl": "SUM(energy_kwh) / 1000 * 320",
-            "energy_cost_per_ton": "(SUM(energy_kwh) / 1000 * 320) / NULLIF(SUM(tons_produced), 0)",
+            "energy_cost_brl": f"SUM(energy_kwh) / 1000 * {TARIFF}",
+            "energy_cost_per_ton": f"(SUM(energy_kwh) / 1000 * {TARIFF}) / NULLIF(SUM(tons_produced), 0)",
             "total_defects": "SUM(defects)",
             "oee_quality_pct": "(1 - SUM(defects) / NULLIF(SUM(tons_produced), 0)) * 100",
         })
@@ -77,7 +79,7 @@ def margin_source(sales: DataFrame, production: DataFrame, alloys: DataFrame,
         j = j.select("month", "alloy_name", *cols)
     return (j.groupBy("month", "alloy_name")
             .agg(F.sum("rev").alias("revenue_brl"), F.sum("ts").alias("tons_sold"),
-                 (F.sum("kwh") / 1000 * 320).alias("energy_cost_brl"),
+                 (F.sum("kwh") / 1000 * TARIFF).alias("energy_cost_brl"),
                  F.sum("tp").alias("tons_produced")))
 
 
@@ -230,11 +232,9 @@ SELECT {r(f'({P_SQL}) - ({C_SQL})', 4)} AS margin_brl_ton,
        {r(f'(({P_SQL}) - ({C_SQL})) / NULLIF({P_SQL}, 0) * 100', 4)} AS margin_pct
 FROM margin_src WHERE month = (SELECT max(month) FROM margin_src)""")
 def q_metric_margin_latest(t):
-    """KPI of the latest month of the view (restricted by a semi-join on the
-    one-row frame of that month)."""
-    view = _margin(t)
-    return view.query([], ["margin_brl_ton", "margin_pct"], digits=4,
-                      within={"month": latest(view.values("month"), "month")})
+    """KPI of the latest month of the view."""
+    return _margin(t).query(["month"], ["margin_brl_ton", "margin_pct"], digits=4,
+                            order_by=[F.desc("month")], limit=1).drop("month")
 
 
 @register("metric_margin_latest_complete", ("DSH2", "TRAP2"), MARGIN_ROWS + f"""
@@ -242,15 +242,8 @@ SELECT {r(f'({P_SQL}) - ({C_SQL})', 4)} AS margin_brl_ton
 FROM margin_src WHERE month = (SELECT max(month) FROM margin_src WHERE tons_produced IS NOT NULL)""")
 def q_metric_margin_latest_complete(t):
     """Latest month that has both sales and production."""
-    view = _margin(t)
-    months = view.values("month", F.col("tons_produced").isNotNull())
-    return view.query([], ["margin_brl_ton"], digits=4, within={"month": latest(months, "month")})
-
-
-def _sales_months(t):
-    """Distinct sales months (one row per month): the frame relative periods
-    are computed on; its maximum is the month of the last sale."""
-    return t.role("sales").select(month_start("date").alias("month")).distinct()
+    return _margin(t).query(["month"], ["margin_brl_ton"], where="tons_produced IS NOT NULL", digits=4,
+                            order_by=[F.desc("month")], limit=1).drop("month")
 
 
 @register("metric_margin_12m", ("QRY1", "FLT7", "FN4", "TRAP10"), MARGIN_ROWS + f"""
@@ -259,9 +252,17 @@ FROM margin_src
 WHERE month >= CAST(date_trunc('month', (SELECT max(date) FROM sales) - INTERVAL 12 MONTH) AS DATE)
 GROUP BY alloy_name""")
 def q_metric_margin_12m(t):
-    """Trailing 12 months relative to the last sales date (the ``as_of``)."""
-    months = since(_sales_months(t), "month", lambda top: F.add_months(top, -12))
-    return _margin(t).query(["alloy_name"], ["margin_brl_ton"], digits=4, within={"month": months})
+    """Trailing 12 months relative to the last sales date."""
+    return margin_since(t.role("sales"), t.role("production"), t.role("alloys"))
+
+
+def margin_since(sales: DataFrame, production: DataFrame, alloys: DataFrame, as_of=None, months: int = 12) -> DataFrame:
+    """Margin per alloy from ``months`` months before ``as_of``'s month on
+    (default: the last sale).  Both facts are cut by date before they are
+    aggregated, as a month is in the period exactly if its days are."""
+    first = month_begin(as_of or last_day(sales), months)
+    view = margin_view(between(sales, first), between(production, first), alloys)
+    return view.query(["alloy_name"], ["margin_brl_ton"], digits=4)
 
 
 @register("metric_sales_ytd", ("QRY3", "FLT8", "FLT9"), SALES_ROWS + f"""
@@ -272,10 +273,55 @@ WHERE month >= CAST(date_trunc('year', (SELECT max(date) FROM sales)) AS DATE)
 GROUP BY market""")
 def q_metric_sales_ytd(t):
     """Year to date per market, with a multi-select alloy filter."""
-    months = since(_sales_months(t), "month", lambda top: F.trunc(top, "year"))
-    return _sales(t).query(["market"], ["total_tons_sold", "revenue_brl"], digits=4,
-                           where=F.col("alloy_name").isin("ECONOMY", "MEDIUM-LARGE", "PROMO", "SMALL"),
-                           within={"month": months})
+    sales = t.role("sales")
+    this_year = between(sales, last_day(sales).replace(month=1, day=1))
+    return sales_view(this_year, t.role("alloys")).query(
+        ["market"], ["total_tons_sold", "revenue_brl"], digits=4,
+        where=F.col("alloy_name").isin("ECONOMY", "MEDIUM-LARGE", "PROMO", "SMALL"))
+
+
+@register("dashboard_sales", ("FLT9",), SALES_ROWS + f"""
+SELECT month, region, {r('sum(revenue_brl)', 4)} AS revenue_brl, {r('sum(tons_sold)', 4)} AS total_tons_sold
+FROM sales_rows WHERE date BETWEEN DATE '1995-03-01' AND DATE '1995-08-31' AND market = 'Externo'
+GROUP BY month, region""")
+def q_dashboard_sales(t):
+    """Sales by month and region under the dashboard's two filters, a date
+    range and a market; the range reaches the scan, no dimension is joined."""
+    import datetime as dt
+
+    sales = between(t.role("sales"), dt.date(1995, 3, 1), dt.date(1995, 8, 31))
+    return sales_view(sales, t.role("alloys")).query(
+        ["month", "region"], ["revenue_brl", "total_tons_sold"], where="market = 'Externo'", digits=4,
+        order_by=["month", "region"])
+
+
+@register("quotes_12m", ("QRY4", "FLT7"), duckdb_with("lme", "fx") + f""",
+q AS (SELECT {MONTH.format('l.date')} AS month, l.lme_price_usd_ton, x.usd_brl FROM lme l JOIN fx x ON l.date = x.date
+      WHERE l.date >= CAST(date_trunc('month', (SELECT max(date) FROM lme) - INTERVAL 12 MONTH) AS DATE))
+SELECT month, {r('avg(lme_price_usd_ton)', 4)} AS avg_lme_usd_ton, {r('avg(usd_brl)', 4)} AS avg_usd_brl
+FROM q GROUP BY month""")
+def q_quotes_12m(t):
+    """Metal price and exchange rate over the trailing 12 months, by month."""
+    lme = t.role("lme")
+    quotes = between(lme, month_begin(last_day(lme), 12)).join(t.role("fx"), "date")
+    view = MetricView(quotes, {"month": "trunc(source.date, 'MM')"},
+                      {"avg_lme_usd_ton": "AVG(lme_price_usd_ton)", "avg_usd_brl": "AVG(usd_brl)"})
+    return view.query(["month"], ["avg_lme_usd_ton", "avg_usd_brl"], digits=4, order_by=["month"])
+
+
+@register("margin_against_cost", ("QRY4",), MARGIN_ROWS + f""",
+m AS (SELECT month, {C_SQL} AS cost, ({P_SQL}) - ({C_SQL}) AS margin FROM margin_src GROUP BY month)
+SELECT month, {r('margin', 4)} AS margin_brl_ton, {r('cost', 4)} AS cost_brl_ton,
+       {r('margin - lag(margin) OVER (ORDER BY month)', 4)} AS margin_change,
+       {r('cost - lag(cost) OVER (ORDER BY month)', 4)} AS cost_change
+FROM m""")
+def q_margin_against_cost(t):
+    """Month-on-month movement of the margin next to that of the cost."""
+    months = _margin(t).query(["month"], ["margin_brl_ton", "cost_brl_ton"])
+    by_month = Window.orderBy("month")  # one row per month
+    change = {f"{m}_change": F.col(f"{m}_brl_ton") - F.lag(f"{m}_brl_ton").over(by_month) for m in ("margin", "cost")}
+    moved = months.withColumns(change)
+    return moved.select("month", *(round_half_up(c, 4).alias(c) for c in moved.columns if c != "month"))
 
 
 @register("metric_quality", ("MET4", "QRY4"), duckdb_with("inspections") + f"""

@@ -1,21 +1,24 @@
-"""Incremental file ingest (bronze) and stream-to-stream silver.
-
-* Bronze: a file stream over a landing directory with a declared schema,
-  provenance columns, a Parquet sink and a checkpoint.  ``availableNow``
-  processes every file not yet recorded in the checkpoint and stops, so a
-  rerun with no new files appends nothing.
-* Schema evolution: plain file sources do not widen their schema by
-  themselves.  ``evolve_schema`` merges a probe of the directory with the
-  stored schema (new columns appended, old ones kept) and the stream is
-  restarted on the same checkpoint with the wider schema; old rows read the
-  new column as NULL.
-* Silver: ``try_cast`` typing, a watermark on the event time and
-  ``dropDuplicatesWithinWatermark`` on the natural key, so dedup state stays
-  bounded; rows later than the watermark are dropped by design.
+"""Incremental file ingest (bronze) and stream-to-stream silver and gold.
+
+* Bronze: a file stream over a landing directory.  Each micro-batch groups its
+  files by header line and reads every group with a schema built from its own
+  header, so columns bind by name whatever their order.  Declared columns get
+  their declared type; new ones are appended to the stored schema as text
+  (typed later with ``try_cast``), so no value is lost to a guessed type.
+  ``availableNow`` processes every file not yet recorded in the checkpoint and
+  stops; a rerun with no new files appends nothing, and a retried micro-batch
+  replaces its own output.
+* Silver: no watermark and no state store.  The state is the deduplicated
+  table itself, partitioned by day: each micro-batch merges its rows into the
+  days that it touches, so a row that arrives late by any time is kept, and
+  the row that survives does not depend on the order of arrival.
+* Gold: recomputed for the touched days only.  Rule counters are stored per
+  micro-batch.
 """
 
 from __future__ import annotations
 
+import csv
 import json
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,31 +27,53 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from smelter.operators import cleaning, datasets
+from smelter.session import materialize
 
-_CHECKPOINTS_IN_USE: dict[str, str] = {}
-INFER_SAMPLE_FILES = 100  # files probed to type a newly appeared column
 
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
-def claim_checkpoint(checkpoint: str, owner: str) -> None:
-    """One checkpoint per (source, sink): refuse to share one."""
-    current = _CHECKPOINTS_IN_USE.get(checkpoint)
-    if current is not None and current != owner:
-        raise ValueError(f"checkpoint {checkpoint} already used by {current}")
-    _CHECKPOINTS_IN_USE[checkpoint] = owner
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
 
-def bronze_stream(spark: SparkSession, landing: str, schema: T.StructType) -> DataFrame:
-    return (spark.readStream.schema(schema).option("header", True).csv(landing)
-            .withColumn("source_file", F.col("_metadata.file_name"))
-            .withColumn("ingested_at", F.current_timestamp()))
+
+def _read_text(spark: SparkSession, path: str) -> str | None:
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:  # one small file; Spark's readers skip names that begin with "_"
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
 
-def run_available_now(df: DataFrame, target: str, checkpoint: str, owner: str,
-                      observed: str | None = None) -> StreamingQuery:
-    """Append everything available to a Parquet directory, then stop."""
-    claim_checkpoint(checkpoint, owner)
-    q = (df.writeStream.format("parquet").option("path", target)
-         .option("checkpointLocation", checkpoint).outputMode("append")
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
+
+
+def claim_checkpoint(spark: SparkSession, checkpoint: str, owner: str) -> None:
+    """One checkpoint per (source, sink): the owner is written beside the
+    checkpoint, so that another stream is refused after a restart too."""
+    mark = checkpoint.rstrip("/") + "_owner"
+    current = _read_text(spark, mark)
+    if current is not None and current != owner:
+        raise ValueError(f"checkpoint {checkpoint} already used by {current}")
+    if current is None:
+        _write_text(spark, mark, owner)
+
+
+def run_batches(stream: DataFrame, batch_fn, checkpoint: str, owner: str) -> StreamingQuery:
+    """Everything available through ``batch_fn(batch, epoch)``, then stop."""
+    claim_checkpoint(stream.sparkSession, checkpoint, owner)
+    q = (stream.writeStream.foreachBatch(batch_fn).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
     if q.exception() is not None:
@@ -56,108 +81,130 @@ def run_available_now(df: DataFrame, target: str, checkpoint: str, owner: str,
     return q
 
 
+# ---- bronze -----------------------------------------------------------------
+
+def schema_file(checkpoint: str) -> str:
+    return checkpoint.rstrip("/") + "_schema.json"
+
+
+def stored_schema(spark: SparkSession, checkpoint: str) -> T.StructType | None:
+    """The schema kept beside a bronze checkpoint, None before the first file."""
+    text = _read_text(spark, schema_file(checkpoint))
+    return None if text is None else T.StructType.fromJson(json.loads(text))
+
+
+def header_groups(lines: DataFrame) -> dict[str, list[str]]:
+    """Files by header line.  ``lines`` has value, path and block_start; the
+    header is a file's first line, found in one pass with one row per file."""
+    first = (lines.where(F.col("block_start") == 0).withColumn("at", F.monotonically_increasing_id())
+             .groupBy("path").agg(F.min_by("value", "at").alias("header")))
+    groups = first.groupBy("header").agg(F.collect_list("path").alias("paths")).collect()
+    return {g.header: sorted(g.paths) for g in groups if g.header}
+
+
+def read_group(spark: SparkSession, header: str, paths: list[str], known: dict[str, T.DataType]) -> DataFrame:
+    names = [c.strip() for c in next(csv.reader([header.lstrip("﻿")]))]
+    schema = T.StructType([T.StructField(n, known.get(n, T.StringType())) for n in names])
+    return (spark.read.schema(schema).option("header", True).csv(paths)
+            .withColumn("source_file", F.col("_metadata.file_name"))
+            .withColumn("ingested_at", F.current_timestamp()))
+
+
+def bronze_batches(target: str, checkpoint: str, declared: T.StructType):
+    """``foreachBatch`` function that lands a batch of files in ``target``."""
+
+    def land(batch: DataFrame, epoch_id: int) -> None:
+        spark = batch.sparkSession
+        schema = stored_schema(spark, checkpoint) or declared
+        known = {f.name: f.dataType for f in schema.fields}
+        out = None
+        for header, paths in sorted(header_groups(batch).items()):
+            part = read_group(spark, header, paths, known)
+            known |= {f.name: f.dataType for f in part.schema.fields[:-2]}
+            out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+        if out is None:
+            return
+        added = [T.StructField(n, t) for n, t in known.items() if n not in schema.fieldNames()]
+        wider = T.StructType(schema.fields + added)
+        columns = [F.col(f.name) if f.name in out.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in wider.fields]
+        (out.select(*columns, "source_file", "ingested_at")
+         .write.mode("overwrite").parquet(f"{target}/ingest_batch={epoch_id}"))
+        _write_text(spark, schema_file(checkpoint), json.dumps(wider.jsonValue()))
+
+    return land
+
+
 def ingest_bronze(spark: SparkSession, landing: str, target: str, checkpoint: str,
                   schema: T.StructType) -> StreamingQuery:
-    return run_available_now(bronze_stream(spark, landing, schema), target, checkpoint,
-                             owner=f"bronze:{landing}")
+    lines = spark.readStream.text(landing).select(
+        "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block_start"))
+    return run_batches(lines, bronze_batches(target, checkpoint, schema), checkpoint, f"bronze:{landing}")
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+def read_bronze(spark: SparkSession, target: str, checkpoint: str) -> DataFrame:
+    """The bronze table with all columns seen so far."""
+    schema = stored_schema(spark, checkpoint)
+    extra = [T.StructField("source_file", T.StringType()), T.StructField("ingested_at", T.TimestampType())]
+    return spark.read.schema(T.StructType(schema.fields + extra)).parquet(target)
 
 
-def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
-    """Schema JSON kept next to the checkpoint (any Hadoop filesystem)."""
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return None
-    text = "\n".join(r.value for r in spark.read.text(path).collect())  # one small JSON file
-    return T.StructType.fromJson(json.loads(text))
+def bronze_stream(spark: SparkSession, target: str, checkpoint: str) -> DataFrame:
+    return spark.readStream.schema(read_bronze(spark, target, checkpoint).schema).parquet(target)
 
 
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    fs, p = _fs(spark, path)
-    out = fs.create(p, True)
-    out.write(bytearray(text.encode("utf-8")))
-    out.close()
+# ---- silver and gold --------------------------------------------------------
+
+NATURAL_KEY = ["furnace_id", "ts"]
+
+
+def _replace_days(df: DataFrame, path: str, days: list) -> None:
+    """Make ``df`` the content of the given ``day`` partitions of ``path``;
+    partitions left without a row are removed."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
+    spark = df.sparkSession
+    for day in set(days) - {r.day for r in df.select("day").distinct().collect()}:
+        fs, p = _fs(spark, f"{path}/day={'__HIVE_DEFAULT_PARTITION__' if day is None else day}")
+        fs.delete(p, True)
 
 
-def evolve_schema(spark: SparkSession, landing: str, schema_file: str,
-                  declared: T.StructType, modified_after: str | None = None) -> T.StructType:
-    """Stored schema widened with columns that newly appeared in landed headers.
-
-    Distinct header lines are found with one scan of the landing files (only
-    files modified after ``modified_after`` when given); files carrying a new
-    header are then probed with type inference and their extra columns are
-    appended at the end.  Old columns keep their declared types.
-    """
-    current = stored_schema(spark, schema_file) or declared
-    reader = spark.read
-    if modified_after:
-        reader = reader.option("modifiedAfter", modified_after)
-    first = current.fieldNames()[0]
-    lines = reader.text(landing).filter(F.col("value").startswith(first))
-    names = set(current.fieldNames())
-    wider = list(current.fields)
-    for row in lines.select("value").distinct().collect():  # distinct headers: a handful
-        cols = [c.strip() for c in row.value.split(",")]
-        if set(cols) <= names:
-            continue
-        # type inference on a bounded sample of the files carrying the new header
-        sample = [r.f for r in lines.filter(F.col("value") == row.value)
-                  .select(F.col("_metadata.file_path").alias("f")).distinct().limit(INFER_SAMPLE_FILES).collect()]
-        probe = spark.read.option("header", True).option("inferSchema", True).csv(sample)
-        for f in probe.schema.fields:
-            if f.name not in names:
-                wider.append(f)
-                names.add(f.name)
-    out = T.StructType(wider)
-    _write_text(spark, schema_file, json.dumps(out.jsonValue()))
-    return out
-
-
-def silver_stream(bronze: DataFrame, watermark: str = "1 day") -> DataFrame:
-    """Typed, deduplicated on (furnace_id, ts) within the watermark, quality
-    rules applied (drop / fail) and counted as observed metrics."""
-    typed = cleaning.typed(bronze, cleaning.PIPELINE_TYPES)
-    deduped = (typed.withWatermark("ts", watermark)
-               .dropDuplicatesWithinWatermark(["furnace_id", "ts"]))
-    counted = datasets.observe_rules(deduped, "silver_rules", datasets.SILVER_RULES)
-    return datasets.enforce(counted, datasets.SILVER_RULES)
-
-
-def silver_and_gold_batches(silver_path: str, gold_path: str):
-    """``foreachBatch`` function for the silver stream.
-
-    Each micro-batch is written to its own ``epoch=<id>`` directory with
-    overwrite (a retried epoch replaces its own output instead of appending
-    twice), then the furnace-day gold is recomputed only for the days the
-    batch touched and just those ``day`` partitions are overwritten.
-    """
+def _in_days(df: DataFrame, days: list) -> DataFrame:
+    keep = F.col("day").isin([d for d in days if d is not None])
+    return df.where(keep | F.col("day").isNull() if None in days else keep)
+
+
+def silver_batches(seen_path: str, silver_path: str, gold_path: str, rules_path: str,
+                   order: tuple[str, ...] = ("reading_seq",), rules=datasets.SILVER_RULES):
+    """``foreachBatch`` function from bronze rows to silver and gold.
+
+    ``seen_path`` holds one row per natural key (the first by ``order``),
+    before rules, so that a key whose first row breaks a rule stays out of
+    silver whatever arrives later.  Days in a micro-batch are few; their list
+    selects partitions, so history is not read.  Retried batches give the
+    same tables."""
     from smelter.operators import rollups
 
     def refresh(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        written = f"{silver_path}/epoch={epoch_id}"
-        batch.write.mode("overwrite").parquet(written)
-        # days come from the written output, so the stateful batch runs once
-        days = spark.read.parquet(written).select(F.to_date("ts").alias("day")).distinct()
-        silver = spark.read.parquet(silver_path).drop("epoch").withColumn("day", F.to_date("ts"))
-        touched = silver.join(days, "day", "left_semi").drop("day")
-        gold = rollups.furnace_day(touched, with_vibration=False)
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        gold.write.mode("overwrite").partitionBy("day").parquet(gold_path)
+        typed = cleaning.typed(batch, cleaning.PIPELINE_TYPES)
+        fresh = materialize(cleaning.keep_first(typed, NATURAL_KEY, list(order)).withColumn("day", F.to_date("ts")), "fresh")
+        counts = [F.count(F.lit(1)).alias("rows")] + [F.count_if(~r.passes()).alias(r.name) for r in rules]
+        fresh.agg(*counts).write.mode("overwrite").parquet(f"{rules_path}/batch_id={epoch_id}")
+        days = [r.day for r in fresh.select("day").distinct().collect()]
+        if not days:
+            return
+        if _exists(spark, seen_path):
+            before = _in_days(spark.read.option("mergeSchema", True).parquet(seen_path), days)
+            fresh = fresh.unionByName(before, allowMissingColumns=True)
+        merged = materialize(cleaning.keep_first(fresh, NATURAL_KEY, list(order)), "merged")
+        silver = materialize(datasets.enforce(merged, rules), "silver-days")
+        _replace_days(silver, silver_path, days)
+        _replace_days(rollups.furnace_day(silver, with_vibration=False), gold_path, days)
+        _replace_days(merged, seen_path, days)
 
     return refresh
 
 
-def run_silver_gold(silver: DataFrame, silver_path: str, gold_path: str, checkpoint: str) -> StreamingQuery:
-    claim_checkpoint(checkpoint, owner=f"silver:{silver_path}")
-    q = (silver.writeStream.foreachBatch(silver_and_gold_batches(silver_path, gold_path))
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
-    return q
+def run_silver_gold(bronze: DataFrame, seen_path: str, silver_path: str, gold_path: str, rules_path: str,
+                    checkpoint: str) -> StreamingQuery:
+    return run_batches(bronze, silver_batches(seen_path, silver_path, gold_path, rules_path), checkpoint,
+                       f"silver:{silver_path}")

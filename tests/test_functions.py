@@ -36,3 +36,24 @@ def test_market_class_and_key(spark):
     ts = spark.sql("SELECT 7 AS furnace_id, TIMESTAMP '2024-01-01 00:00:00' AS ts")
     assert ts.select(columns.reading_key().alias("k")).first().k == "7_1704067200"
     assert F is not None and pytest is not None
+
+
+def test_rounding_keeps_large_values_and_values_below_a_tie(spark):
+    df = spark.createDataFrame([(1e16,), (2.3e15,), (1.2344999995,), (0.12344999999999999,), (-0.00000001,)], "x double")
+    got = [r.y for r in df.select(columns.round_half_up("x", 4).alias("y")).collect()]
+    assert got == [1e16, 2.3e15, 1.2345, 0.1235, 0.0]
+    assert [r.y for r in df.select(columns.round_half_up("x", 3).alias("y")).collect()][2] == 1.234
+    sql = columns.round_half_up_sql("x", 3)
+    assert [r.y for r in df.selectExpr(f"{sql} AS y").collect()][:3] == [1e16, 2.3e15, 1.234]
+
+
+def test_statistics_of_constant_and_empty_tables(spark):
+    from smelter.models import training
+    from smelter.operators import stats
+
+    same = spark.createDataFrame([(5.0,), (5.0,), (None,)], "v double")
+    assert [(r.bin, r.n) for r in stats.histogram(same, "v").collect()] == [(1, 2)]
+    empty = same.limit(0)
+    assert [tuple(r)[1:] for r in stats.null_profile(empty).collect()] == [(0, 0, None)]
+    constant = spark.createDataFrame([("m", 1.0, 1.0), ("m", 1.0, 2.0)], "model string, label double, prediction double")
+    assert training.regression_metrics(constant).first().r2 is None
