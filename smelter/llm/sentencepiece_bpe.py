@@ -25,6 +25,7 @@ import struct
 from collections.abc import Iterator
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -98,6 +99,8 @@ class PieceTable:
         # merges go by score, highest first; a character comes before any merge
         order = {score: rank for rank, score in enumerate(sorted({-s for _, s, _ in pieces}))}
         self.rank = [order[-s] if len(p) > 1 else -1 for p, s, _ in pieces]
+        self.names = [str(i) for i in range(len(pieces))]
+        self.last_special = max(i for i, k in enumerate(self.kinds) if k != NORMAL)
         self.automaton = ahocorasick.Automaton()
         for piece, i in self.ids.items():
             if len(piece) > 1:
@@ -203,6 +206,8 @@ class PieceTable:
         """Text of ids: byte pieces as UTF-8 (each byte that is not part of a
         character becomes U+FFFD), control pieces as nothing, one leading
         space dropped."""
+        if ids and min(ids) > self.last_special:
+            return "".join([self.pieces[i] for i in ids]).removeprefix(SPACE).replace(SPACE, " ")
         out: list[str] = []
         held = bytearray()
         begun = False
@@ -240,21 +245,23 @@ class PieceTable:
         if entry is None:
             ids = self.encode_cut(part if part[0] == SPACE else SPACE + part)
             # every cut starts with white space, of which decode drops one
-            entry = " ".join(map(str, ids)), " " + self.decode(ids)
+            entry = " ".join([self.names[i] for i in ids]), " " + self.decode(ids)
         if len(part) <= MEMO_CHARS:
             self.memo[part] = entry
         return entry
 
-    def digest(self, text: str) -> tuple[int, str, str]:
-        """(number of ids, SHA-256 of the ids, SHA-256 of the decoded text)."""
+    def encoded(self, text: str) -> tuple[str, str]:
+        """The ids, as decimals joined by a space, and the decoded text."""
         if len(self.memo) > MEMO_CUTS:
             self.memo, self.older = {}, self.memo
         memo, parts = self.memo, self._parts(text)
         new = {p: self._entry(p) for p in set(parts).difference(memo)}
         found = [memo.get(p) or new[p] for p in parts] if new else [memo[p] for p in parts]
-        ids = " ".join([e[0] for e in found] + [str(self.end)])
-        decoded = "".join([e[1] for e in found])[1:]
-        return ids.count(" ") + 1, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
+        return " ".join([e[0] for e in found] + [str(self.end)]), "".join([e[1] for e in found])[1:]
+
+
+def _sha256(text: str) -> str:
+    return hashlib.sha256(text.encode()).hexdigest()
 
 
 def _characters(data: bytes) -> str:
@@ -296,11 +303,12 @@ def encode_documents(docs: DataFrame, model_path: str, id: str = "doc_id", text:
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_AT_ONCE):
                 part = batch.slice(at, ROWS_AT_ONCE)
-                found = [table.digest(t or "") for t in part.column("text").to_pylist()]
-                columns = [part.column("id"), *([f[i] for f in found] for i in range(3))]
+                found = [table.encoded(t or "") for t in part.column("text").to_pylist()]
+                columns = [part.column("id"), pa.array([ids.count(" ") + 1 for ids, _ in found], pa.int64()),
+                           pa.array([_sha256(ids) for ids, _ in found]), pa.array([_sha256(text) for _, text in found])]
                 if with_ids:
-                    columns.append(pa.array([table.encode(t or "") for t in part.column("text").to_pylist()], pa.list_(pa.int32())))
-                yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names)
+                    columns.append(pa.array([np.fromstring(ids, np.int32, sep=" ") for ids, _ in found], pa.list_(pa.int32())))
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     rows = docs.select(docs[id].alias("id"), docs[text].cast("string").alias("text"))
     names = ["id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids
