@@ -18,6 +18,8 @@ every text is ``und``; columns other than the text take no part.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -104,12 +106,14 @@ def learn_counts(labelled: DataFrame, text: str, lang: str) -> dict[str, np.ndar
 
 def codewords(n: int, seed: int = 5) -> np.ndarray:
     """An n x bits matrix of +1 and -1, every bit splitting the languages."""
+    if n < 2:
+        return np.zeros((n, 0))
     if n <= EXHAUSTIVE:
-        bits = [[1 if (split >> i) & 1 else -1 for i in range(n)] for split in range(1, 1 << max(n - 1, 0))]
-        return np.array(bits, np.float64).reshape(-1, n).T
+        bits = [[1 if (split >> i) & 1 else -1 for i in range(n)] for split in range(1, 1 << (n - 1))]
+        return np.array(bits, np.float64).T
     draws = np.random.default_rng(seed)
     bits: list[np.ndarray] = []
-    while len(bits) < RANDOM_BITS + 2 * n:
+    while len(bits) < min(RANDOM_BITS + 2 * n, math.comb(n, n // 2) // 2):
         bit = draws.permutation(np.where(np.arange(n) < n // 2, 1, -1))
         if not any((bit == b).all() or (bit == -b).all() for b in bits):
             bits.append(bit)
