@@ -41,6 +41,16 @@ def keyed_texts(docs: DataFrame, id: str, text: str) -> DataFrame:
     return docs.select(docs[id].alias("id"), row_key(docs, id, text).alias("key"), text_bytes(docs, text).alias("text"))
 
 
+#: Rows of a few numbers that may be broadcast: some 32 MB on every executor.
+BROADCAST_ROWS = 1_000_000
+
+
+def small_or_not(narrow: DataFrame) -> DataFrame:
+    """A stored table of a few numeric columns, marked for broadcast if its
+    counted rows are within ``BROADCAST_ROWS``; beyond that Spark shuffles."""
+    return F.broadcast(narrow) if narrow.count() <= BROADCAST_ROWS else narrow
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends there,
     so a lost executor costs a re-read."""

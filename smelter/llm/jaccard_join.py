@@ -16,9 +16,10 @@ The steps, all Spark jobs over tables in the shared folder:
    one node.  The same pass fills the counting table (fixed size).
 2. ``postings``: prefix shingles, dealt by shingle hash into buckets of about
    ``BUCKET_POSTINGS`` as packed arrays.
-3. Pivot links: every node is checked against the one neighbour with which it
-   shares most prefix shingles among its buckets' pivots.  This puts a large
-   group of near copies into one class with one check per node.
+3. Pivot links: every node is checked against the ``PIVOTS`` neighbours with
+   which it shares most prefix shingles among its buckets' pivots, if they are
+   enough; a second round does so across the classes found.  This puts a large
+   group of near copies into one class, or few, at a few checks per node.
 4. All other pairs: within a bucket, pairs of nodes of different classes are
    counted, summed over buckets and checked if the count suffices.  No link
    between different classes is lost, and pairs inside a class, which cannot
@@ -47,7 +48,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from smelter.llm import spans
-from smelter.llm.common import keyed_texts, row_key, stored, unused
+from smelter.llm.common import keyed_texts, row_key, small_or_not, stored, unused
 from smelter.llm.components import connected_components
 
 WORDS, SIMILARITY = 5, 75
@@ -55,7 +56,9 @@ WORDS, SIMILARITY = 5, 75
 CELLS, CELL_PARTS = 1 << 21, 64
 #: Prefix lengthenings to choose from, and the cost of a check against one posting read.
 MATCHES, CHECK_COST = (1, 2, 4, 8, 16), 20.0
-BUCKET_POSTINGS = 400_000
+#: Pivots tried for each node in a round, and the size from which runs have that many.
+PIVOTS, FEW = 4, 8
+BUCKET_POSTINGS, LEAST_BUCKETS = 400_000, 128
 
 _PLACES = np.random.default_rng(31).integers(1, 1 << 63, WORDS, dtype=np.uint64) | np.uint64(1)
 
@@ -276,41 +279,57 @@ class _Bucket:
         self.doc = doc[shared]
         self.runs = size[size > 1]
 
-    def pivots(self):
-        """(node, pivot, shared, possible): each node's neighbour in another
-        class with the most shared shingles among the pivots of its runs.  A
-        run's pivots are the least node of each of its size ranges, and the
-        least one of another class."""
-        doc, run = self.doc, np.repeat(np.arange(len(self.runs)), self.runs)
+    def pivots(self, seed: int):
+        """(node, pivot, shared, needed): for each of ``PIVOTS`` seeded orders
+        of the nodes, each node's neighbour in another class with the most
+        shared shingles among the pivots of its runs.  A run's pivots are the
+        first node of each of its size ranges and the first one of another
+        class; runs of up to ``FEW`` nodes have them in one order only."""
+        if not len(self.doc):
+            return (np.zeros(0, np.int64),) * 4
+        found = [self._pivots(seed * PIVOTS + k, FEW if k else 0) for k in range(PIVOTS)]
+        pair = np.unique(np.concatenate([f[0] * len(self.nodes) + f[1] for f in found]), return_index=True)[1]
+        node, pivot, count = (np.concatenate(c)[pair] for c in zip(*found, strict=True))
+        return self.nodes[node], self.nodes[pivot], count, self._needed(node, pivot)
+
+    def _pivots(self, seed: int, over: int):
+        large = np.repeat(self.runs > over, self.runs)
+        doc, run = self.doc[large], np.repeat(np.arange(len(self.runs)), self.runs)[large]
         if not len(doc):
             return (np.zeros(0, np.int64),) * 3
+        place = np.empty(len(self.nodes), np.int64)
+        place[np.argsort(spans.mixed(self.nodes.view(np.uint64) ^ np.uint64(seed)))] = np.arange(len(place))
         grid = np.log(self.sizes[doc]) / np.log(100 / SIMILARITY)
         pairs = []
-        for shift in (0.0, 0.5, None):
-            part = np.zeros(len(doc), np.int64) if shift is None else np.floor(grid + shift).astype(np.int64)
-            order = np.lexsort((doc, part, run))
+        for shift in (0.0, 0.5):
+            part = np.floor(grid + shift).astype(np.int64)
+            order = np.lexsort((place[doc], part, run))
             d, group = doc[order], np.stack([run[order], part[order]])
             head = np.ones(len(d), bool)
             head[1:] = (group[:, 1:] != group[:, :-1]).any(0)
-            first = np.maximum.accumulate(np.where(head, np.arange(len(d)), 0))
-            one = d[first]
-            # the least node of a class other than the first one's
+            one = d[np.maximum.accumulate(np.where(head, np.arange(len(d)), 0))]
+            # the first node of a class other than the first one's
             other = self.of[d] != self.of[one]
-            at = np.where(other, np.arange(len(d)), len(d))
-            heads = np.flatnonzero(head)
-            two_at = np.minimum.reduceat(at, heads)
-            two = np.where(two_at < len(d), d[np.minimum(two_at, len(d) - 1)], -1)[np.cumsum(head) - 1]
+            at = np.minimum.reduceat(np.where(other, np.arange(len(d)), len(d)), np.flatnonzero(head))
+            two = np.where(at < len(d), d[np.minimum(at, len(d) - 1)], -1)[np.cumsum(head) - 1]
             pivot = np.where(other, one, two)
             ok = pivot >= 0
             pairs.append(np.stack([d[ok], pivot[ok]]))
         both = np.concatenate(pairs, 1)
         keys, count = np.unique(both[0] * len(self.nodes) + both[1], return_counts=True)
         node, pivot = keys // len(self.nodes), keys % len(self.nodes)
-        small, large = np.minimum(self.sizes[node], self.sizes[pivot]), np.maximum(self.sizes[node], self.sizes[pivot])
-        count = np.where(100 * small >= SIMILARITY * large, count, 0)
-        order = np.lexsort((pivot, -count, node))
-        best = order[np.insert(node[order][1:] != node[order][:-1], 0, True)]
-        return self.nodes[node[best]], self.nodes[pivot[best]], count[best]
+        small, big = np.minimum(self.sizes[node], self.sizes[pivot]), np.maximum(self.sizes[node], self.sizes[pivot])
+        fits = 100 * small >= SIMILARITY * big
+        node, pivot, count = node[fits], pivot[fits], count[fits]
+        order = np.lexsort((place[pivot], -count, node))
+        best = order[np.insert(node[order][1:] != node[order][:-1], 0, True)] if len(order) else order
+        return node[best], pivot[best], count[best]
+
+    def _needed(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Prefix shingles that two linked sets share at least: their least
+        overlap, less what may lie beyond the prefixes."""
+        overlap = -(-SIMILARITY * (self.sizes[a] + self.sizes[b]) // (100 + SIMILARITY))
+        return np.maximum(overlap - np.maximum(self.sizes[a] - self.lengths[a], self.sizes[b] - self.lengths[b]), 1)
 
     def pairs(self, most: int = 2_000_000):
         """Batches of (a, b, shared, needed) for all pairs of different
@@ -354,10 +373,7 @@ class _Bucket:
     def _counted(self, held):
         keys, shared = np.unique(np.concatenate(held), return_counts=True)
         a, b = keys // len(self.nodes), keys % len(self.nodes)
-        both = self.sizes[a] + self.sizes[b]
-        overlap = -(-SIMILARITY * both // (100 + SIMILARITY))
-        rest = np.maximum(self.sizes[a] - self.lengths[a], self.sizes[b] - self.lengths[b])
-        return self.nodes[a], self.nodes[b], shared, np.maximum(overlap - rest, 1)
+        return self.nodes[a], self.nodes[b], shared, self._needed(a, b)
 
 
 def _by_bucket(rows: DataFrame, what, schema: str) -> DataFrame:
@@ -427,11 +443,22 @@ def _linked(pairs: DataFrame, near: DataFrame) -> DataFrame:
     return rows.select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long")
 
 
-def _best_pivots(shared: DataFrame, classes: DataFrame | None) -> DataFrame:
-    found = _by_bucket(_with_classes(shared, classes), lambda b: iter([b.pivots()]), "node long, pivot long, n long")
-    found = found.groupBy("node", "pivot").agg(F.sum("n").alias("n"))
-    best = found.groupBy("node").agg(F.max(F.struct("n", "pivot")).alias("best"))
-    return best.select(F.col("node").alias("a"), F.col("best.pivot").alias("b"), "best.n")
+def _enough(counted: DataFrame, part: int = 1) -> DataFrame:
+    """Pairs that share as many prefix shingles as they need (or one ``part``
+    of them), over all buckets."""
+    sums = counted.groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("needed").alias("needed"))
+    return sums.where(F.col("n") * part >= F.col("needed"))
+
+
+def _best_pivots(shared: DataFrame, classes: DataFrame | None, seed: int = 1) -> DataFrame:
+    found = _by_bucket(_with_classes(shared, classes), lambda b: iter([b.pivots(seed)]), _PAIRS)
+    # at most one pivot per node and bucket comes here, so the lists are short
+    # and a pair is not counted in all buckets: half of what it needs will do
+    best = _enough(found, 2).groupBy("a").agg(F.sort_array(F.collect_list(F.struct("n", "b")), False).alias("best"))
+    return best.select("a", F.explode(F.slice("best", 1, PIVOTS)).alias("best")).select("a", F.col("best.b").alias("b"))
+
+
+_PAIRS = "a long, b long, n long, needed long"
 
 
 def classes_of(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -441,24 +468,21 @@ def classes_of(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataF
     both = stored(set_table(texts), "sets")
     sets = both.where("part is null").select("id", "key", "n", "node")
     table, total = frequency_classes(both.where("part is not null").select("part", "counts"))
-    buckets = max(1, total * (100 - SIMILARITY) // 100 // BUCKET_POSTINGS)
+    buckets = max(LEAST_BUCKETS, total * (100 - SIMILARITY) // 100 // BUCKET_POSTINGS)
     shared = stored(_shared_postings(postings(texts, table, buckets)), "postings")
-
-    pivots = stored(_best_pivots(shared, None), "pivots")
     reps = sets.where("n > 0").groupBy("node").agg(F.min("key").alias("key"))
-    wanted = reps.join(pivots.select(F.col("a").alias("node")), "node")
-    near = stored(texts.select("key", "text").join(wanted, "key").dropDuplicates(["node"]).select("node", "text"), "near")
 
-    links = stored(_linked(pivots.where("n > 0"), near), "pivot-links")
+    def linked(candidates: DataFrame) -> DataFrame:
+        pairs = stored(candidates.select("a", "b"), "pairs")
+        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        wanted = small_or_not(stored(reps.join(nodes, "node"), "wanted"))
+        near = texts.select("key", "text").join(wanted, "key").dropDuplicates(["node"]).select("node", "text")
+        return stored(_linked(pairs, stored(near, "near")), "links")
+
+    links = linked(_best_pivots(shared, None, 0))
     found = stored(connected_components(links, "a", "b"), "classes")
-    for step in ("pivots", "pairs"):
-        if step == "pivots":
-            candidates = _best_pivots(shared, found).where("n > 0")
-        else:
-            counted = _by_bucket(_with_classes(shared, found), _Bucket.pairs, "a long, b long, n long, needed long")
-            candidates = (counted.groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("needed").alias("needed"))
-                          .where("n >= needed"))
-        more = stored(_linked(candidates, near), f"{step}-links")
+    for candidates in (_best_pivots, lambda *known: _enough(_by_bucket(_with_classes(*known), _Bucket.pairs, _PAIRS))):
+        more = linked(candidates(shared, found))
         if not more.isEmpty():
             links = links.union(more)
             found = stored(connected_components(links, "a", "b"), "classes")
