@@ -1,7 +1,7 @@
 """Line deduplication with fuzzy lines.
 
 Lines are normalised (ASCII case folded, everything but letters, digits and
-longer characters taken as a break); a normalised line's words give its 64-bit
+longer characters taken as a break); a normalised line's longer words give its 64-bit
 SimHash.  Lines whose SimHashes differ in up to ``BITS`` bits agree in two of
 five blocks at least (pigeonhole), so one row per line and pair of blocks
 brings all such lines together.  Candidates are checked by edit similarity
@@ -29,10 +29,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from smelter.llm import spans
-from smelter.llm.common import keyed_texts, row_key, stored, unused
+from smelter.llm.common import keyed_texts, row_key, small_or_not, stored, unused
 from smelter.llm.components import connected_components
 
-LEAST_WORDS, BITS, SIMILARITY = 5, 3, 80
+LEAST_WORDS, BITS, SIMILARITY, VOTING_BYTES = 5, 3, 80, 4
 #: Widths of the five SimHash blocks; any two of them make a bucket key.
 BLOCKS = (13, 13, 13, 13, 12)
 
@@ -74,12 +74,18 @@ def line_table(data: np.ndarray, offsets: np.ndarray):
         inverse = np.cumprod(undo)[at[:-1]]
     sums = np.concatenate([[np.uint64(0)], np.cumsum(hashes * powers)])
     line_hash = spans.mixed((sums[at[1:]] - sums[at[:-1]]) * inverse + words.astype(np.uint64))
+    # Short words, the most common ones, would make unrelated lines alike; they
+    # vote only in lines that have no other.
+    long = word_end - word_begin >= VOTING_BYTES
+    voting = long | (spans.per_row(of[long], n)[of] == 0)
+    voters = spans.per_row(of[voting], n)
     simhash = np.zeros(n, np.uint64)
-    some = np.flatnonzero(words)
+    some = np.flatnonzero(voters)
     if len(some):
-        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1)
-        votes = np.add.reduceat(bits, at[:-1][some], axis=0, dtype=np.int32)
-        simhash[some] = np.packbits(2 * votes > words[some, None], axis=1).view(np.uint64).ravel()
+        bits = np.unpackbits(hashes[voting].view(np.uint8).reshape(-1, 8), axis=1)
+        first = np.concatenate([[0], np.cumsum(voters)])[:-1].astype(np.int64)
+        votes = np.add.reduceat(bits, first[some], axis=0, dtype=np.int32)
+        simhash[some] = np.packbits(2 * votes > voters[some, None], axis=1).view(np.uint64).ravel()
     return row, number, words, line_hash.view(np.int64), simhash.view(np.int64)
 
 
@@ -237,27 +243,31 @@ def _other_pairs(_bucket, hashes, simhashes, classes):
 
 
 def _checked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose words are similar enough."""
+
     def check(batches):
         for batch in batches:
             ok = [similar(x, y) for x, y in zip(batch.column("ta").to_pylist(), batch.column("tb").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    side = lambda n, t: texts.select(F.col("hash").alias(n), F.col("words").alias(t))
-    rows = pairs.distinct().join(side("b", "tb"), "b").join(side("a", "ta"), "a")
-    return rows.select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long")
+    pairs = stored(pairs.distinct(), "line-pairs")
+    wanted = stored(pairs.select(F.col("a").alias("hash")).union(pairs.select("b")).distinct(), "line-wanted")
+    near = line_texts(texts).join(small_or_not(wanted), "hash", "left_semi").dropDuplicates(["hash"])
+    near = stored(near, "line-texts")
+    side = lambda n, t: near.select(F.col("hash").alias(n), F.col("words").alias(t))
+    rows = pairs.join(side("b", "tb"), "b").join(side("a", "ta"), "a")
+    return stored(rows.select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long"), "line-links")
 
 
 def line_classes(texts: DataFrame, lines: DataFrame) -> DataFrame:
     """(node, component) for every line that is linked to another one."""
     rows = _bucket_rows(lines).withColumn("class", F.col("hash"))
     shared = stored(_runs(rows, _keep_near, "bucket long, hash long, simhash long"), "line-buckets")
-    near = stored(line_texts(texts).join(shared.select("hash").distinct(), "hash", "left_semi").dropDuplicates(["hash"]), "lines")
-    pivots = _runs(shared.withColumn("class", F.col("hash")), _pivot_pairs, "a long, b long")
-    links = stored(_checked(pivots, near), "line-links")
+    links = _checked(_runs(shared.withColumn("class", F.col("hash")), _pivot_pairs, "a long, b long"), texts)
     found = stored(connected_components(links, "a", "b"), "line-classes")
     known = (shared.join(found, shared["hash"] == found["node"], "left")
              .select("bucket", "hash", "simhash", F.coalesce("component", "hash").alias("class")))
-    more = stored(_checked(_runs(known, _other_pairs, "a long, b long"), near), "line-links")
+    more = _checked(_runs(known, _other_pairs, "a long, b long"), texts)
     return found if more.isEmpty() else stored(connected_components(links.union(more), "a", "b"), "line-classes")
 
 
