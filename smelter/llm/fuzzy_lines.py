@@ -1,18 +1,19 @@
 """Line deduplication with fuzzy lines.
 
 Lines are normalised (ASCII case folded, everything but letters, digits and
-longer characters taken as a break); a normalised line's longer words give its 64-bit
-SimHash.  Lines whose SimHashes differ in up to ``BITS`` bits agree in two of
-five blocks at least (pigeonhole), so one row per line and pair of blocks
-brings all such lines together.  Candidates are checked by edit similarity
-over words; connected lines form a group, and the first occurrence (least id,
-then line number) of each group stays.
-
-Equal normalised lines are one node from the start, combined before anything
-is shuffled, so a very common line is no large group.  Within a bucket each
-line is first checked against the bucket's least line; afterwards only pairs
-of different groups are listed, so a large family of variants costs one check
-each instead of all pairs, and no link between groups is lost.
+longer characters taken as a break).  Two lines are similar when the edit
+distance of their words is at most a fifth of the longer one's words, and all
+such pairs are found: a similar line may lack only some of a line's word pairs
+(``_lost``), so two similar lines share one of the rarest ones, one more than
+that.  Each line has a row for each of these; lines of one word pair form a
+bucket.  Word counts and signatures that rule the similarity out drop a pair,
+the rest is checked by edit distance; connected lines form a group, and the
+first occurrence (least id, then line number) of each group stays.
+
+Equal normalised lines are one node from the start, so a very common line is
+no large group.  Each line is first checked against its buckets' least lines;
+afterwards only pairs of different groups are listed, so a large family of
+variants costs one check each and no link between groups is lost.
 
 Defined results: null and empty texts have no line; lines under
 ``LEAST_WORDS`` words (blank ones too) always stay; rows that repeat id and
@@ -21,7 +22,7 @@ text count as one document; a null id sorts after all ids.
 
 from __future__ import annotations
 
-from itertools import combinations
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,10 +32,9 @@ from pyspark.sql import functions as F
 from smelter.llm import spans
 from smelter.llm.common import keyed_texts, row_key, small_or_not, stored, unused
 from smelter.llm.components import connected_components
+from smelter.llm.jaccard_join import CELL_PARTS, CELLS, _cell, _packed, frequency_classes
 
-LEAST_WORDS, BITS, SIMILARITY, VOTING_BYTES = 5, 3, 80, 4
-#: Widths of the five SimHash blocks; any two of them make a bucket key.
-BLOCKS = (13, 13, 13, 13, 12)
+LEAST_WORDS, SIMILARITY, VOTING_BYTES = 5, 80, 4
 
 _FOLD = spans.LOWERED.copy()
 _FOLD[[b for b in range(128) if not chr(b).isalnum()]] = 32
@@ -54,8 +54,8 @@ def _lines(data: np.ndarray, offsets: np.ndarray):
     return row, np.arange(len(row)) - np.searchsorted(row, row, "left"), begin, end
 
 
-def line_table(data: np.ndarray, offsets: np.ndarray):
-    """(row, number, words, hash, simhash) of every line."""
+def _line_words(data: np.ndarray, offsets: np.ndarray):
+    """(row, number, words, hash) of every line, and (line, begin, end, hash) of every word."""
     row, number, begin, end = _lines(data, offsets)
     folded = _FOLD[data]
     word_begin, word_end = spans.runs(folded != 32, offsets)
@@ -74,6 +74,14 @@ def line_table(data: np.ndarray, offsets: np.ndarray):
         inverse = np.cumprod(undo)[at[:-1]]
     sums = np.concatenate([[np.uint64(0)], np.cumsum(hashes * powers)])
     line_hash = spans.mixed((sums[at[1:]] - sums[at[:-1]]) * inverse + words.astype(np.uint64))
+    return (row, number, words, line_hash.view(np.int64)), (of, word_begin, word_end, hashes)
+
+
+def line_table(data: np.ndarray, offsets: np.ndarray):
+    """(row, number, words, hash, simhash) of every line; the operator itself
+    finds similar lines by word pairs."""
+    columns, (of, word_begin, word_end, hashes) = _line_words(data, offsets)
+    n = len(columns[0])
     # Short words, the most common ones, would make unrelated lines alike; they
     # vote only in lines that have no other.
     long = word_end - word_begin >= VOTING_BYTES
@@ -86,36 +94,36 @@ def line_table(data: np.ndarray, offsets: np.ndarray):
         first = np.concatenate([[0], np.cumsum(voters)])[:-1].astype(np.int64)
         votes = np.add.reduceat(bits, first[some], axis=0, dtype=np.int32)
         simhash[some] = np.packbits(2 * votes > voters[some, None], axis=1).view(np.uint64).ravel()
-    return row, number, words, line_hash.view(np.int64), simhash.view(np.int64)
+    return *columns, simhash.view(np.int64)
 
 
 def occurrences(texts: DataFrame) -> DataFrame:
-    """Rows (key, line, words, hash, simhash), one per line."""
+    """Rows (key, line, words, hash), one per line."""
 
     def run(batches):
         for batch in batches:
             keys = batch.column("key").to_numpy()
             for first, data, offsets in spans.slices(batch, "text"):
-                row, number, words, line_hash, simhash = line_table(data, offsets)
+                row, number, words, line_hash = _line_words(data, offsets)[0]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(keys[first + row]), pa.array(number.astype(np.int32)), pa.array(words.astype(np.int32)),
-                    pa.array(line_hash), pa.array(simhash)], names)
+                    pa.array(line_hash)], names)
 
-    names = ["key", "line", "words", "hash", "simhash"]
-    return texts.select("key", "text").mapInArrow(run, "key long, line int, words int, hash long, simhash long")
+    names = ["key", "line", "words", "hash"]
+    return texts.select("key", "text").mapInArrow(run, "key long, line int, words int, hash long")
 
 
-def line_texts(texts: DataFrame) -> DataFrame:
+def line_texts(texts: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
     """Rows (hash, words): normalised lines of enough words, once per slice."""
 
     def run(batches):
         for batch in batches:
             for _, data, offsets in spans.slices(batch, "text"):
-                row, number, words, line_hash, _ = line_table(data, offsets)
+                _, _, words, line_hash = _line_words(data, offsets)[0]
                 _, _, begin, end = _lines(data, offsets)
                 folded = _FOLD[data].tobytes()
                 hashes, first = np.unique(line_hash, return_index=True)
-                long = words[first] >= LEAST_WORDS
+                long = words[first] >= least
                 rows = [b" ".join(folded[begin[i]:end[i]].split()) for i in first[long]]
                 yield pa.RecordBatch.from_arrays([pa.array(hashes[long]), pa.array(rows, pa.binary())], ["hash", "words"])
 
@@ -154,95 +162,166 @@ def similar(a: bytes, b: bytes) -> bool:
     return 100 * edit_distance(x, y) <= (100 - SIMILARITY) * max(len(x), len(y))
 
 
-def _bucket_rows(lines: DataFrame) -> DataFrame:
-    """(bucket, hash, simhash): a row for each two blocks of a line's SimHash."""
-    low = np.cumsum((0, *BLOCKS))
-    part = lambda k: F.shiftrightunsigned("simhash", int(low[k])).bitwiseAND((1 << BLOCKS[k]) - 1)
-    keys = [F.shiftleft(F.lit(t).cast("long"), 32).bitwiseOR(F.shiftleft(part(i), 13)).bitwiseOR(part(j))
-            for t, (i, j) in enumerate(combinations(range(len(BLOCKS)), 2))]
-    return lines.select(F.explode(F.array(*keys)).alias("bucket"), "hash", "simhash")
+def _lost(n):
+    """Distinct word pairs of a line of n words that a similar line may lack:
+    a replaced word takes two, an inserted one one."""
+    return np.max([2 * ((100 - SIMILARITY) * (n + i) // 100) - i for i in range(3)], axis=0)
+
+
+def _pairs_of(data: np.ndarray, offsets: np.ndarray, classes: np.ndarray | None):
+    """(row, rank, pair) of the distinct word pairs of normalised lines, rare
+    ones first, and each row's words, pairs and signature.  The signature is
+    the parity of words in 64 cells: an edit changes two cells at most."""
+    rows = len(offsets) - 1
+    begin, end = spans.runs(data != 32, offsets)
+    of = spans.owner(begin, offsets)
+    words = spans.RangeHash(data).of(begin, end)
+    n = spans.per_row(of, rows)
+    first = np.flatnonzero(of[1:] == of[:-1]) if len(of) else of
+    row, pair = of[first], spans.mixed(words[first] * _STEP + words[first + 1])
+    if classes is None:
+        return row, None, pair, n, None, None
+    order = np.lexsort((pair, classes[_cell(pair)], row))
+    row, pair = row[order], pair[order]
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (pair[1:] != pair[:-1])
+    row, pair = row[new], pair[new]
+    mark = np.zeros(rows, np.uint64)
+    if len(of):
+        at = np.flatnonzero(np.insert(of[1:] != of[:-1], 0, True))
+        mark[of[at]] = np.bitwise_xor.reduceat(np.uint64(1) << (words >> np.uint64(58)), at)
+    return row, np.arange(len(row)) - np.searchsorted(row, row, "left"), pair, n, spans.per_row(row, rows), mark
+
+
+def _counts(lines: DataFrame) -> DataFrame:
+    """Rows (part, counts): each task's share of the counting table of word pairs."""
+
+    def run(batches):
+        counts = np.zeros(CELLS, np.uint32)
+        for batch in batches:
+            for _, data, offsets in spans.slices(batch, "words"):
+                counts += np.bincount(_cell(_pairs_of(data, offsets, None)[2]), minlength=CELLS).astype(np.uint32)
+        for part, block in enumerate(counts.reshape(CELL_PARTS, -1)):
+            if block.any():
+                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([_packed(block)], pa.binary())], ["part", "counts"])
+
+    return lines.select("words").mapInArrow(run, "part int, counts binary")
+
+
+def _postings(lines: DataFrame, shared) -> DataFrame:
+    """(bucket, hash, n, mark, rank): a row for each of the rarest word pairs
+    of a line, one more than a similar line may lack."""
+
+    def run(batches):
+        for batch in batches:
+            hashes = batch.column("hash").to_numpy()
+            for at, data, offsets in spans.slices(batch, "words"):
+                row, rank, pair, n, _, mark = _pairs_of(data, offsets, shared.value)
+                keep = rank <= _lost(n)[row]
+                row, rank, pair = row[keep], rank[keep], pair[keep]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(pair.view(np.int64)), pa.array(hashes[at + row]), pa.array(n[row].astype(np.int32)),
+                    pa.array(mark[row].view(np.int64)), pa.array(rank.astype(np.int32))], ["bucket", "hash", "n", "mark", "rank"])
+
+    return lines.select("hash", "words").mapInArrow(run, "bucket long, hash long, n int, mark long, rank int")
+
+
+def _with_classes(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows of buckets with several classes, with their class and the size of the bucket."""
+    known = (rows.join(small_or_not(found), rows["hash"] == found["node"], "left")
+             .withColumn("class", F.coalesce("component", "hash")).drop("node", "component"))
+    sizes = known.groupBy("bucket").agg(F.count("*").alias("size"), F.min("class").alias("x"), F.max("class").alias("y"))
+    sizes = stored(sizes.where("x <> y").select("bucket", "size"), "line-sizes")
+    return stored(known.join(small_or_not(sizes), "bucket"), "line-mixed")
 
 
-def _runs(rows: DataFrame, what, schema: str) -> DataFrame:
-    """Apply ``what(bucket, hashes, simhashes, classes)`` to every bucket of two lines
-    or more; rows arrive sorted, so a task holds one bucket at a time."""
-    names = [c.split()[0] for c in schema.split(", ")]
+def _near(n, m, mark, other):
+    """Whether word counts and signatures allow the similarity."""
+    most = (100 - SIMILARITY) * np.maximum(n, m) // 100
+    return np.bitwise_count((mark ^ other).view(np.uint64)) + np.abs(n - m) <= 2 * most
+
+
+def _cross_pairs(rows: DataFrame) -> DataFrame:
+    """All pairs of different classes in a bucket."""
 
     def run(batches):
-        held: list[list[np.ndarray]] = []
+        held = None
         for batch in batches:
-            columns = [batch.column(c).to_numpy() for c in ("bucket", "hash", "simhash", "class")]
-            if not len(columns[0]):
+            now = [batch.column(c).to_numpy() for c in ("bucket", "hash", "n", "mark", "class")]
+            if not len(now[0]):
                 continue
-            if held:
-                columns = [np.concatenate([h, c]) for h, c in zip(held, columns, strict=True)]
-            cut = int(np.searchsorted(columns[0], columns[0][-1], "left"))
-            yield from emit([c[:cut] for c in columns])
-            held = [c[cut:] for c in columns]
-        if held:
+            if held is not None:
+                now = [np.concatenate([h, c]) for h, c in zip(held, now, strict=True)]
+            cut = int(np.searchsorted(now[0], now[0][-1], "left"))
+            yield from emit([c[:cut] for c in now])
+            held = [c[cut:] for c in now]
+        if held is not None:
             yield from emit(held)
 
     def emit(columns):
-        bucket = columns[0]
-        if not len(bucket):
-            return
-        edge = np.flatnonzero(np.append(np.insert(bucket[1:] != bucket[:-1], 0, True), True))
-        out, n = [], 0
+        bucket, out, count = columns[0], [], 0
+        edge = np.flatnonzero(np.append(np.insert(bucket[1:] != bucket[:-1], 0, True), True)) if len(bucket) else bucket
         for a, b in zip(edge, edge[1:], strict=False):
-            if b - a > 1:
-                for found in what(*(c[a:b] for c in columns)):
-                    out.append(found)
-                    n += len(found[0])
-                    if n > 100_000:
-                        yield batch_of(out)
-                        out, n = [], 0
+            _, h, n, mark, of = (c[a:b] for c in columns)
+            for i in range(1, len(h)):
+                j = np.flatnonzero((of[:i] != of[i]) & _near(n[:i], n[i], mark[:i], mark[i]))
+                if len(j):
+                    out.append((np.maximum(h[j], h[i]), np.minimum(h[j], h[i])))
+                    count += len(j)
+            if count > 100_000:
+                yield batch_of(out)
+                out, count = [], 0
         if out:
             yield batch_of(out)
 
     def batch_of(out):
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], names)
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], ["a", "b"])
 
-    return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, schema)
+    rows = rows.select("bucket", "hash", "n", "mark", "class")
+    return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "a long, b long")
 
 
-def _near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(a.view(np.uint64) ^ b.view(np.uint64)) <= BITS
+def _pivot_pairs(shared: DataFrame) -> DataFrame:
+    """Every line with the least line of its bucket, where counts and signatures allow it."""
+    pivots = shared.groupBy("bucket").agg(F.min(F.struct("hash", "n", "mark")).alias("p"))
+    most = F.floor((100 - SIMILARITY) * F.greatest("n", "p.n") / 100)
+    fits = F.bit_count(F.col("mark").bitwiseXOR(F.col("p.mark"))) + F.abs(F.col("n") - F.col("p.n")) <= 2 * most
+    # a line is greater than its pivot
+    return shared.join(pivots, "bucket").where((F.col("hash") != F.col("p.hash")) & fits).select(
+        F.col("hash").alias("a"), F.col("p.hash").alias("b"))
 
 
-def _keep_near(bucket, hashes, simhashes, _classes):
-    """Rows that may have a partner in their bucket; large buckets stay whole."""
-    keep = np.ones(len(hashes), bool)
-    if len(hashes) <= 64:
-        keep = _near(simhashes[:, None], simhashes[None, :]).sum(1) > 1
-    yield bucket[keep], hashes[keep], simhashes[keep]
+def _sieves(near: DataFrame) -> DataFrame:
+    """(hash, n, s0 to s3): signatures of lines over four times the cells."""
 
+    def run(batches):
+        for batch in batches:
+            hashes = batch.column("hash").to_numpy()
+            for at, data, offsets in spans.slices(batch, "words"):
+                begin, end = spans.runs(data != 32, offsets)
+                of = spans.owner(begin, offsets)
+                cell = spans.RangeHash(data).of(begin, end) >> np.uint64(56)
+                first = np.flatnonzero(np.insert(of[1:] != of[:-1], 0, True))
+                bit = np.uint64(1) << (cell & np.uint64(63))
+                marks = [np.bitwise_xor.reduceat(np.where(cell >> np.uint64(6) == k, bit, np.uint64(0)), first) for k in range(4)]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(hashes[at + of[first]]), pa.array(np.diff(first, append=len(of)).astype(np.int32)),
+                    *(pa.array(m.view(np.int64)) for m in marks)], ["hash", "n", "s0", "s1", "s2", "s3"])
 
-def _pivot_pairs(_bucket, hashes, simhashes, _classes):
-    """Every line with the least line of its bucket, and lines next to each
-    other in SimHash order."""
-    order = np.lexsort((hashes, simhashes))
-    h, s = hashes[order], simhashes[order]
-    one = int(np.argmin(h))
-    near = _near(s, np.full(len(s), s[one])) & (h != h[one])
-    beside = _near(s[1:], s[:-1])
-    a, b = np.concatenate([h[near], h[1:][beside]]), np.concatenate([np.full(int(near.sum()), h[one]), h[:-1][beside]])
-    yield np.maximum(a, b), np.minimum(a, b)
+    return near.select("hash", "words").mapInArrow(run, "hash long, n int, s0 long, s1 long, s2 long, s3 long")
 
 
-def _other_pairs(_bucket, hashes, simhashes, classes):
-    """All near pairs of different classes: every line outside the bucket's
-    largest class with every line of another class."""
-    names, of, size = np.unique(classes, return_inverse=True, return_counts=True)
-    if len(names) == 1:
-        return
-    for i in np.flatnonzero(of != np.argmax(size)):
-        other = (of != of[i]) & _near(simhashes, np.full(len(simhashes), simhashes[i]))
-        if other.any():
-            mine = np.full(int(other.sum()), hashes[i])
-            yield np.maximum(mine, hashes[other]), np.minimum(mine, hashes[other])
+def _sieved(pairs: DataFrame, near: DataFrame) -> DataFrame:
+    """The pairs whose finer signatures allow the similarity."""
+    sieves = _sieves(near)
+    side = lambda h, t: sieves.select(F.col("hash").alias(h), *(F.col(c).alias(t + c) for c in sieves.columns[1:]))
+    rows = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b")
+    apart = reduce(lambda p, q: p + q, (F.bit_count(F.col(f"xs{k}").bitwiseXOR(F.col(f"ys{k}"))) for k in range(4)))
+    most = F.floor((100 - SIMILARITY) * F.greatest("xn", "yn") / 100)
+    return rows.where(apart + F.abs(F.col("xn") - F.col("yn")) <= 2 * most).select("a", "b")
 
 
-def _checked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _checked(pairs: DataFrame, lines: DataFrame) -> DataFrame:
     """The pairs (a, b) whose words are similar enough."""
 
     def check(batches):
@@ -252,22 +331,25 @@ def _checked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     pairs = stored(pairs.distinct(), "line-pairs")
     wanted = stored(pairs.select(F.col("a").alias("hash")).union(pairs.select("b")).distinct(), "line-wanted")
-    near = line_texts(texts).join(small_or_not(wanted), "hash", "left_semi").dropDuplicates(["hash"])
-    near = stored(near, "line-texts")
+    near = stored(lines.join(small_or_not(wanted), "hash", "left_semi"), "line-texts")
+    pairs = _sieved(pairs, near)
     side = lambda n, t: near.select(F.col("hash").alias(n), F.col("words").alias(t))
     rows = pairs.join(side("b", "tb"), "b").join(side("a", "ta"), "a")
     return stored(rows.select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long"), "line-links")
 
 
-def line_classes(texts: DataFrame, lines: DataFrame) -> DataFrame:
-    """(node, component) for every line that is linked to another one."""
-    rows = _bucket_rows(lines).withColumn("class", F.col("hash"))
-    shared = stored(_runs(rows, _keep_near, "bucket long, hash long, simhash long"), "line-buckets")
-    links = _checked(_runs(shared.withColumn("class", F.col("hash")), _pivot_pairs, "a long, b long"), texts)
+def line_classes(texts: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
+    """(node, component) for every line of ``least`` words or more that is
+    linked to another one."""
+    lines = stored(line_texts(texts, least).dropDuplicates(["hash"]), "lines")
+    classes, _ = frequency_classes(_counts(lines))
+    table = texts.sparkSession.sparkContext.broadcast(classes)
+    rows = _postings(lines, table)
+    sizes = stored(rows.groupBy("bucket").count().where("count > 1").select("bucket"), "line-sizes")
+    shared = stored(rows.join(small_or_not(sizes), "bucket"), "line-buckets")
+    links = _checked(_pivot_pairs(shared), lines)
     found = stored(connected_components(links, "a", "b"), "line-classes")
-    known = (shared.join(found, shared["hash"] == found["node"], "left")
-             .select("bucket", "hash", "simhash", F.coalesce("component", "hash").alias("class")))
-    more = _checked(_runs(known, _other_pairs, "a long, b long"), texts)
+    more = _checked(_cross_pairs(_with_classes(shared, found)), lines)
     return found if more.isEmpty() else stored(connected_components(links.union(more), "a", "b"), "line-classes")
 
 
@@ -277,8 +359,7 @@ def decisions(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFr
     texts = keyed_texts(docs, id, text)
     found = stored(occurrences(texts), "occurrences")
     long = found.where(F.col("words") >= LEAST_WORDS)
-    lines = long.groupBy("hash").agg(F.min("simhash").alias("simhash"))
-    classes = line_classes(texts, lines)
+    classes = line_classes(texts)
     ids = texts.select("key", "id")
     placed = (long.select("key", "line", "hash").join(classes, long["hash"] == classes["node"], "left")
               .select("key", "line", F.coalesce("component", "hash").alias("class")))
