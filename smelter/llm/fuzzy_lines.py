@@ -15,8 +15,9 @@ no large group.  Each line is first checked against its buckets' least lines;
 afterwards only pairs of different groups are listed, so a large family of
 variants costs one check each and no link between groups is lost.
 
-Defined results: null and empty texts have no line; lines under
-``LEAST_WORDS`` words (blank ones too) always stay; rows that repeat id and
+Defined results: null and empty texts have no line; blank lines always stay,
+and lines under ``LEAST_WORDS`` words too unless ``short`` is set, as the query
+does; rows that repeat id and
 text count as one document; a null id sorts after all ids.
 """
 
@@ -35,6 +36,8 @@ from smelter.llm.components import connected_components
 from smelter.llm.jaccard_join import CELL_PARTS, CELLS, _cell, _packed, frequency_classes
 
 LEAST_WORDS, SIMILARITY, VOTING_BYTES = 5, 80, 4
+#: Shorter lines are similar to none but their equals: one edit of four words is over a fifth.
+SHORTEST = 4
 
 _FOLD = spans.LOWERED.copy()
 _FOLD[[b for b in range(128) if not chr(b).isalnum()]] = 32
@@ -353,13 +356,14 @@ def line_classes(texts: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
     return found if more.isEmpty() else stored(connected_components(links.union(more), "a", "b"), "line-classes")
 
 
-def decisions(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+def decisions(docs: DataFrame, id: str = "doc_id", text: str = "text", short: bool = False) -> DataFrame:
     """One row per document: id, key, n_lines, n_removed, removed_lines (their
-    numbers, from 0, ascending)."""
+    numbers, from 0, ascending).  ``short``: lines of every length but blank
+    ones are compared, else those under ``LEAST_WORDS`` words stay."""
     texts = keyed_texts(docs, id, text)
     found = stored(occurrences(texts), "occurrences")
-    long = found.where(F.col("words") >= LEAST_WORDS)
-    classes = line_classes(texts)
+    long = found.where(F.col("words") >= (1 if short else LEAST_WORDS))
+    classes = line_classes(texts, SHORTEST if short else LEAST_WORDS)
     ids = texts.select("key", "id")
     placed = (long.select("key", "line", "hash").join(classes, long["hash"] == classes["node"], "left")
               .select("key", "line", F.coalesce("component", "hash").alias("class")))
@@ -377,11 +381,11 @@ def decisions(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFr
                     F.coalesce("removed_lines", none).alias("removed_lines")))
 
 
-def remove_lines(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+def remove_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", short: bool = False) -> DataFrame:
     """``docs`` with the removed lines taken out of the text; other columns
     are unchanged."""
     gone, key = unused("gone", docs), unused("row_key", docs)
-    marks = decisions(docs, id, text).where("n_removed > 0").dropDuplicates(["key"])
+    marks = decisions(docs, id, text, short).where("n_removed > 0").dropDuplicates(["key"])
     marks = marks.select(F.col("key").alias(key), F.col("removed_lines").alias(gone))
     kept = F.array_join(F.filter(F.split(F.col(text), "\n"), lambda _, i: ~F.array_contains(F.col(gone), i)), "\n")
     return (docs.withColumn(key, row_key(docs, id, text)).join(marks, key, "left")

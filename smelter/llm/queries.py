@@ -44,7 +44,7 @@ def op7_jaccard_join(spark, sf_dir):
 @query
 def op8_fuzzy_lines(spark, sf_dir):
     """Lines of every document that repeat an earlier line up to small edits."""
-    return fuzzy_lines.decisions(documents(spark, sf_dir)).select("doc_id", "n_lines", "n_removed", "removed_lines")
+    return fuzzy_lines.decisions(documents(spark, sf_dir), short=True).select("doc_id", "n_lines", "n_removed", "removed_lines")
 
 
 @query

@@ -44,3 +44,11 @@ def test_edited_lines_are_found(make):
         lines.append(" ".join(words))
     want = removed(lines)
     assert len(want) >= 110 and decided(make, lines) == want
+
+
+def test_short_lines_are_compared_whole(make):
+    """Exact repeats of lines of one to four words go, blank lines stay."""
+    lines = ["Home", "", "home!", "Share this", "share  this", "Accept all cookies", "accept all, cookies", "share that",
+             "-- --", "a b c d", "a b c d e", "a b c x", "", "Accept all cookies now please", "accept all cookies now"]
+    want = removed([x or "-" for x in lines], 1) - {i for i, x in enumerate(lines) if not any(c.isalnum() for c in x)}
+    assert want == {2, 4, 6, 10, 14} and decided(make, lines, short=True) == want
