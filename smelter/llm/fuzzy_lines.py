@@ -13,7 +13,10 @@ first occurrence (least id, then line number) of each group stays.
 Equal normalised lines are one node from the start, so a very common line is
 no large group.  Each line is first checked against its buckets' least lines;
 afterwards only pairs of different groups are listed, so a large family of
-variants costs one check each and no link between groups is lost.
+variants costs one check each and no link between groups is lost.  A bucket
+of several groups and more than ``CROWD`` lines is split by a further shared
+word pair, up to ``DEEPEST``, and what is still crowded is dealt as squares of
+``CROWD`` lines to many tasks.
 
 Defined results: null and empty texts have no line; blank lines always stay,
 and lines under ``LEAST_WORDS`` words too unless ``short`` is set, as the query
@@ -38,6 +41,8 @@ from smelter.llm.jaccard_join import CELL_PARTS, CELLS, _cell, _packed, frequenc
 LEAST_WORDS, SIMILARITY, VOTING_BYTES = 5, 80, 4
 #: Shorter lines are similar to none but their equals: one edit of four words is over a fifth.
 SHORTEST = 4
+#: Lines of a bucket whose pairs one task lists, and how many word pairs a bucket's key may have.
+CROWD, DEEPEST = 500, 8
 
 _FOLD = spans.LOWERED.copy()
 _FOLD[[b for b in range(128) if not chr(b).isalnum()]] = 32
@@ -229,6 +234,35 @@ def _postings(lines: DataFrame, shared) -> DataFrame:
     return lines.select("hash", "words").mapInArrow(run, "bucket long, hash long, n int, mark long, rank int")
 
 
+def _split(crowded: DataFrame, lines: DataFrame, shared, depth: int) -> DataFrame:
+    """Rows of crowded buckets under one word pair more: similar lines share
+    the first ``depth`` of their common pairs, each within the rarest ones.
+    Lines that need fewer than ``depth`` pairs stay in their bucket too."""
+
+    def run(batches):
+        for batch in batches:
+            old = {c: batch.column(c).to_numpy() for c in ("bucket", "hash", "n", "mark", "rank")}
+            for at, data, offsets in spans.slices(batch, "words"):
+                _, _, pair, n, size, _ = _pairs_of(data, offsets, shared.value)
+                here = slice(at, at + len(n))
+                lost = _lost(n)
+                begin = old["rank"][here].astype(np.int64) + 1
+                many = np.maximum(np.minimum(size, lost + depth) - begin, 0)
+                row = np.repeat(np.arange(len(n)), many)
+                rank = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many) + begin[row]
+                key = spans.mixed(old["bucket"][here].view(np.uint64)[row] * _STEP + pair[(np.cumsum(size) - size)[row] + rank])
+                stay = np.flatnonzero(size - lost < depth)
+                row, rank = np.concatenate([row, stay]), np.concatenate([rank, begin[stay] - 1])
+                key = np.concatenate([key, old["bucket"][here].view(np.uint64)[stay]])
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(key.view(np.int64)), *(pa.array(old[c][here][row]) for c in ("hash", "n", "mark")),
+                    pa.array(rank.astype(np.int32)), pa.array(np.arange(len(row)) < len(row) - len(stay))], names)
+
+    names = ["bucket", "hash", "n", "mark", "rank", "open"]
+    rows = crowded.select("bucket", "hash", "n", "mark", "rank").join(lines, "hash")
+    return rows.mapInArrow(run, "bucket long, hash long, n int, mark long, rank int, open boolean")
+
+
 def _with_classes(rows: DataFrame, found: DataFrame) -> DataFrame:
     """Rows of buckets with several classes, with their class and the size of the bucket."""
     known = (rows.join(small_or_not(found), rows["hash"] == found["node"], "left")
@@ -245,7 +279,8 @@ def _near(n, m, mark, other):
 
 
 def _cross_pairs(rows: DataFrame) -> DataFrame:
-    """All pairs of different classes in a bucket."""
+    """All pairs of different classes in a bucket.  A bucket of more than
+    ``CROWD`` lines is dealt as squares of that size to many tasks."""
 
     def run(batches):
         held = None
@@ -280,7 +315,12 @@ def _cross_pairs(rows: DataFrame) -> DataFrame:
     def batch_of(out):
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], ["a", "b"])
 
-    rows = rows.select("bucket", "hash", "n", "mark", "class")
+    parts = F.ceil(F.col("size") / CROWD).cast("int")
+    mine = F.pmod(F.xxhash64("hash"), parts).cast("int")
+    rows = rows.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+    square = F.when(F.col("size") <= CROWD, F.col("bucket")).otherwise(
+        F.xxhash64("bucket", F.least("mine", "other"), F.greatest("mine", "other")))
+    rows = rows.select(square.alias("bucket"), "hash", "n", "mark", "class")
     return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "a long, b long")
 
 
@@ -352,7 +392,15 @@ def line_classes(texts: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
     shared = stored(rows.join(small_or_not(sizes), "bucket"), "line-buckets")
     links = _checked(_pivot_pairs(shared), lines)
     found = stored(connected_components(links, "a", "b"), "line-classes")
-    more = _checked(_cross_pairs(_with_classes(shared, found)), lines)
+    rest, depth, pairs = _with_classes(shared, found), 1, []
+    while depth < DEEPEST and not (crowded := rest.where(F.col("size") > CROWD)).isEmpty():
+        depth += 1
+        pairs.append(_cross_pairs(rest.where(F.col("size") <= CROWD)))
+        split = stored(_split(crowded, lines, table, depth), "line-split")
+        stay = _with_classes(split.where("not open").drop("open"), found)
+        pairs.append(_cross_pairs(stay))
+        rest = _with_classes(split.where("open").drop("open"), found)
+    more = _checked(reduce(DataFrame.union, [*pairs, _cross_pairs(rest)]), lines)
     return found if more.isEmpty() else stored(connected_components(links.union(more), "a", "b"), "line-classes")
 
 

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from smelter.llm import fuzzy_lines
 
@@ -46,6 +47,29 @@ def test_edited_lines_are_found(make):
     assert len(want) >= 110 and decided(make, lines) == want
 
 
+@pytest.mark.parametrize("crowd", [500, 4])
+def test_log_lines_stay_apart(make, monkeypatch, crowd):
+    """Lines with one long word and numbers are different unless most words are
+    the same; crowded buckets are split without losing a pair."""
+    monkeypatch.setattr(fuzzy_lines, "CROWD", crowd, raising=False)
+    rng = random.Random(6)
+    lines = [f"error {rng.randrange(3)}:{rng.randrange(4)}:{rng.randrange(60)} {rng.randrange(60)} {rng.randrange(60)}" for _ in range(150)]
+    want = removed(lines)
+    assert 0 < len(want) < 149 and decided(make, lines) == want
+
+
+def test_crowded_bucket_lists_few_pairs(spark):
+    """Lines that share one word pair only are no candidates of each other."""
+    names = "bucket long, hash long, n int, mark long, rank int, class long, size long"
+    rng = np.random.default_rng(7)
+    marks = rng.integers(-(1 << 62), 1 << 62, 2000).tolist()
+    rows = spark.createDataFrame([(1, i, 6, m, 0, i, 2000) for i, m in enumerate(marks)], names)
+    dealt = fuzzy_lines._cross_pairs(rows)
+    assert dealt.count() == 0
+    same = spark.createDataFrame([(1, i, 6, 5, 0, i % 2, 1200) for i in range(1200)], names)
+    assert fuzzy_lines._cross_pairs(same).distinct().count() == 600 * 600
+
+
 def test_short_lines_are_compared_whole(make):
     """Exact repeats of lines of one to four words go, blank lines stay."""
     lines = ["Home", "", "home!", "Share this", "share  this", "Accept all cookies", "accept all, cookies", "share that",
