@@ -237,10 +237,15 @@ def q_defect_classifier(t):
     return t.spark.createDataFrame(rows, "model string, f1 double, is_best boolean")
 
 
-def _held_out(t, family):
+def _trained(t, family):
+    """All inspections with their split, and a model of the training split."""
     data = defect_data(t)
     train = fx.model_inputs(data.filter(F.col("split") == "train").drop("split"))
-    model = training.fit_classifier(train, family, "is_defect", DEFECT_FEATURES)
+    return data, training.fit_classifier(train, family, "is_defect", DEFECT_FEATURES)
+
+
+def _held_out(t, family):
+    data, model = _trained(t, family)
     test = data.filter(F.col("split") == "test").drop("split").withColumn(
         "is_defect", F.col("is_defect").cast("double"))
     return model, test
@@ -263,16 +268,19 @@ def q_defect_importance(t):
 
 @register("high_defect_probability", ("ML20",))
 def q_high_defect_probability(t):
-    """Held-out inspections whose predicted defect probability exceeds 0.5."""
-    model, test = _held_out(t, "logistic")
-    return (model.transform(test).withColumn("p_defect", scoring.probability_of("probability", 1))
+    """Inspections whose predicted defect probability exceeds 0.5: the model of
+    the training split scores all of them."""
+    data, model = _trained(t, "logistic")
+    data = data.drop("split").withColumn("is_defect", F.col("is_defect").cast("double"))
+    return (model.transform(data).withColumn("p_defect", scoring.probability_of("probability", 1))
             .filter(F.col("p_defect") > 0.5).select("inspection_id", "furnace_id", "is_defect", "p_defect"))
 
 
 @register("failure_classifier", ("ML19",))
 def q_failure_classifier(t):
-    """Predictive-maintenance variant: is_failure on telemetry readings."""
+    """Predictive-maintenance variant: is_failure on telemetry readings, the
+    same search over three model families."""
     data = materialize(silver(t).select(*FEATS, "vibration_mm_s", "is_failure"))
-    results = training.classifier_search(data, "is_failure", FEATS + ["vibration_mm_s"], families=("logistic",))
+    results = training.classifier_search(data, "is_failure", FEATS + ["vibration_mm_s"])
     rows = [(name, float(f1)) for name, (_, f1) in results.items()]
     return t.spark.createDataFrame(rows, "model string, f1 double")
