@@ -61,6 +61,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def one_text_each(rows: DataFrame, *keys: str) -> DataFrame:
+    """One row for each value of ``keys``: the text with the least hash."""
+    least = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least")
+    return rows.groupBy(*keys).agg(least).select(*keys, "least.text")
+
+
 def unused(name: str, *frames: DataFrame) -> str:
     """``name``, with underscores in front until no frame has such a column."""
     taken = {c.lower() for f in frames for c in f.columns}

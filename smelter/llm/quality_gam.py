@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from smelter.llm import spans
+from smelter.llm.common import one_text_each
 
 #: Bound on the labelled documents that are learnt from.
 SAMPLE = 20_000
@@ -221,6 +222,7 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("label").slice(row, len(found)), pa.array(found.tolist(), pa.list_(pa.float64()))], ["label", "x"])
 
+    rows = one_text_each(rows, "label_id", "label")  # an id that many rows have counts once
     got = rows.select("text", "label").mapInArrow(measure, "label int, x array<double>").collect()
     got.sort(key=lambda r: (r["x"], r["label"]))  # the order of tasks does not matter
     x = np.array([r["x"] for r in got], float).reshape(-1, len(FEATURES))

@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from smelter.llm.common import words
+from smelter.llm.common import one_text_each, words
 
 #: Bound on the labelled documents that are learnt from.
 SAMPLE = 20_000
@@ -206,6 +206,7 @@ def labelled_rates(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text:
     one = one.groupBy(one[id].alias("label_id")).agg(F.min(one[label].cast("int")).alias("label"))
     one = one.orderBy(F.xxhash64("label_id"), "label_id").limit(most)
     picked = docs.select(docs[id].alias("id"), docs[text].alias("text")).join(F.broadcast(one), F.col("id") == F.col("label_id"))
+    picked = one_text_each(picked, "label_id", "label")  # an id that many rows have counts once
     found = statistics(picked.select("label_id", "text", "label"), "label_id").join(F.broadcast(one), "label_id")
     found = found.select(F.expr(BASE).alias("failed"), (F.col("label") <= 0).cast("int").alias("bad"),
                          *(F.expr(sql).cast("double").alias(name) for name, sql in RATES.items()))
