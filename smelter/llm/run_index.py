@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import numpy as np
 
-#: Symbols in the first sort key: base-257 numbers of this length fit 64 bits.
+#: Symbols in the first sort key: base-258 numbers of this length fit 64 bits.
 _FIRST = 7
 
 
@@ -37,9 +37,12 @@ class RunIndex:
     def _sorted(self, n: int):
         """Suffix order by prefix doubling; also the ranks by the first 7, 14,
         28, ... symbols, which later compare any two places."""
+        # what lies behind the text sorts below the symbol that closes strings,
+        # so no two suffixes are equal once width reaches n
+        sorting = np.append(self.symbols[:n] + 1, np.zeros(_FIRST, np.int64))
         key = np.zeros(n, np.int64)
         for k in range(_FIRST):
-            key = key * 257 + self.symbols[k:k + n]
+            key = key * 258 + sorting[k:k + n]
         ranks, width = [], _FIRST
         while True:
             order = np.argsort(key, kind="stable")
@@ -52,9 +55,10 @@ class RunIndex:
             ranks.append((width, rank))
             if int(rank[order[-1]]) == n - 1:
                 return order, ranks
+            if width >= n:
+                raise RuntimeError("suffixes not told apart by their whole length")
             after = np.zeros(n, np.int64)
-            if width < n:
-                after[:-width] = rank[width:].astype(np.int64) + 1
+            after[:-width] = rank[width:].astype(np.int64) + 1
             key = rank.astype(np.int64) * (n + 1) + after
             width *= 2
 
