@@ -6,8 +6,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from smelter.llm import chat_format, exact_dedup, fuzzy_lines, jaccard_join, language_id, mixing, quality_gam, quality_rules, sentencepiece_bpe, substring_dedup
+from smelter.llm import chat_format, exact_dedup, fuzzy_lines, jaccard_join, language_id, mixing, quality_gam, quality_rules, sentencepiece_bpe, substring_dedup, warc
 from smelter.llm.common import documents
+from smelter.session import scratch_dir
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -106,3 +107,23 @@ def op6_quality_classifier(spark, sf_dir):
 def op10_chat_format(spark, sf_dir):
     """Rendered pieces of all conversations, roles repaired at least cost."""
     return chat_format.repair(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+@query
+def op11_warc(spark, sf_dir):
+    """All pages written as WARC archives and read back."""
+    path = scratch_dir(spark, "warc")
+    warc.write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"), path)
+    return warc.read_records(spark, path)
+
+
+ORACLES["op11_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+s AS (SELECT page_id, octet_length(encode(html)) AS payload_bytes, sha256(html) AS payload_digest,
+             min(page_id) OVER (PARTITION BY html) AS first_id FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to,
+       true AS intact
+FROM s
+"""
