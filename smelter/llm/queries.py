@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from smelter.llm import chat_format, exact_dedup, fuzzy_lines, jaccard_join, language_id, mixing, quality_gam, quality_rules, sentencepiece_bpe, substring_dedup, warc
+from smelter.llm import chat_format, exact_dedup, fuzzy_lines, jaccard_join, language_id, mixing, quality_gam, quality_rules, sentencepiece_bpe, spelling, substring_dedup, warc
 from smelter.llm.common import documents
 from smelter.session import scratch_dir
 
@@ -127,3 +127,9 @@ SELECT page_id, payload_bytes, payload_digest,
        true AS intact
 FROM s
 """
+
+
+@query
+def op12_spelling_variants(spark, sf_dir):
+    """Words of all documents, their neighbours, forms and roots."""
+    return spelling.variant_groups(documents(spark, sf_dir))
