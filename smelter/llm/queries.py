@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from smelter.llm import chat_format, exact_dedup, fuzzy_lines, jaccard_join, language_id, mixing, quality_gam, quality_rules, sentencepiece_bpe, spelling, substring_dedup, warc
+from smelter.llm import chat_format, exact_dedup, fuzzy_lines, hard_negatives, jaccard_join, language_id, mixing, quality_gam, quality_rules, sentencepiece_bpe, spelling, substring_dedup, warc
 from smelter.llm.common import documents
 from smelter.session import scratch_dir
 
@@ -133,3 +133,34 @@ FROM s
 def op12_spelling_variants(spark, sf_dir):
     """Words of all documents, their neighbours, forms and roots."""
     return spelling.variant_groups(documents(spark, sf_dir))
+
+
+@query
+def op13_hard_negatives(spark, sf_dir):
+    """Hard negatives of every hundredth vector against all."""
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    label = F.when(rows["vec_id"] % 7 == 0, (rows["label"] + 1) % 10).otherwise(rows["label"])
+    return hard_negatives.mine(rows, rows["vec_id"] % 100 == 0, label=label)
+
+
+ORACLES["op13_hard_negatives"] = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+         list_dot_product(a.q, b.q)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, other_id AS negative_id,
+       positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same
+           AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id)
+QUALIFY row_number() OVER w <= 5
+"""
