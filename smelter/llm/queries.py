@@ -146,10 +146,10 @@ def op13_hard_negatives(spark, sf_dir):
 ORACLES["op13_hard_negatives"] = """
 WITH v AS (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-         list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS q
+         [floor(256 * x::DOUBLE) FOR x IN embedding] AS q
   FROM embeddings
   WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
 s AS (
   SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
          list_dot_product(a.q, b.q)::BIGINT AS score
