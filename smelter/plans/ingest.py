@@ -8,12 +8,13 @@ import os
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from smelter.operators import cleaning
 from smelter.plans.medallion import GOLD_SQL, gold
 from smelter.plans.registry import ORACLES, register
 from smelter.session import scratch_dir
 from smelter.sources import files
 from smelter.sources.standins import duckdb_with
-from smelter.streaming import ingest
+from smelter.streaming import dedup, ingest
 
 TELEMETRY_COLS = [f.name for f in files.TELEMETRY_CSV_SCHEMA.fields]
 
@@ -67,6 +68,34 @@ def q_stream_schema_evolution(t):
     return ingest.cleaning.typed(bronze).select(*TELEMETRY_COLS)
 
 
+@register("stream_typed_discovery", ("SRC4", "SRC1"), duckdb_with("telemetry") + f"""
+SELECT reading_seq, furnace_id, ts, temperature_c, energy_kwh_ton,
+       CAST(CASE WHEN ts < TIMESTAMP '{WAVE_CUTOFF}' THEN anode_effect + 0.5 ELSE anode_effect END AS DOUBLE) AS anode_effect,
+       CAST(reading_seq + 3000000000 AS BIGINT) AS long_code,
+       CASE WHEN ts < TIMESTAMP '{WAVE_CUTOFF}' THEN ts + INTERVAL 1 HOUR END AS checked_at,
+       CASE WHEN ts < TIMESTAMP '{WAVE_CUTOFF}' THEN CAST(ts AS DATE) END AS checked_on,
+       CASE WHEN ts < TIMESTAMP '{WAVE_CUTOFF}' THEN concat('0', CAST(furnace_id AS VARCHAR)) ELSE CAST(furnace_id AS VARCHAR) END AS plant_code
+FROM telemetry""")
+def q_stream_typed_discovery(t):
+    """Two columns are declared, all others discovered.  The first wave's whole
+    numbers turn into doubles in the second, whole codes into text, and the
+    second wave brings a timestamp and a date column."""
+    base = scratch_dir(t.spark, "discovery")
+    landing, target, ckpt = (os.path.join(base, d) for d in ("landing", "table", "_checkpoint"))
+    declared = T.StructType([f for f in files.TELEMETRY_CSV_SCHEMA.fields if f.name in ("reading_seq", "ts")])
+    columns = ["reading_seq", "furnace_id", "ts", "temperature_c", "energy_kwh_ton", "anode_effect", "long_code", "plant_code"]
+    for i, wave in enumerate(waves(t)):
+        wave = wave.withColumns({"long_code": F.col("reading_seq") + 3_000_000_000, "plant_code": F.col("furnace_id").cast("string")})
+        wave = wave.select(*columns)
+        if i:
+            wave = wave.withColumns({"anode_effect": F.col("anode_effect") + 0.5, "plant_code": F.concat(F.lit("0"), "plant_code"),
+                                     "checked_at": F.col("ts") + F.expr("INTERVAL 1 HOUR"), "checked_on": F.to_date("ts")})
+            wave = wave.select(*reversed(wave.columns))
+        wave.write.mode("append").option("header", True).csv(landing)
+        ingest.ingest_bronze(t.spark, landing, target, ckpt, declared, discover=True)
+    return ingest.read_bronze(t.spark, target, ckpt).select(*columns, "checked_at", "checked_on")
+
+
 @register("stream_file_counts", ("AGG16", "SRC6"), duckdb_with("telemetry") + """
 SELECT count(*) AS rows, CAST(0 AS BIGINT) AS missing_file, CAST(0 AS BIGINT) AS missing_ingest_time,
        true AS several_files FROM telemetry""")
@@ -99,6 +128,28 @@ def q_stream_silver_keys(t):
     return t.spark.read.parquet(silver_gold_stream(t)["seen"]).select("furnace_id", "ts")
 
 
+@register("stream_event_dedup", ("STR4",), duckdb_with("telemetry") + """
+SELECT reading_seq, furnace_id, ts, temperature_c, energy_kwh_ton, vibration_mm_s, anode_effect, is_failure FROM telemetry
+QUALIFY row_number() OVER (PARTITION BY furnace_id, ts ORDER BY reading_seq) = 1""")
+def q_stream_event_dedup(t):
+    """First reading of every natural key through a watermarked state store,
+    in three waves.  The second delivers the first one's last hours once more;
+    the third is older than the watermark and contradicts nothing."""
+    base = scratch_dir(t.spark, "event-dedup")
+    source = os.path.join(base, "source")
+    rows = t.role("telemetry").select("reading_seq", *cleaning.PIPELINE_TYPES)
+    start, middle = (F.lit(x).cast("timestamp") for x in ("2024-01-08 00:00:00", WAVE_CUTOFF))
+    ts = F.col("ts")
+    first = rows.where((ts >= start) & (ts < middle))
+    again = first.where(ts >= middle - F.expr("INTERVAL 6 HOURS"))
+    table = dedup.EventTimeDedup(t.spark, os.path.join(base, "table"), ingest.NATURAL_KEY, "ts", ["reading_seq"], "12 hours")
+    for wave in (first, rows.where(ts >= middle).union(again), rows.where((ts < start) | ts.isNull()).union(again)):
+        wave.write.mode("append").parquet(source)
+        stream = t.spark.readStream.schema(rows.schema).parquet(source)
+        table.run(stream, os.path.join(base, "_checkpoint"))
+    return table.read()
+
+
 @register("stream_quality", ("STR7", "DQ4"), duckdb_with("telemetry") + f""",
 waved AS (SELECT *, CAST(CASE WHEN ts < TIMESTAMP '{WAVE_CUTOFF}' THEN 1 ELSE 0 END AS BIGINT) AS batch_id FROM telemetry),
 firsts AS (SELECT * FROM waved QUALIFY row_number() OVER (PARTITION BY furnace_id, ts ORDER BY reading_seq) = 1)
