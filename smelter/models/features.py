@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from smelter.functions.columns import hash_bucket, reading_key
-from smelter.operators.joins import key_profile, point_in_time_means
+from smelter.operators.joins import key_profile, sliding_means
 
 ENERGY_FEATURES = ["temperature_c", "amperage_ka", "anode_effect", "bath_ratio", "alumina_feed_rate"]
 ENERGY_TARGET = "energy_kwh_ton"
@@ -57,8 +57,8 @@ def defect_recent_state(inspections: DataFrame, telemetry: DataFrame, lookback_h
     before the inspection (point in time: no reading after it leaks in)."""
     events = inspections.select("inspection_id", "furnace_id",
                                 F.col("date").cast("timestamp").alias("inspected_at"))
-    recent = point_in_time_means(events, telemetry, "furnace_id", "inspected_at", "ts",
-                                 lookback_hours, STATE_COLUMNS, "inspection_id")
+    recent = sliding_means(events, telemetry, "furnace_id", "inspected_at", "ts",
+                           f"{lookback_hours} HOURS", STATE_COLUMNS, "inspection_id")
     return inspections.join(recent, "inspection_id", "left")
 
 

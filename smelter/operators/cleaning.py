@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from smelter.functions.columns import nan_to_null
+from smelter.operators.selection import exact_quantiles
 from smelter.operators.sizing import broadcast_if_small
 from smelter.session import materialize
 
@@ -64,8 +65,14 @@ def group_median(df: DataFrame, value: str, group: str, alias: str = "group_medi
     return df.groupBy(group).agg(F.percentile_approx(value, 0.5).alias(alias))
 
 
+def exact_group_median(df: DataFrame, value: str, group: str, alias: str = "group_median") -> DataFrame:
+    """Per-group median, the exact lower one, whatever the group's size."""
+    found = exact_quantiles(df, value, group)
+    return found.select(F.col("group").alias(group), F.col("value").alias(alias))
+
+
 def impute_group_median(df: DataFrame, value: str, group: str, flag: str,
-                        global_fallback: bool = False) -> DataFrame:
+                        global_fallback: bool = False, exact: bool = False) -> DataFrame:
     """Flag NULLs, then fill them with the group's median.
 
     The flag is taken before filling; the median is computed over all rows of
@@ -77,8 +84,12 @@ def impute_group_median(df: DataFrame, value: str, group: str, flag: str,
     size is then known, and while it is small the rows are filled where they
     are.  Joining them as part of one plan would first shuffle every raw row
     by the group, most of them to a few hot ones.
+
+    ``exact`` takes exact medians; the sketch of the default is exact too up
+    to some ten thousand distinct values in a group.
     """
-    medians = broadcast_if_small(materialize(group_median(df, value, group, "_median"), "medians"))
+    median = exact_group_median if exact else group_median
+    medians = broadcast_if_small(materialize(median(df, value, group, "_median"), "medians"))
     fill: list[Column] = [F.col(value), F.col("_median")]
     if global_fallback:
         fill.append(df.agg(F.percentile_approx(value, 0.5)).scalar())
@@ -109,7 +120,7 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
 
 
 def clean_telemetry(raw: DataFrame, order: Sequence[str] = ("reading_seq",),
-                    global_fallback: bool = False) -> DataFrame:
+                    global_fallback: bool = False, exact: bool = False) -> DataFrame:
     """Typed -> flag + per-furnace median fill -> temperature range -> dedup.
 
     The order matters and is kept: the median sees rows the range filter and
@@ -117,7 +128,7 @@ def clean_telemetry(raw: DataFrame, order: Sequence[str] = ("reading_seq",),
     """
     df = typed(raw)
     df = impute_group_median(df, "vibration_mm_s", "furnace_id", "vibration_imputed",
-                             global_fallback=global_fallback)
+                             global_fallback=global_fallback, exact=exact)
     df = in_range(df, "temperature_c", *TEMPERATURE_RANGE)
     return keep_first(df, ["furnace_id", "ts"], list(order))
 

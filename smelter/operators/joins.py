@@ -3,10 +3,11 @@ point-in-time (time-bounded) feature joins."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from smelter.operators.sizing import broadcast_if_small
+from smelter.session import materialize
 
 
 def orphans(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
@@ -69,3 +70,53 @@ def point_in_time_means(events: DataFrame, readings: DataFrame, key: str, event_
     return joined.groupBy(event_id).agg(
         F.count(F.lit(1)).alias("window_readings"),
         *[F.avg(v).alias(f"recent_{v}") for v in values])
+
+
+def sliding_means(events: DataFrame, readings: DataFrame, key: str, event_ts: str, reading_ts: str,
+                  lookback: str, values: list[str], event_id: str, slice: str = "day") -> DataFrame:
+    """Mean of reading ``values`` in ``(t0 - lookback, t0]`` before each event,
+    at a cost that does not depend on the window's length.
+
+    The sum over a window is the running sum at its end less that at its start,
+    so each event makes two as-of look-ups.  Running sums are taken within
+    (key, time slice) and the totals of a key's earlier slices are carried
+    over, so a hot key is spread over its slices.  Readings of one key and
+    time are one row before that, as are equal look-ups, so that repeated ones
+    do not gather either.
+
+    Events without a reading in their window, and those without key or time,
+    have no row; nulls take no part in a mean.
+    """
+    parts = [f"{v}_{what}" for v in values for what in ("sum", "n")]
+    sums = [F.sum(F.col(v).cast("double")).alias(f"{v}_sum") for v in values]
+    counts = [F.count(v).alias(f"{v}_n") for v in values]
+    at = F.col(reading_ts).cast("timestamp").alias("at")
+    steps = (readings.select(F.col(key).alias("key"), at, *values).where("key is not null and at is not null")
+             .groupBy("key", "at").agg(F.count(F.lit(1)).alias("rows"), *sums, *counts))
+    ends = events.select(F.col(event_id).alias("event"), F.col(key).alias("key"), F.col(event_ts).cast("timestamp").alias("until"))
+    ends = ends.where("key is not null and until is not null").distinct().withColumn("since", F.col("until") - F.expr(f"INTERVAL {lookback}"))
+    looked = ends.select("key", F.col("until").alias("at")).union(ends.select("key", "since")).distinct()
+
+    def summed(columns):
+        return {c: F.coalesce(F.col(c), F.lit(0)) for c in columns}
+
+    # a look-up stands behind the reading of its own time
+    every = steps.withColumn("look", F.lit(False)).unionByName(looked.withColumn("look", F.lit(True)), allowMissingColumns=True)
+    every = every.withColumns({"slice": F.date_trunc(slice, "at"), **summed(["rows", *parts])})
+    within = Window.partitionBy("key", "slice").orderBy("at", "look").rowsBetween(Window.unboundedPreceding, 0)
+    running = every.withColumns({c: F.sum(c).over(within) for c in ["rows", *parts]})
+    # the last row of a slice has its total: one more look-up a slice
+    running = materialize(running.withColumn("last", F.lead("at").over(Window.partitionBy("key", "slice").orderBy("at", "look")).isNull())
+                          .where("look or last"), "running")
+    before = Window.partitionBy("key").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    carried = running.where("last").select("key", "slice", *(F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_{c}") for c in ["rows", *parts]))
+    totals = running.where("look").join(broadcast_if_small(materialize(carried, "carried")), ["key", "slice"])
+    totals = materialize(totals.select("key", "at", *((F.col(c) + F.col(f"_{c}")).alias(c) for c in ["rows", *parts])), "totals")
+
+    def side(time, mark):
+        return totals.select("key", F.col("at").alias(time), *(F.col(c).alias(f"{mark}{c}") for c in ["rows", *parts]))
+
+    both = ends.join(side("until", "b_"), ["key", "until"]).join(side("since", "a_"), ["key", "since"])
+    less = {c: F.col(f"b_{c}") - F.col(f"a_{c}") for c in ["rows", *parts]}
+    means = [F.when(less[f"{v}_n"] > 0, less[f"{v}_sum"] / less[f"{v}_n"]).alias(f"recent_{v}") for v in values]
+    return both.where(less["rows"] > 0).select(F.col("event").alias(event_id), less["rows"].alias("window_readings"), *means)

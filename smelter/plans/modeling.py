@@ -110,22 +110,36 @@ def q_defect_dataset(t):
                        else F.col(c) for c in ds.columns])
 
 
-@register("defect_recent_state", ("JN11",), SILVER_SQL + ",\n" + duckdb_ctes("inspections") + f""",
+def _recent_sql(hours: int) -> str:
+    return SILVER_SQL + ",\n" + duckdb_ctes("inspections") + f""",
 recent AS (
   SELECT i.inspection_id, count(*) AS window_readings,
          {', '.join(f'avg(s.{c}) AS recent_{c}' for c in fx.STATE_COLUMNS)}
   FROM inspections i JOIN silver s ON s.furnace_id = i.furnace_id
-   AND s.ts > CAST(i.date AS TIMESTAMP) - INTERVAL 24 HOUR AND s.ts <= CAST(i.date AS TIMESTAMP)
+   AND s.ts > CAST(i.date AS TIMESTAMP) - INTERVAL {hours} HOUR AND s.ts <= CAST(i.date AS TIMESTAMP)
   GROUP BY i.inspection_id)
 SELECT i.*, r.window_readings, {', '.join(r(f'r.recent_{c}', 6) + f' AS recent_{c}' for c in fx.STATE_COLUMNS)}
-FROM inspections i LEFT JOIN recent r ON i.inspection_id = r.inspection_id""")
-def q_defect_recent_state(t):
-    """Furnace state in the 24 h before each inspection (time-bounded join)."""
-    ds = fx.defect_recent_state(t.role("inspections"), silver(t), 24)
+FROM inspections i LEFT JOIN recent r ON i.inspection_id = r.inspection_id"""
+
+
+def _recent_state(t, hours: int):
+    ds = fx.defect_recent_state(t.role("inspections"), silver(t), hours)
     return ds.select(*[round_half_up(c, 6).alias(c) if c.startswith("recent_") else F.col(c)
                        for c in ds.columns])
 
 
+@register("defect_recent_state", ("JN11",), _recent_sql(24))
+def q_defect_recent_state(t):
+    """Furnace state in the 24 h before each inspection (as-of running sums)."""
+    return _recent_state(t, 24)
+
+
+@register("defect_recent_state_90d", ("JN11",), _recent_sql(90 * 24))
+def q_defect_recent_state_90d(t):
+    """The same over 90 days: as many rows shuffled as over one."""
+    return _recent_state(t, 90 * 24)
+
+
 @register("energy_linear", ("ML5",), "\nUNION ALL\n".join(
     f"SELECT '{term}' AS term, CAST({value} AS DOUBLE) AS coefficient" for term, value in
     [("temperature_c", 35), ("amperage_ka", 2), ("anode_effect", 120), ("bath_ratio", 0),

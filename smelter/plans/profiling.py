@@ -7,7 +7,7 @@ from itertools import combinations
 from pyspark.sql import functions as F
 
 from smelter.functions.columns import hash_bucket_sql, reading_key, round_half_up_sql as r
-from smelter.operators import datasets, stats
+from smelter.operators import datasets, selection, stats
 from smelter.plans.medallion import SILVER_SQL, silver
 from smelter.plans.registry import register
 from smelter.sources.standins import duckdb_with
@@ -122,3 +122,24 @@ WHERE {hash_bucket_sql("CAST(furnace_id AS VARCHAR) || '_' || CAST(epoch(ts) AS
 def q_hash_sample(t):
     """Half of the cleaned readings, chosen by a hash of the reading key."""
     return stats.hash_sample(silver(t), reading_key(), 50)
+
+
+QUANTILES = (0.1, 0.5, 0.99)
+
+
+@register("exact_quantiles", ("AGG22", "WIN1", "DQ5"), duckdb_with("telemetry") + ",\n" + "all_values AS (" + " UNION ALL ".join(
+    f"SELECT 'furnace ' || furnace_id AS series, {c} AS v FROM telemetry UNION ALL SELECT 'fleet {c}', {c} FROM telemetry"
+    for c in ("vibration_mm_s",)) + """
+  UNION ALL SELECT 'price ' || l_returnflag, l_extendedprice FROM lineitem)
+""" + " UNION ALL ".join(f"SELECT series, CAST({q} AS DOUBLE) AS q, quantile_disc(v, {q}) AS value FROM all_values WHERE v IS NOT NULL GROUP BY series"
+                         for q in QUANTILES))
+def q_exact_quantiles(t):
+    """Exact quantiles of vibration per furnace and over the fleet (one group
+    of all rows), and of line prices per return flag."""
+    tel = t.role("telemetry")
+    parts = [tel.select(F.concat(F.lit("furnace "), F.col("furnace_id").cast("string")).alias("series"), F.col("vibration_mm_s").alias("v")),
+             tel.select(F.lit("fleet vibration_mm_s"), "vibration_mm_s"),
+             t.table("lineitem").select(F.concat(F.lit("price "), "l_returnflag"), F.col("l_extendedprice").cast("double"))]
+    rows = parts[0].union(parts[1]).union(parts[2])
+    found = selection.exact_quantiles(rows, "v", "series", QUANTILES)
+    return found.select(F.col("group").alias("series"), "q", "value")
