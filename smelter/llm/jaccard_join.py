@@ -20,10 +20,15 @@ The steps, all Spark jobs over tables in the shared folder:
    which it shares most prefix shingles among its buckets' pivots, if they are
    enough; a second round does so across the classes found.  This puts a large
    group of near copies into one class, or few, at a few checks per node.
-4. All other pairs: within a bucket, pairs of nodes of different classes are
-   counted, summed over buckets and checked if the count suffices.  No link
-   between different classes is lost, and pairs inside a class, which cannot
-   change it, are never listed.
+4. All other pairs: shingles with up to ``CROWD`` nodes list the pairs of
+   different classes in their bucket.  The postings of crowded shingles are
+   dealt anew by family (the least node that their nodes meet in crowded
+   shingles), in squares of two slices of its nodes.  There a pair's crowded
+   shingles are counted all at once, and it becomes a row only if they and
+   what both nodes share with others elsewhere can be enough: a large family below the
+   similarity is counted in its squares, never listed.  Counts are then summed
+   and pairs with enough are checked.  No link between different classes is
+   lost; pairs inside a class, which cannot change it, are never listed.
 5. Classes of both kinds of links; every document takes the least doc_id of
    its class.
 
@@ -43,7 +48,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,6 +63,9 @@ CELLS, CELL_PARTS = 1 << 21, 64
 MATCHES, CHECK_COST = (1, 2, 4, 8, 16), 20.0
 #: Pivots tried for each node in a round, and the size from which runs have that many.
 PIVOTS, FEW = 4, 8
+#: Nodes of a shingle from which its pairs are not listed in its bucket, and
+#: the sizes of the slices of a family.
+CROWD, LEAST_SLICE, MOST_SLICE, SLICES = 24, 512, 4096, 16
 BUCKET_POSTINGS, LEAST_BUCKETS = 400_000, 128
 
 _PLACES = np.random.default_rng(31).integers(1, 1 << 63, WORDS, dtype=np.uint64) | np.uint64(1)
@@ -258,13 +266,15 @@ def _unblock(data: bytes):
 class _Bucket:
     """One bucket's postings, sorted by shingle, size and node."""
 
-    def __init__(self, blocks: list[bytes], classes: dict[int, int]):
+    def __init__(self, blocks: list[bytes], classes: dict[int, int], number: int = 0, families: dict[int, int] | None = None):
+        self.number = number
         parts = [_unblock(b) for b in blocks]
         every = np.concatenate([p[2] for p in parts])
         self.nodes, first, where = np.unique(every, return_index=True, return_inverse=True)
         self.sizes = np.concatenate([p[3] for p in parts])[first]
         self.lengths = np.concatenate([p[4] for p in parts])[first]
         self.of = np.array([classes.get(n, n) for n in self.nodes.tolist()], np.int64) if classes else self.nodes
+        self.family = np.array([families.get(n, _FAR) for n in self.nodes.tolist()], np.int64) if families else None
         begins = np.cumsum([0] + [len(p[2]) for p in parts])
         token = np.concatenate([p[0] for p in parts])
         doc = where[np.concatenate([p[1] + b for p, b in zip(parts, begins, strict=False)])]
@@ -339,7 +349,7 @@ class _Bucket:
             return
         ends = np.cumsum(self.runs)
         of = self.of[self.doc]
-        mixed = np.minimum.reduceat(of, ends - self.runs) != np.maximum.reduceat(of, ends - self.runs)
+        mixed = (np.minimum.reduceat(of, ends - self.runs) != np.maximum.reduceat(of, ends - self.runs)) & (self.runs <= CROWD)
         for at, end in zip((ends - self.runs)[mixed].tolist(), ends[mixed].tolist(), strict=True):
             doc, m = self.doc[at:end], end - at
             sizes = self.sizes[doc]
@@ -361,6 +371,50 @@ class _Bucket:
         if n:
             yield self._counted(held)
 
+    def met(self) -> np.ndarray:
+        """For each node that is used: the least node, by hash, that it meets
+        in a crowded shingle (``_FAR``: it is in none)."""
+        found = np.full(len(self.nodes), _FAR, np.int64)
+        if len(self.doc):
+            place = _place(self.nodes)
+            least = np.minimum.reduceat(place[self.doc], np.cumsum(self.runs) - self.runs)
+            crowded = np.repeat(self.runs > CROWD, self.runs)
+            np.minimum.at(found, self.doc[crowded], np.repeat(least, self.runs)[crowded])
+        return found[np.unique(self.doc)]
+
+    def few(self):
+        """(node, count): how many of a node's shingles here have nodes of
+        several classes and are not crowded, for nodes of families."""
+        if not len(self.doc) or self.family is None:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        begins = np.cumsum(self.runs) - self.runs
+        of = self.of[self.doc]
+        mixed = (np.minimum.reduceat(of, begins) != np.maximum.reduceat(of, begins)) & (self.runs <= CROWD)
+        count = np.bincount(self.doc[np.repeat(mixed, self.runs)], minlength=len(self.nodes))
+        some = (count > 0) & (self.family < _FAR)
+        return self.nodes[some], count[some]
+
+    def crowds(self):
+        """(node, size, length, class, family, shingles): each node's crowded
+        shingles with nodes of several classes, by their family."""
+        if not len(self.doc) or self.family is None:
+            return
+        begins = np.cumsum(self.runs) - self.runs
+        of = self.of[self.doc]
+        mixed = (np.minimum.reduceat(of, begins) != np.maximum.reduceat(of, begins)) & (self.runs > CROWD)
+        if not mixed.any():
+            return
+        family = np.minimum.reduceat(self.family[self.doc], begins)
+        token = np.arange(len(self.runs), dtype=np.int64) | np.int64(self.number << 24)
+        take = np.repeat(mixed, self.runs)
+        doc, family, token = self.doc[take], np.repeat(family, self.runs)[take], np.repeat(token, self.runs)[take]
+        order = np.lexsort((token, family, doc))
+        doc, family, token = doc[order], family[order], token[order]
+        edge = np.flatnonzero(np.append(np.insert((doc[1:] != doc[:-1]) | (family[1:] != family[:-1]), 0, True), True))
+        first = doc[edge[:-1]]
+        yield (self.nodes[first], self.sizes[first], self.lengths[first], self.of[first], family[edge[:-1]],
+               [token[a:b].tobytes() for a, b in zip(edge, edge[1:], strict=False)])
+
     def used(self) -> np.ndarray:
         return self.nodes[np.unique(self.doc)]
 
@@ -376,55 +430,185 @@ class _Bucket:
         return self.nodes[a], self.nodes[b], shared, self._needed(a, b)
 
 
+_FAR = (1 << 63) - 1
+
+
+def _place(nodes: np.ndarray) -> np.ndarray:
+    """A seeded order of the nodes."""
+    return (spans.mixed(nodes.view(np.uint64)) >> np.uint64(1)).astype(np.int64)
+
+
 def _by_bucket(rows: DataFrame, what, schema: str) -> DataFrame:
-    """Apply ``what(blocks, classes)``, which yields tuples of columns, to the
-    rows of each bucket: (bucket, block, nodes) and (bucket, node, class)."""
+    """Apply ``what(bucket)``, which yields tuples of columns, to the rows of
+    each bucket: (bucket, block) and (bucket, node, class, family)."""
     names = [c.split()[0] for c in schema.split(", ")]
+    kinds = [{"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}.get(c.split()[1]) for c in schema.split(", ")]
 
     def run(batches):
-        at, blocks, classes = None, [], {}
+        at, blocks, classes, families = None, [], {}, {}
         for batch in batches:
-            for bucket, block, node, of in zip(*(batch.column(c).to_pylist() for c in ("bucket", "block", "node", "class")),
-                                               strict=True):
+            for bucket, block, node, of, family in zip(*(batch.column(c).to_pylist() for c in ("bucket", "block", "node", "class", "family")),
+                                                       strict=True):
                 if bucket != at and blocks:
-                    yield from emit(blocks, classes)
+                    yield from emit(at, blocks, classes, families)
                 if bucket != at:
-                    at, blocks, classes = bucket, [], {}
+                    at, blocks, classes, families = bucket, [], {}, {}
                 if block is None:
-                    classes[node] = of
+                    if of is not None:
+                        classes[node] = of
+                    if family is not None:
+                        families[node] = family
                 else:
                     blocks.append(block)
         if blocks:
-            yield from emit(blocks, classes)
+            yield from emit(at, blocks, classes, families)
 
-    def emit(blocks, classes):
-        for columns in what(_Bucket(blocks, classes)):
+    def emit(at, blocks, classes, families):
+        for columns in what(_Bucket(blocks, classes, at, families)):
             for i in range(0, len(columns[0]), 50_000):
-                yield pa.RecordBatch.from_arrays([pa.array(c[i:i + 50_000]) for c in columns], names)
+                yield pa.RecordBatch.from_arrays([pa.array(c[i:i + 50_000], k) for c, k in zip(columns, kinds, strict=True)], names)
 
     return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, schema)
 
 
 def _shared_postings(blocks: DataFrame) -> DataFrame:
-    """One row per bucket with the postings that two sets or more share."""
+    """One row per bucket with the postings that two sets or more share, their
+    nodes, and the least node that each of these meets in a crowded shingle."""
 
     def keep(bucket: _Bucket):
         if len(bucket.doc):
-            yield [bucket.packed()], [bucket.used().tolist()]
+            yield [bucket.packed()], [bucket.used().tolist()], [bucket.met().tolist()]
+
+    none = F.lit(None).cast("long")
+    rows = blocks.select("bucket", "block", none.alias("node"), none.alias("class"), none.alias("family"))
+    found = _by_bucket(rows, keep, "block binary, nodes array<bigint>, met array<bigint>")
+    return found.select(F.monotonically_increasing_id().alias("number"), "block", "nodes", "met")
+
 
-    rows = blocks.select("bucket", "block", F.lit(None).cast("long").alias("node"), F.lit(None).cast("long").alias("class"))
-    found = _by_bucket(rows, keep, "block binary, nodes array<bigint>")
-    return found.select(F.monotonically_increasing_id().alias("bucket"), "block", "nodes")
+def _numbered(shared: DataFrame) -> DataFrame:
+    """Buckets by small numbers: with a shingle's number in its bucket they
+    name the shingle."""
+    order = shared.select("number").withColumn("bucket", F.row_number().over(Window.orderBy("number")))  # one row per bucket
+    return shared.join(F.broadcast(order), "number").drop("number")
 
 
-def _with_classes(shared: DataFrame, classes: DataFrame | None) -> DataFrame:
-    none = F.lit(None)
-    rows = shared.select("bucket", "block", none.cast("long").alias("node"), none.cast("long").alias("class"))
-    if classes is None:
+def _with_classes(shared: DataFrame, known: DataFrame | None) -> DataFrame:
+    """Rows of buckets, and what is ``known`` of their nodes: (node, class,
+    family), either of them null where there is none."""
+    none = F.lit(None).cast("long")
+    rows = shared.select("bucket", "block", none.alias("node"), none.alias("class"), none.alias("family"))
+    if known is None:
         return rows
-    known = (shared.select("bucket", F.explode("nodes").alias("node")).join(classes, "node")
-             .select("bucket", none.cast("binary").alias("block"), "node", F.col("component").alias("class")))
-    return rows.union(known)
+    of = shared.select("bucket", F.explode("nodes").alias("node")).join(known, "node")
+    return rows.union(of.select("bucket", F.lit(None).cast("binary"), "node", "class", "family"))
+
+
+def _families(shared: DataFrame) -> DataFrame:
+    """(node, family) of the nodes in crowded shingles."""
+    each = shared.select(F.explode(F.arrays_zip("nodes", "met")).alias("one")).select("one.nodes", "one.met")
+    return each.where(F.col("met") < _FAR).groupBy(F.col("nodes").alias("node")).agg(F.min("met").alias("family"))
+
+
+class _Square:
+    """Two slices of a family (or one, twice): nodes with their crowded
+    shingles in it."""
+
+    def __init__(self, rows: list, i: int, j: int):
+        sides = [[r for r in rows if r[0] == x] for x in (i, j)]
+        self.one, self.two = (self._side(x) for x in sides)
+        self.alike = i == j
+
+    @staticmethod
+    def _side(rows):
+        numbers = np.array([r[1:6] for r in rows], np.int64).reshape(-1, 5)
+        tokens = [np.frombuffer(b"".join(r[6]), np.int64) for r in rows]
+        lengths = np.array([len(t) for t in tokens], np.int64)
+        doc, token = np.repeat(np.arange(len(rows)), lengths), np.concatenate([*tokens, np.zeros(0, np.int64)])
+        order = np.argsort(token, kind="stable")
+        node, size, prefix, of, every = numbers.T
+        return {"node": node, "size": size, "class": of, "rest": every - lengths, "prefix": prefix, "doc": doc[order], "token": token[order]}
+
+    def pairs(self):
+        """(a, b, shared, needed) of pairs of different classes whose crowded
+        shingles, with all that both share with others elsewhere, can be
+        enough."""
+        x, y = self.one, self.two
+        if not len(x["node"]) or not len(y["node"]):
+            return None
+        shared = np.zeros((len(x["node"]), len(y["node"])), np.int32)
+        tokens, begin = np.unique(x["token"], return_index=True)
+        end = np.append(begin[1:], len(x["token"]))
+        left, right = np.searchsorted(y["token"], tokens, "left"), np.searchsorted(y["token"], tokens, "right")
+        for a, b, c, d in zip(begin.tolist(), end.tolist(), left.tolist(), right.tolist(), strict=True):
+            if c < d:
+                shared[x["doc"][a:b, None], y["doc"][None, c:d]] += 1
+        size_x, size_y = x["size"][:, None], y["size"][None, :]
+        overlap = -(-SIMILARITY * (size_x + size_y) // (100 + SIMILARITY))
+        beyond = np.maximum(size_x - x["prefix"][:, None], size_y - y["prefix"][None, :])
+        needed = np.maximum(overlap - beyond, 1)
+        ok = (shared > 0) & (x["class"][:, None] != y["class"][None, :])
+        ok &= 100 * np.minimum(size_x, size_y) >= SIMILARITY * np.maximum(size_x, size_y)
+        ok &= shared + np.minimum(x["rest"][:, None], y["rest"][None, :]) >= needed
+        if self.alike:
+            ok &= x["node"][:, None] < y["node"][None, :]
+        i, j = np.nonzero(ok)
+        a, b = x["node"][i], y["node"][j]
+        return np.minimum(a, b), np.maximum(a, b), shared[i, j].astype(np.int64), needed[i, j]
+
+
+def _in_squares(crowds: DataFrame, few: DataFrame) -> DataFrame:
+    """The pairs of all families from rows (node, size, length, class, family,
+    tokens), and (node, count) of what these nodes share elsewhere."""
+    per_node = crowds.select("node", (F.octet_length("tokens") / 8).cast("long").alias("n")).union(few.select("node", "n"))
+    per_node = per_node.groupBy("node").agg(F.sum("n").alias("shares"))
+    whole = stored(crowds.groupBy("family", "node").agg(
+        *(F.first(c).alias(c) for c in ("size", "length", "class")), F.collect_list("tokens").alias("tokens")).join(per_node, "node"), "crowds")
+    width = F.greatest(F.lit(LEAST_SLICE), F.least(F.lit(MOST_SLICE), F.ceil(F.col("nodes") / SLICES)))
+    families = stored(whole.groupBy("family").agg(F.count("*").alias("nodes")).where("nodes > 1")
+                      .select("family", F.ceil(F.col("nodes") / width).cast("int").alias("slices")), "families")
+    rows = whole.join(small_or_not(families), "family")
+    rows = rows.withColumn("slice", F.pmod(F.xxhash64("node"), F.col("slices")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+    rows = rows.select("family", F.least("slice", "other").alias("i"), F.greatest("slice", "other").alias("j"),
+                       "slice", "node", "size", "length", "class", "shares", "tokens")
+
+    def run(batches):
+        at, held = None, []
+        for batch in batches:
+            for family, i, j, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (family, i, j) != at:
+                    yield from emit(at, held)
+                    at, held = (family, i, j), []
+                held.append(row)
+        yield from emit(at, held)
+
+    def emit(at, held):
+        found = _Square(held, at[1], at[2]).pairs() if at else None
+        for k in range(0, len(found[0]) if found else 0, 50_000):
+            yield pa.RecordBatch.from_arrays([pa.array(c[k:k + 50_000], pa.int64()) for c in found], ["a", "b", "n", "needed"])
+
+    return rows.repartition("family", "i", "j").sortWithinPartitions("family", "i", "j").mapInArrow(run, _PAIRS)
+
+
+def _all_pairs(shared: DataFrame, classes: DataFrame) -> DataFrame:
+    """(a, b) of all pairs of different classes that share enough."""
+    known = classes.select("node", F.col("component").alias("class")).join(_families(shared), "node", "full")
+
+    def what(bucket: _Bucket):
+        for a, b, n, needed in bucket.pairs():
+            none = [None] * len(a)
+            yield a, b, n, needed, none, none, none, none, none
+        for node, size, length, of, family, tokens in bucket.crowds():
+            none = [None] * len(node)
+            yield node, none, none, none, size, length, of, family, tokens
+        node, count = bucket.few()
+        none = [None] * len(node)
+        yield node, none, count, none, none, none, none, none, none
+
+    found = stored(_by_bucket(_with_classes(shared, known), what, _PAIRS + ", size long, length long, class long, family long, tokens binary"), "shares")
+    crowds = found.where("family is not null").select(F.col("a").alias("node"), "size", "length", "class", "family", "tokens")
+    few = found.where("family is null and b is null").select(F.col("a").alias("node"), "n")
+    return _enough(found.where("b is not null").select("a", "b", "n", "needed").union(_in_squares(crowds, few)))
 
 
 def _linked(pairs: DataFrame, near: DataFrame) -> DataFrame:
@@ -451,7 +635,8 @@ def _enough(counted: DataFrame, part: int = 1) -> DataFrame:
 
 
 def _best_pivots(shared: DataFrame, classes: DataFrame | None, seed: int = 1) -> DataFrame:
-    found = _by_bucket(_with_classes(shared, classes), lambda b: iter([b.pivots(seed)]), _PAIRS)
+    known = None if classes is None else classes.select("node", F.col("component").alias("class"), F.lit(None).cast("long").alias("family"))
+    found = _by_bucket(_with_classes(shared, known), lambda b: iter([b.pivots(seed)]), _PAIRS)
     # at most one pivot per node and bucket comes here, so the lists are short
     # and a pair is not counted in all buckets: half of what it needs will do
     best = _enough(found, 2).groupBy("a").agg(F.sort_array(F.collect_list(F.struct("n", "b")), False).alias("best"))
@@ -469,7 +654,7 @@ def classes_of(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataF
     sets = both.where("part is null").select("id", "key", "n", "node")
     table, total = frequency_classes(both.where("part is not null").select("part", "counts"))
     buckets = max(LEAST_BUCKETS, total * (100 - SIMILARITY) // 100 // BUCKET_POSTINGS)
-    shared = stored(_shared_postings(postings(texts, table, buckets)), "postings")
+    shared = _numbered(stored(_shared_postings(postings(texts, table, buckets)), "postings"))
     reps = sets.where("n > 0").groupBy("node").agg(F.min("key").alias("key"))
 
     def linked(candidates: DataFrame) -> DataFrame:
@@ -481,7 +666,7 @@ def classes_of(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataF
 
     links = linked(_best_pivots(shared, None, 0))
     found = stored(connected_components(links, "a", "b"), "classes")
-    for candidates in (_best_pivots, lambda *known: _enough(_by_bucket(_with_classes(*known), _Bucket.pairs, _PAIRS))):
+    for candidates in (_best_pivots, _all_pairs):
         more = linked(candidates(shared, found))
         if not more.isEmpty():
             links = links.union(more)
