@@ -23,7 +23,8 @@ The steps, all Spark jobs over tables in the shared folder:
 4. All other pairs: shingles with up to ``CROWD`` nodes list the pairs of
    different classes in their bucket.  The postings of crowded shingles are
    dealt anew by family (the least node that their nodes meet in crowded
-   shingles), in squares of two slices of its nodes.  There a pair's crowded
+   shingles) and two neighbouring bands of set sizes, in squares of two slices
+   of these nodes.  There a pair's crowded
    shingles are counted all at once, and it becomes a row only if they and
    what both nodes share with others elsewhere can be enough: a large family below the
    similarity is counted in its squares, never listed.  Counts are then summed
@@ -65,7 +66,10 @@ MATCHES, CHECK_COST = (1, 2, 4, 8, 16), 20.0
 PIVOTS, FEW = 4, 8
 #: Nodes of a shingle from which its pairs are not listed in its bucket, and
 #: the sizes of the slices of a family.
-CROWD, LEAST_SLICE, MOST_SLICE, SLICES = 24, 512, 4096, 16
+CROWD, LEAST_SLICE, MOST_SLICE, SLICES = 24, 512, 4096, 4
+#: Sizes of linked sets are in one band or in neighbouring ones; a little wider
+#: than the similarity asks, for rounding.
+BAND = 100 / SIMILARITY + 0.01
 BUCKET_POSTINGS, LEAST_BUCKETS = 400_000, 128
 
 _PLACES = np.random.default_rng(31).integers(1, 1 << 63, WORDS, dtype=np.uint64) | np.uint64(1)
@@ -520,13 +524,13 @@ class _Square:
 
     @staticmethod
     def _side(rows):
-        numbers = np.array([r[1:6] for r in rows], np.int64).reshape(-1, 5)
-        tokens = [np.frombuffer(b"".join(r[6]), np.int64) for r in rows]
+        numbers = np.array([r[1:7] for r in rows], np.int64).reshape(-1, 6)
+        tokens = [np.frombuffer(b"".join(r[7]), np.int64) for r in rows]
         lengths = np.array([len(t) for t in tokens], np.int64)
         doc, token = np.repeat(np.arange(len(rows)), lengths), np.concatenate([*tokens, np.zeros(0, np.int64)])
         order = np.argsort(token, kind="stable")
-        node, size, prefix, of, every = numbers.T
-        return {"node": node, "size": size, "class": of, "rest": every - lengths, "prefix": prefix, "doc": doc[order], "token": token[order]}
+        upper, node, size, prefix, of, every = numbers.T
+        return {"upper": upper != 0, "node": node, "size": size, "class": of, "rest": every - lengths, "prefix": prefix, "doc": doc[order], "token": token[order]}
 
     def pairs(self):
         """(a, b, shared, needed) of pairs of different classes whose crowded
@@ -547,6 +551,8 @@ class _Square:
         beyond = np.maximum(size_x - x["prefix"][:, None], size_y - y["prefix"][None, :])
         needed = np.maximum(overlap - beyond, 1)
         ok = (shared > 0) & (x["class"][:, None] != y["class"][None, :])
+        # two sets of the upper band meet where it is the lower one
+        ok &= ~(x["upper"][:, None] & y["upper"][None, :])
         ok &= 100 * np.minimum(size_x, size_y) >= SIMILARITY * np.maximum(size_x, size_y)
         ok &= shared + np.minimum(x["rest"][:, None], y["rest"][None, :]) >= needed
         if self.alike:
@@ -563,31 +569,37 @@ def _in_squares(crowds: DataFrame, few: DataFrame) -> DataFrame:
     per_node = per_node.groupBy("node").agg(F.sum("n").alias("shares"))
     whole = stored(crowds.groupBy("family", "node").agg(
         *(F.first(c).alias(c) for c in ("size", "length", "class")), F.collect_list("tokens").alias("tokens")).join(per_node, "node"), "crowds")
+    # a node stands in its own band, and as one of the upper band in the one below
+    at = F.floor(F.log("size") / np.log(BAND)).cast("int")
+    banded = whole.withColumn("upper", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("band", at - F.col("upper"))
     width = F.greatest(F.lit(LEAST_SLICE), F.least(F.lit(MOST_SLICE), F.ceil(F.col("nodes") / SLICES)))
-    families = stored(whole.groupBy("family").agg(F.count("*").alias("nodes")).where("nodes > 1")
-                      .select("family", F.ceil(F.col("nodes") / width).cast("int").alias("slices")), "families")
-    rows = whole.join(small_or_not(families), "family")
+    # where all are of the upper band there is nothing to do
+    families = stored(banded.groupBy("family", "band").agg(F.count("*").alias("nodes"), F.min("upper").alias("least"))
+                      .where("nodes > 1 and least = 0")
+                      .select("family", "band", F.ceil(F.col("nodes") / width).cast("int").alias("slices")), "families")
+    rows = banded.join(small_or_not(families), ["family", "band"])
     rows = rows.withColumn("slice", F.pmod(F.xxhash64("node"), F.col("slices")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
-    rows = rows.select("family", F.least("slice", "other").alias("i"), F.greatest("slice", "other").alias("j"),
-                       "slice", "node", "size", "length", "class", "shares", "tokens")
+    rows = rows.select("family", "band", F.least("slice", "other").alias("i"), F.greatest("slice", "other").alias("j"),
+                       "slice", "upper", "node", "size", "length", "class", "shares", "tokens")
 
     def run(batches):
         at, held = None, []
         for batch in batches:
-            for family, i, j, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (family, i, j) != at:
+            for family, band, i, j, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (family, band, i, j) != at:
                     yield from emit(at, held)
-                    at, held = (family, i, j), []
+                    at, held = (family, band, i, j), []
                 held.append(row)
         yield from emit(at, held)
 
     def emit(at, held):
-        found = _Square(held, at[1], at[2]).pairs() if at else None
+        found = _Square(held, at[2], at[3]).pairs() if at else None
         for k in range(0, len(found[0]) if found else 0, 50_000):
             yield pa.RecordBatch.from_arrays([pa.array(c[k:k + 50_000], pa.int64()) for c in found], ["a", "b", "n", "needed"])
 
-    return rows.repartition("family", "i", "j").sortWithinPartitions("family", "i", "j").mapInArrow(run, _PAIRS)
+    square = ("family", "band", "i", "j")
+    return rows.repartition(*square).sortWithinPartitions(*square).mapInArrow(run, _PAIRS)
 
 
 def _all_pairs(shared: DataFrame, classes: DataFrame) -> DataFrame:
