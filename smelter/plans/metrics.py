@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from smelter.functions.columns import round_half_up
 from smelter.operators.sizing import broadcast_if_small
+from smelter.operators.states import MeasureStates, over_states
 
 
 @dataclass
@@ -101,6 +102,21 @@ class MetricView:
         out = out.orderBy(*order_by) if order_by else out
         return out if limit is None else out.limit(limit)
 
+    def over(self, states: MeasureStates, dimensions: Sequence[str], measures: Sequence[str]) -> MetricView:
+        """The view for one question, over the smallest stored states of its
+        source that can answer it: the named dimensions' columns decide the
+        grain, months suffice unless a dimension takes the date as it is."""
+        exprs = [self.dimensions[d] for d in dimensions]
+        joins = self._joins_for(" ".join(exprs))
+        texts = [*exprs, *(j.on for j in joins)]
+        monthly = [t.replace(f"trunc(source.{states.date}, 'MM')", "") for t in texts]
+        own = set(re.findall(r"source\.(\w+)", " ".join(monthly)))
+        unit = "day" if states.date in own else "month"
+        grain = states.covering(own - {states.date}, unit)
+        source = states.read(grain).withColumnRenamed("period", states.date)
+        return MetricView(source, {d: self.dimensions[d] for d in dimensions},
+                          {m: over_states(self.measures[m]) for m in measures}, joins)
+
     def values(self, dimension: str, where: Column | None = None) -> DataFrame:
         """Distinct values of a dimension (optionally of the rows matching ``where``)."""
         rows = self.rows() if where is None else self.rows().filter(where)

@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 from smelter.functions.columns import month_start, round_half_up, round_half_up_sql as r
 from smelter.operators import explore
 from smelter.operators.sizing import broadcast_if_small
+from smelter.operators.states import Grain, MeasureStates
 from smelter.plans.metrics import MetricView, ViewJoin, between, last_day, month_begin
-from smelter.plans.registry import register
+from smelter.plans.registry import ORACLES, register
+from smelter.session import scratch_dir
 from smelter.sources.standins import duckdb_with
 
 TARIFF = explore.ENERGY_PRICE_BRL_PER_MWH
@@ -62,15 +64,19 @@ def margin_source(sales: DataFrame, production: DataFrame, alloys: DataFrame,
     sees one row per key on each side.  ``literal=True`` reproduces the
     row-level many-to-many join's sums exactly (each sales sum weighted by the
     production row count of its key and vice versa, a key without production
-    counting once) without materialising the product.
+    counting once) without materialising the product.  Both sides may be
+    stored states instead of rows, each the sum of ``rows`` rows.
     """
+    def count(side):
+        return F.sum("rows") if "rows" in side.columns else F.count(F.lit(1))
+
     s = (sales.join(broadcast_if_small(alloys), "alloy_id", "inner")
          .groupBy(month_start("date").alias("month"), "alloy_id", "alloy_name")
          .agg(F.sum("revenue_brl").alias("rev"), F.sum("tons_sold").alias("ts"),
-              F.count(F.lit(1)).alias("ns")))
+              count(sales).alias("ns")))
     p = (production.groupBy(month_start("date").alias("month"), "alloy_id")
          .agg(F.sum("energy_kwh").alias("kwh"), F.sum("tons_produced").alias("tp"),
-              F.count(F.lit(1)).alias("np")))
+              count(production).alias("np")))
     j = s.join(p, ["month", "alloy_id"], "left")
     if literal:
         w_s = F.coalesce(F.col("np"), F.lit(1))
@@ -331,3 +337,101 @@ FROM inspections GROUP BY 1, 2""")
 def q_metric_quality(t):
     return quality_view(t.role("inspections")).query(
         ["defect_type", "month"], ["defect_rate_pct", "avg_surface_quality", "inspections"], digits=4)
+
+
+# ---- the same from stored states ---------------------------------------------
+
+#: Fact roles, their grains and the values that measures take from them.
+STATES = {
+    "production": ([Grain("by_day", ("plant_id", "alloy_id")), Grain("plant_month", ("plant_id",), "month"),
+                    Grain("alloy_month", ("alloy_id",), "month"), Grain("month", ("plant_id", "alloy_id"), "month")],
+                   ["tons_produced", "energy_kwh", "defects"]),
+    "sales": ([Grain("by_day", ("alloy_id", "market", "region", "customer_segment")), Grain("alloy_month", ("alloy_id",), "month"),
+               Grain("market_month", ("market", "region", "customer_segment"), "month")],
+              ["tons_sold", "revenue_brl", "lme_price_usd_ton", "usd_brl"]),
+    "inspections": ([Grain("by_day", ("defect_type",)), Grain("month", ("defect_type",), "month")],
+                    ["is_defect", "surface_quality_score"]),
+}
+_KEPT: dict[tuple, MeasureStates] = {}
+
+
+def states_of(t, role: str) -> MeasureStates:
+    """Stored states of a fact role, kept per table set.  They are first built
+    from a fact that lacks its last day and has its first day twice; the change
+    feed of those two days then puts them right."""
+    if (id(t), role) not in _KEPT:
+        grains, values = STATES[role]
+        states = MeasureStates(t.spark, scratch_dir(t.spark, f"states-{role}"), grains, values)
+        fact = t.role(role)
+        first, last = fact.agg(F.to_date(F.min("date")), F.to_date(F.max("date"))).first()
+        wrong = fact.where(F.to_date("date") != F.lit(last)).unionAll(fact.where(F.to_date("date") == F.lit(first)))
+        states.refresh(wrong)
+        states.refresh_from(fact, fact.where(F.to_date("date").isin(first, last)))
+        _KEPT[id(t), role] = states
+    return _KEPT[id(t), role]
+
+
+def _from_states(t, view: MetricView, role: str, dimensions: list[str], measures: list[str]) -> DataFrame:
+    return view.over(states_of(t, role), dimensions, measures).query(dimensions, measures, digits=4)
+
+
+def _margin_from_states(t, literal: bool = False) -> MetricView:
+    sides = [states_of(t, role).as_fact(["alloy_id"]) for role in ("sales", "production")]
+    return margin_view(*sides, t.role("alloys"), literal)
+
+
+_ANSWERS = {
+    "production_plant": (_prod, "production", ["plant_name"], ["total_tons", "energy_cost_per_ton", "oee_quality_pct"]),
+    "production_plant_month": (_prod, "production", ["month", "plant_name"], ["energy_cost_per_ton", "total_energy_kwh", "energy_cost_brl", "total_defects"]),
+    "production_alloy_state": (_prod, "production", ["alloy_name", "state"], ["total_tons", "oee_quality_pct"]),
+    "sales_market": (_sales, "sales", ["market"], ["total_tons_sold", "revenue_brl", "avg_price_brl_ton", "avg_lme_usd_ton", "avg_usd_brl"]),
+    "sales_ticket_region": (_sales, "sales", ["region", "customer_segment"], ["avg_ticket_brl"]),
+    "quality": (lambda t: quality_view(t.role("inspections")), "inspections", ["defect_type", "month"],
+                ["defect_rate_pct", "avg_surface_quality", "inspections"]),
+}
+
+
+def _register_states():
+    for name, (view, role, dimensions, measures) in _ANSWERS.items():
+        def q_states(t, view=view, role=role, dimensions=dimensions, measures=measures):
+            return _from_states(t, view(t), role, dimensions, measures)
+
+        q_states.__doc__ = f"``metric_{name}`` answered from stored states."
+        register(f"states_{name}", ("MET0", "STR5"), ORACLES[f"metric_{name}"])(q_states)
+
+
+_register_states()
+
+
+@register("states_margin_month", ("MET0", "STR5"), ORACLES["metric_margin_month"])
+def q_states_margin_month(t):
+    return _margin_from_states(t).query(["month"], MARGIN_MEASURES, digits=4)
+
+
+@register("states_margin_alloy", ("MET0", "STR5"), ORACLES["metric_margin_alloy"])
+def q_states_margin_alloy(t):
+    return _margin_from_states(t).query(["alloy_name"], MARGIN_MEASURES, digits=4)
+
+
+@register("states_margin_month_literal", ("MET0", "STR5"), ORACLES["metric_margin_month_literal"])
+def q_states_margin_month_literal(t):
+    """Row-weighted products from the stored row counts."""
+    return _margin_from_states(t, literal=True).query(["month"], MARGIN_MEASURES, digits=4)
+
+
+@register("states_sales_ytd", ("MET0", "STR5"), ORACLES["metric_sales_ytd"])
+def q_states_sales_ytd(t):
+    """Year to date per market for some alloys: the finest states, as no
+    smaller grain has both markets and alloys."""
+    states = states_of(t, "sales")
+    facts = states.as_fact(["alloy_id", "market"])
+    this_year = between(facts, last_day(facts).replace(month=1, day=1))
+    return sales_view(this_year, t.role("alloys")).query(
+        ["market"], ["total_tons_sold", "revenue_brl"], digits=4,
+        where=F.col("alloy_name").isin("ECONOMY", "MEDIUM-LARGE", "PROMO", "SMALL"))
+
+
+@register("states_margin_12m", ("MET0", "STR5"), ORACLES["metric_margin_12m"])
+def q_states_margin_12m(t):
+    sides = [states_of(t, role).as_fact(["alloy_id"]) for role in ("sales", "production")]
+    return margin_since(*sides, t.role("alloys"))
