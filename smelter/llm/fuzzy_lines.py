@@ -1,22 +1,27 @@
 """Line deduplication with fuzzy lines.
 
 Lines are normalised (ASCII case folded, everything but letters, digits and
-longer characters taken as a break).  Two lines are similar when the edit
-distance of their words is at most a fifth of the longer one's words, and all
-such pairs are found: a similar line may lack only some of a line's word pairs
-(``_lost``), so two similar lines share one of the rarest ones, one more than
-that.  Each line has a row for each of these; lines of one word pair form a
-bucket.  Word counts and signatures that rule the similarity out drop a pair,
-the rest is checked by edit distance; connected lines form a group, and the
-first occurrence (least id, then line number) of each group stays.
+longer characters taken as a break).  Each line gets a SimHash of ``BLOCKS``
+blocks of 64 bits over its word pairs.  Every block is voted under seeded
+weights of its own with a heavy tail, so an edit that spares a block's few
+heavy pairs leaves the whole block as it was; frequent pairs weigh less, by a
+bounded factor.  Lines that agree in a block are candidates (pigeonhole: two
+SimHashes that differ in fewer bits than they have blocks share one), word
+counts and parity signatures that rule the similarity out drop a pair, and the
+rest is checked: two lines are linked when the edit distance of their words is
+at most a fifth of the longer one's words.  Connected lines form a group, and
+the first occurrence (least id, then line number) of each group stays.
+
+Candidates are a SimHash's, so a similar pair whose edits hit all blocks is
+not found; ``tests/llm/test_fuzzy_recall.py`` holds the recall against edit
+similarity alone.  No candidate is dropped.
 
 Equal normalised lines are one node from the start, so a very common line is
 no large group.  Each line is first checked against its buckets' least lines;
-afterwards only pairs of different groups are listed, so a large family of
-variants costs one check each and no link between groups is lost.  A bucket
-of several groups and more than ``CROWD`` lines is split by a further shared
-word pair, up to ``DEEPEST``, and what is still crowded is dealt as squares of
-``CROWD`` lines to many tasks.
+afterwards only pairs of different groups are listed.  A bucket of several
+groups and more than ``CROWD`` lines is split by shared word pairs, which
+similar lines must have, up to ``DEEPEST`` of them, and what is still crowded
+is dealt as squares of ``CROWD`` lines to many tasks.
 
 Defined results: null and empty texts have no line; blank lines always stay,
 and lines under ``LEAST_WORDS`` words too unless ``short`` is set, as the query
@@ -34,15 +39,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from smelter.llm import spans
-from smelter.llm.common import keyed_texts, row_key, small_or_not, stored, unused
+from smelter.llm.common import keyed_texts, row_key, stored, unused
 from smelter.llm.components import connected_components
 from smelter.llm.jaccard_join import CELL_PARTS, CELLS, _cell, _packed, frequency_classes
 
 LEAST_WORDS, SIMILARITY, VOTING_BYTES = 5, 80, 4
 #: Shorter lines are similar to none but their equals: one edit of four words is over a fifth.
 SHORTEST = 4
-#: Lines of a bucket whose pairs one task lists, and how many word pairs a bucket's key may have.
-CROWD, DEEPEST = 500, 8
+#: Blocks of a SimHash, the heaviest word pairs that vote in one, how steeply
+#: weights fall, and how many doublings of its frequency make a pair lighter.
+BLOCKS, VOTERS, STEEP, DAMPED = 6, 3, 3, 3
+#: Lines of a bucket whose pairs one task compares, and how many word pairs a crowded bucket's key may get.
+CROWD, DEEPEST = 2000, 8
+#: Parity of a line's words in 64 cells each.
+MARKS = ["mark", "mark1", "mark2"]
 
 _FOLD = spans.LOWERED.copy()
 _FOLD[[b for b in range(128) if not chr(b).isalnum()]] = 32
@@ -86,8 +96,8 @@ def _line_words(data: np.ndarray, offsets: np.ndarray):
 
 
 def line_table(data: np.ndarray, offsets: np.ndarray):
-    """(row, number, words, hash, simhash) of every line; the operator itself
-    finds similar lines by word pairs."""
+    """(row, number, words, hash, simhash) of every line, all words voting alike
+    in 64 bits; the operator's own SimHash is that of ``simhash_blocks``."""
     columns, (of, word_begin, word_end, hashes) = _line_words(data, offsets)
     n = len(columns[0])
     # Short words, the most common ones, would make unrelated lines alike; they
@@ -201,47 +211,109 @@ def _pairs_of(data: np.ndarray, offsets: np.ndarray, classes: np.ndarray | None)
     return row, np.arange(len(row)) - np.searchsorted(row, row, "left"), pair, n, spans.per_row(row, rows), mark
 
 
-def _counts(lines: DataFrame) -> DataFrame:
+def simhash_blocks(row: np.ndarray, pair: np.ndarray, rows: int, classes: np.ndarray) -> np.ndarray:
+    """The SimHash of ``rows`` lines from their word pairs (in order of
+    ``row``): one column of 64 bits per block.
+
+    A pair has a seeded uniform value per block; its weight is the inverse of
+    that value to the power ``STEEP``, halved for each frequency class.  The
+    ``VOTERS`` heaviest pairs vote, the others weigh next to nothing."""
+    out = np.zeros((rows, BLOCKS), np.uint64)
+    if not len(row):
+        return out
+    first = np.flatnonzero(np.insert(row[1:] != row[:-1], 0, True))
+    size, light = np.diff(first, append=len(row)), np.exp2(classes[_cell(pair)].astype(np.float64))
+    for block in range(BLOCKS):
+        seeded = spans.mixed(pair ^ spans.mixed(np.array([block + 1], np.uint64)))
+        cost = (((seeded >> np.uint64(11)).astype(np.float64) + 1) * 2.0 ** -53) ** STEEP * light
+        votes, heaviest = np.zeros((len(first), 64), np.float32), None
+        for _ in range(VOTERS):
+            least = np.minimum.reduceat(cost, first)
+            heaviest = least if heaviest is None else heaviest
+            at = cost == np.repeat(least, size)
+            voter = np.bitwise_or.reduceat(np.where(at, seeded, np.uint64(0)), first)
+            bits = np.unpackbits(spans.mixed(voter).view(np.uint8).reshape(-1, 8), axis=1)
+            weight = np.where(np.isfinite(least), heaviest / least, 0).astype(np.float32)
+            votes += weight[:, None] * (2 * bits.astype(np.float32) - 1)
+            cost[at] = np.inf
+        out[row[first], block] = np.packbits(votes > 0, axis=1).view(np.uint64).ravel()
+    return out
+
+
+def _distinct_lines(data: np.ndarray, offsets: np.ndarray, least: int):
+    """(hash, words) of the distinct lines of enough words of a slice, and (line, hash) of their words."""
+    (_, _, words, line_hash), (of, _, _, hashes) = _line_words(data, offsets)
+    chosen = np.zeros(len(words), bool)
+    chosen[np.unique(line_hash, return_index=True)[1]] = True
+    chosen &= words >= least
+    mine = chosen[of]
+    return line_hash[chosen], words[chosen], (np.cumsum(chosen) - 1)[of[mine]], hashes[mine]
+
+
+def _neighbours(of: np.ndarray, hashes: np.ndarray):
+    """(line, pair) of each two words that follow one another."""
+    first = np.flatnonzero(of[1:] == of[:-1])
+    return of[first], spans.mixed(hashes[first] * _STEP + hashes[first + 1])
+
+
+def _counts(texts: DataFrame, least: int) -> DataFrame:
     """Rows (part, counts): each task's share of the counting table of word pairs."""
 
     def run(batches):
         counts = np.zeros(CELLS, np.uint32)
         for batch in batches:
-            for _, data, offsets in spans.slices(batch, "words"):
-                counts += np.bincount(_cell(_pairs_of(data, offsets, None)[2]), minlength=CELLS).astype(np.uint32)
+            for _, data, offsets in spans.slices(batch, "text"):
+                _, _, of, hashes = _distinct_lines(data, offsets, least)
+                np.add.at(counts, _cell(_neighbours(of, hashes)[1]), 1)
         for part, block in enumerate(counts.reshape(CELL_PARTS, -1)):
             if block.any():
                 yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([_packed(block)], pa.binary())], ["part", "counts"])
 
-    return lines.select("words").mapInArrow(run, "part int, counts binary")
+    return texts.select("text").mapInArrow(run, "part int, counts binary")
 
 
-def _postings(lines: DataFrame, shared) -> DataFrame:
-    """(bucket, hash, n, mark, rank): a row for each of the rarest word pairs
-    of a line, one more than a similar line may lack."""
+def line_marks(texts: DataFrame, least: int, shared) -> DataFrame:
+    """One row per distinct line of enough words: hash, n (words), parity marks
+    and the blocks b0, b1, ... of its SimHash."""
 
     def run(batches):
         for batch in batches:
-            hashes = batch.column("hash").to_numpy()
-            for at, data, offsets in spans.slices(batch, "words"):
-                row, rank, pair, n, _, mark = _pairs_of(data, offsets, shared.value)
-                keep = rank <= _lost(n)[row]
-                row, rank, pair = row[keep], rank[keep], pair[keep]
+            for _, data, offsets in spans.slices(batch, "text"):
+                line_hash, n, of, hashes = _distinct_lines(data, offsets, least)
+                if not len(n):
+                    continue
+                at = np.flatnonzero(np.insert(of[1:] != of[:-1], 0, True))
+                cell = (hashes >> np.uint64(40)) % np.uint64(64 * len(MARKS))
+                bit = np.uint64(1) << (cell & np.uint64(63))
+                marks = [np.bitwise_xor.reduceat(np.where(cell >> np.uint64(6) == k, bit, np.uint64(0)), at) for k in range(len(MARKS))]
+                blocks = simhash_blocks(*_neighbours(of, hashes), len(n), shared.value)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(pair.view(np.int64)), pa.array(hashes[at + row]), pa.array(n[row].astype(np.int32)),
-                    pa.array(mark[row].view(np.int64)), pa.array(rank.astype(np.int32))], ["bucket", "hash", "n", "mark", "rank"])
+                    pa.array(line_hash), pa.array(n.astype(np.int32)), *(pa.array(m.view(np.int64)) for m in marks),
+                    *(pa.array(np.ascontiguousarray(b).view(np.int64)) for b in blocks.T)], ["hash", "n", *MARKS, *names])
+
+    names = [f"b{k}" for k in range(BLOCKS)]
+    rows = texts.select("text").mapInArrow(run, "hash long, n int, " + ", ".join(f"{c} long" for c in [*MARKS, *names]))
+    return rows.groupBy("hash").agg(*(F.min(c).alias(c) for c in rows.columns[1:]))
 
-    return lines.select("hash", "words").mapInArrow(run, "bucket long, hash long, n int, mark long, rank int")
+
+def _buckets(lines: DataFrame) -> DataFrame:
+    """(bucket, hash, n, marks): the lines of each block that several share."""
+    blocks = F.array(*(F.xxhash64(F.lit(k), f"b{k}") for k in range(BLOCKS)))
+    rows = lines.select("hash", F.explode(blocks).alias("bucket"))
+    # counted with a combine before the shuffle, so a bucket of any size is no large group
+    several = rows.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1").select("bucket")
+    found = rows.join(stored(several, "line-sizes"), "bucket")
+    return stored(found.join(lines.select("hash", "n", *MARKS), "hash"), "line-buckets")
 
 
 def _split(crowded: DataFrame, lines: DataFrame, shared, depth: int) -> DataFrame:
-    """Rows of crowded buckets under one word pair more: similar lines share
-    the first ``depth`` of their common pairs, each within the rarest ones.
+    """Rows of crowded buckets under one word pair more (rank -1: none yet):
+    similar lines share the first ``depth`` of their common pairs, each within the rarest ones.
     Lines that need fewer than ``depth`` pairs stay in their bucket too."""
 
     def run(batches):
         for batch in batches:
-            old = {c: batch.column(c).to_numpy() for c in ("bucket", "hash", "n", "mark", "rank")}
+            old = {c: batch.column(c).to_numpy() for c in ("bucket", "hash", "n", *MARKS, "rank")}
             for at, data, offsets in spans.slices(batch, "words"):
                 _, _, pair, n, size, _ = _pairs_of(data, offsets, shared.value)
                 here = slice(at, at + len(n))
@@ -255,27 +327,34 @@ def _split(crowded: DataFrame, lines: DataFrame, shared, depth: int) -> DataFram
                 row, rank = np.concatenate([row, stay]), np.concatenate([rank, begin[stay] - 1])
                 key = np.concatenate([key, old["bucket"][here].view(np.uint64)[stay]])
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(key.view(np.int64)), *(pa.array(old[c][here][row]) for c in ("hash", "n", "mark")),
+                    pa.array(key.view(np.int64)), *(pa.array(old[c][here][row]) for c in ("hash", "n", *MARKS)),
                     pa.array(rank.astype(np.int32)), pa.array(np.arange(len(row)) < len(row) - len(stay))], names)
 
-    names = ["bucket", "hash", "n", "mark", "rank", "open"]
-    rows = crowded.select("bucket", "hash", "n", "mark", "rank").join(lines, "hash")
-    return rows.mapInArrow(run, "bucket long, hash long, n int, mark long, rank int, open boolean")
+    names = ["bucket", "hash", "n", *MARKS, "rank", "open"]
+    rows = crowded.select("bucket", "hash", "n", *MARKS, "rank").join(_wanted(lines, crowded), "hash")
+    return rows.mapInArrow(run, "bucket long, hash long, n int, " + ", ".join(f"{c} long" for c in MARKS) + ", rank int, open boolean")
+
+
+def _wanted(lines: DataFrame, rows: DataFrame) -> DataFrame:
+    """(hash, words) of the lines that ``rows`` name, once each."""
+    wanted = stored(rows.select("hash").distinct(), "line-wanted")
+    return stored(lines.join(wanted, "hash", "left_semi").dropDuplicates(["hash"]), "line-texts")
 
 
 def _with_classes(rows: DataFrame, found: DataFrame) -> DataFrame:
     """Rows of buckets with several classes, with their class and the size of the bucket."""
-    known = (rows.join(small_or_not(found), rows["hash"] == found["node"], "left")
+    known = (rows.join(found, rows["hash"] == found["node"], "left")
              .withColumn("class", F.coalesce("component", "hash")).drop("node", "component"))
     sizes = known.groupBy("bucket").agg(F.count("*").alias("size"), F.min("class").alias("x"), F.max("class").alias("y"))
     sizes = stored(sizes.where("x <> y").select("bucket", "size"), "line-sizes")
-    return stored(known.join(small_or_not(sizes), "bucket"), "line-mixed")
+    return stored(known.join(sizes, "bucket"), "line-mixed")
 
 
-def _near(n, m, mark, other):
-    """Whether word counts and signatures allow the similarity."""
+def _near(n, m, marks, others):
+    """Whether word counts and parity marks allow the similarity."""
     most = (100 - SIMILARITY) * np.maximum(n, m) // 100
-    return np.bitwise_count((mark ^ other).view(np.uint64)) + np.abs(n - m) <= 2 * most
+    apart = sum(np.bitwise_count((a ^ b).view(np.uint64)).astype(np.int64) for a, b in zip(marks, others, strict=True))
+    return apart + np.abs(n - m) <= 2 * most
 
 
 def _cross_pairs(rows: DataFrame) -> DataFrame:
@@ -285,7 +364,7 @@ def _cross_pairs(rows: DataFrame) -> DataFrame:
     def run(batches):
         held = None
         for batch in batches:
-            now = [batch.column(c).to_numpy() for c in ("bucket", "hash", "n", "mark", "class")]
+            now = [batch.column(c).to_numpy() for c in columns]
             if not len(now[0]):
                 continue
             if held is not None:
@@ -296,16 +375,21 @@ def _cross_pairs(rows: DataFrame) -> DataFrame:
         if held is not None:
             yield from emit(held)
 
-    def emit(columns):
-        bucket, out, count = columns[0], [], 0
+    def emit(now):
+        bucket, out, count = now[0], [], 0
         edge = np.flatnonzero(np.append(np.insert(bucket[1:] != bucket[:-1], 0, True), True)) if len(bucket) else bucket
         for a, b in zip(edge, edge[1:], strict=False):
-            _, h, n, mark, of = (c[a:b] for c in columns)
+            h, of, n, *marks = (c[a:b] for c in now[1:])
+            # by word count: shorter lines than four fifths are too far away
+            begin = np.searchsorted(n, n - (100 - SIMILARITY) * n // 100)
             for i in range(1, len(h)):
-                j = np.flatnonzero((of[:i] != of[i]) & _near(n[:i], n[i], mark[:i], mark[i]))
-                if len(j):
-                    out.append((np.maximum(h[j], h[i]), np.minimum(h[j], h[i])))
-                    count += len(j)
+                part = slice(begin[i], i)
+                near = of[part] != of[i]
+                if near.any():
+                    j = begin[i] + np.flatnonzero(near & _near(n[part], n[i], [m[part] for m in marks], [m[i] for m in marks]))
+                    if len(j):
+                        out.append((np.maximum(h[j], h[i]), np.minimum(h[j], h[i])))
+                        count += len(j)
             if count > 100_000:
                 yield batch_of(out)
                 out, count = [], 0
@@ -320,50 +404,22 @@ def _cross_pairs(rows: DataFrame) -> DataFrame:
     rows = rows.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
     square = F.when(F.col("size") <= CROWD, F.col("bucket")).otherwise(
         F.xxhash64("bucket", F.least("mine", "other"), F.greatest("mine", "other")))
-    rows = rows.select(square.alias("bucket"), "hash", "n", "mark", "class")
-    return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "a long, b long")
+    columns = ["bucket", "hash", "class", "n", *(c for c in MARKS if c in rows.columns)]
+    rows = rows.withColumn("bucket", square).select(*columns)
+    return rows.repartition("bucket").sortWithinPartitions("bucket", "n").mapInArrow(run, "a long, b long")
 
 
 def _pivot_pairs(shared: DataFrame) -> DataFrame:
-    """Every line with the least line of its bucket, where counts and signatures allow it."""
-    pivots = shared.groupBy("bucket").agg(F.min(F.struct("hash", "n", "mark")).alias("p"))
+    """Every line with the least line of its bucket, where counts and marks allow it."""
+    pivots = shared.groupBy("bucket").agg(F.min(F.struct("hash", "n", *MARKS)).alias("p"))
     most = F.floor((100 - SIMILARITY) * F.greatest("n", "p.n") / 100)
-    fits = F.bit_count(F.col("mark").bitwiseXOR(F.col("p.mark"))) + F.abs(F.col("n") - F.col("p.n")) <= 2 * most
+    apart = reduce(lambda x, y: x + y, (F.bit_count(F.col(c).bitwiseXOR(F.col(f"p.{c}"))) for c in MARKS))
     # a line is greater than its pivot
-    return shared.join(pivots, "bucket").where((F.col("hash") != F.col("p.hash")) & fits).select(
+    return shared.join(pivots, "bucket").where(
+        (F.col("hash") != F.col("p.hash")) & (apart + F.abs(F.col("n") - F.col("p.n")) <= 2 * most)).select(
         F.col("hash").alias("a"), F.col("p.hash").alias("b"))
 
 
-def _sieves(near: DataFrame) -> DataFrame:
-    """(hash, n, s0 to s3): signatures of lines over four times the cells."""
-
-    def run(batches):
-        for batch in batches:
-            hashes = batch.column("hash").to_numpy()
-            for at, data, offsets in spans.slices(batch, "words"):
-                begin, end = spans.runs(data != 32, offsets)
-                of = spans.owner(begin, offsets)
-                cell = spans.RangeHash(data).of(begin, end) >> np.uint64(56)
-                first = np.flatnonzero(np.insert(of[1:] != of[:-1], 0, True))
-                bit = np.uint64(1) << (cell & np.uint64(63))
-                marks = [np.bitwise_xor.reduceat(np.where(cell >> np.uint64(6) == k, bit, np.uint64(0)), first) for k in range(4)]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(hashes[at + of[first]]), pa.array(np.diff(first, append=len(of)).astype(np.int32)),
-                    *(pa.array(m.view(np.int64)) for m in marks)], ["hash", "n", "s0", "s1", "s2", "s3"])
-
-    return near.select("hash", "words").mapInArrow(run, "hash long, n int, s0 long, s1 long, s2 long, s3 long")
-
-
-def _sieved(pairs: DataFrame, near: DataFrame) -> DataFrame:
-    """The pairs whose finer signatures allow the similarity."""
-    sieves = _sieves(near)
-    side = lambda h, t: sieves.select(F.col("hash").alias(h), *(F.col(c).alias(t + c) for c in sieves.columns[1:]))
-    rows = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b")
-    apart = reduce(lambda p, q: p + q, (F.bit_count(F.col(f"xs{k}").bitwiseXOR(F.col(f"ys{k}"))) for k in range(4)))
-    most = F.floor((100 - SIMILARITY) * F.greatest("xn", "yn") / 100)
-    return rows.where(apart + F.abs(F.col("xn") - F.col("yn")) <= 2 * most).select("a", "b")
-
-
 def _checked(pairs: DataFrame, lines: DataFrame) -> DataFrame:
     """The pairs (a, b) whose words are similar enough."""
 
@@ -373,9 +429,7 @@ def _checked(pairs: DataFrame, lines: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     pairs = stored(pairs.distinct(), "line-pairs")
-    wanted = stored(pairs.select(F.col("a").alias("hash")).union(pairs.select("b")).distinct(), "line-wanted")
-    near = stored(lines.join(small_or_not(wanted), "hash", "left_semi"), "line-texts")
-    pairs = _sieved(pairs, near)
+    near = _wanted(lines, pairs.select(F.col("a").alias("hash")).union(pairs.select("b")))
     side = lambda n, t: near.select(F.col("hash").alias(n), F.col("words").alias(t))
     rows = pairs.join(side("b", "tb"), "b").join(side("a", "ta"), "a")
     return stored(rows.select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long"), "line-links")
@@ -384,19 +438,18 @@ def _checked(pairs: DataFrame, lines: DataFrame) -> DataFrame:
 def line_classes(texts: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
     """(node, component) for every line of ``least`` words or more that is
     linked to another one."""
-    lines = stored(line_texts(texts, least).dropDuplicates(["hash"]), "lines")
-    classes, _ = frequency_classes(_counts(lines))
-    table = texts.sparkSession.sparkContext.broadcast(classes)
-    rows = _postings(lines, table)
-    sizes = stored(rows.groupBy("bucket").count().where("count > 1").select("bucket"), "line-sizes")
-    shared = stored(rows.join(small_or_not(sizes), "bucket"), "line-buckets")
+    classes, _ = frequency_classes(_counts(texts, least))
+    table = texts.sparkSession.sparkContext.broadcast(np.minimum(classes, DAMPED))
+    ranks = texts.sparkSession.sparkContext.broadcast(classes)
+    lines = line_texts(texts, least)
+    shared = _buckets(stored(line_marks(texts, least, table), "lines"))
     links = _checked(_pivot_pairs(shared), lines)
     found = stored(connected_components(links, "a", "b"), "line-classes")
-    rest, depth, pairs = _with_classes(shared, found), 1, []
+    rest, depth, pairs = _with_classes(shared.withColumn("rank", F.lit(-1)), found), 0, []
     while depth < DEEPEST and not (crowded := rest.where(F.col("size") > CROWD)).isEmpty():
         depth += 1
         pairs.append(_cross_pairs(rest.where(F.col("size") <= CROWD)))
-        split = stored(_split(crowded, lines, table, depth), "line-split")
+        split = stored(_split(crowded, lines, ranks, depth), "line-split")
         stay = _with_classes(split.where("not open").drop("open"), found)
         pairs.append(_cross_pairs(stay))
         rest = _with_classes(split.where("open").drop("open"), found)

@@ -76,3 +76,32 @@ def test_short_lines_are_compared_whole(make):
              "-- --", "a b c d", "a b c d e", "a b c x", "", "Accept all cookies now please", "accept all cookies now"]
     want = removed([x or "-" for x in lines], 1) - {i for i, x in enumerate(lines) if not any(c.isalnum() for c in x)}
     assert want == {2, 4, 6, 10, 14} and decided(make, lines, short=True) == want
+
+
+@pytest.mark.parametrize("busy", [0, 6])
+def test_block_recall(busy):
+    """Share of edited lines that keep a block of the SimHash: one word
+    replaced, and a fifth of the words; ``busy``: the frequency class of the
+    pairs that were not edited, as in a large family of variants."""
+    rng = random.Random(11)
+    shares = {}
+    for n in (8, 12, 20, 30):
+        for edits in {1, n // 5}:
+            lines = []
+            for _ in range(1500):
+                words = [f"w{rng.randrange(10**9)}" for _ in range(n)]
+                changed = list(words)
+                for at in rng.sample(range(n), edits):
+                    changed[at] = f"x{rng.randrange(10**9)}"
+                lines += [words, changed]
+            data = np.frombuffer("\n".join(" ".join(x) for x in lines).encode(), np.uint8)
+            _, (of, _, _, hashes) = fuzzy_lines._line_words(data, np.array([0, len(data)]))
+            row, pair = fuzzy_lines._neighbours(of, hashes)
+            old = np.isin(pair, pair[row % 2 == 0])
+            classes = np.zeros(fuzzy_lines.CELLS, np.uint8)
+            classes[fuzzy_lines._cell(pair[old])] = min(busy, fuzzy_lines.DAMPED)
+            blocks = fuzzy_lines.simhash_blocks(row, pair, len(lines), classes)
+            shares[n, edits] = (blocks[::2] == blocks[1::2]).any(axis=1).mean()
+    floor = 0.95 if not busy else 0.88
+    assert all(v >= floor for v in shares.values()), shares
+    assert all(v >= (0.98 if not busy else 0.96) for (n, edits), v in shares.items() if edits == 1), shares
