@@ -19,9 +19,9 @@ similarity alone.  No candidate is dropped.
 Equal normalised lines are one node from the start, so a very common line is
 no large group.  Each line is first checked against its buckets' least lines;
 afterwards only pairs of different groups are listed.  A bucket of several
-groups and more than ``CROWD`` lines is split by shared word pairs, which
-similar lines must have, up to ``DEEPEST`` of them, and what is still crowded
-is dealt as squares of ``CROWD`` lines to many tasks.
+groups and more than ``SPLIT`` lines is split by shared word pairs, which
+similar lines must have, up to ``DEEPEST`` of them; one of more than ``CROWD``
+lines is dealt as squares of that many lines to many tasks.
 
 Defined results: null and empty texts have no line; blank lines always stay,
 and lines under ``LEAST_WORDS`` words too unless ``short`` is set, as the query
@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from smelter.llm import spans
-from smelter.llm.common import keyed_texts, row_key, stored, unused
+from smelter.llm.common import keyed_texts, row_key, small_or_not, stored, unused
 from smelter.llm.components import connected_components
 from smelter.llm.jaccard_join import CELL_PARTS, CELLS, _cell, _packed, frequency_classes
 
@@ -49,8 +49,9 @@ SHORTEST = 4
 #: Blocks of a SimHash, the heaviest word pairs that vote in one, how steeply
 #: weights fall, and how many doublings of its frequency make a pair lighter.
 BLOCKS, VOTERS, STEEP, DAMPED = 6, 3, 3, 3
-#: Lines of a bucket whose pairs one task compares, and how many word pairs a crowded bucket's key may get.
-CROWD, DEEPEST = 2000, 8
+#: Lines of a bucket whose pairs one task compares, lines from which a bucket
+#: is split by word pairs, and how many of them a bucket's key may get.
+CROWD, SPLIT, DEEPEST = 4_000, 64_000, 8
 #: Parity of a line's words in 64 cells each.
 MARKS = ["mark", "mark1", "mark2"]
 
@@ -115,20 +116,32 @@ def line_table(data: np.ndarray, offsets: np.ndarray):
     return *columns, simhash.view(np.int64)
 
 
-def occurrences(texts: DataFrame) -> DataFrame:
-    """Rows (key, line, words, hash), one per line."""
+def occurrences(texts: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
+    """Rows (key, line, words, hash), one per line, and, with a part, rows
+    (part, counts): each task's share of the counting table of word pairs in
+    distinct lines of ``least`` words or more."""
 
     def run(batches):
+        counts = np.zeros(CELLS, np.uint32)
         for batch in batches:
             keys = batch.column("key").to_numpy()
             for first, data, offsets in spans.slices(batch, "text"):
-                row, number, words, line_hash = _line_words(data, offsets)[0]
+                columns, found = _line_words(data, offsets)
+                row, number, words, line_hash = columns
+                _, _, of, hashes = _distinct_lines(columns, found, least)
+                np.add.at(counts, _cell(_neighbours(of, hashes)[1]), 1)
+                none = len(row)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(keys[first + row]), pa.array(number.astype(np.int32)), pa.array(words.astype(np.int32)),
-                    pa.array(line_hash)], names)
+                    pa.array(line_hash), pa.nulls(none, pa.int32()), pa.nulls(none, pa.binary())], names)
+        for part, block in enumerate(counts.reshape(CELL_PARTS, -1)):
+            if block.any():
+                yield pa.RecordBatch.from_arrays([
+                    pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int64()),
+                    pa.array([part], pa.int32()), pa.array([_packed(block)], pa.binary())], names)
 
-    names = ["key", "line", "words", "hash"]
-    return texts.select("key", "text").mapInArrow(run, "key long, line int, words int, hash long")
+    names = ["key", "line", "words", "hash", "part", "counts"]
+    return texts.select("key", "text").mapInArrow(run, "key long, line int, words int, hash long, part int, counts binary")
 
 
 def line_texts(texts: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
@@ -222,16 +235,19 @@ def simhash_blocks(row: np.ndarray, pair: np.ndarray, rows: int, classes: np.nda
     if not len(row):
         return out
     first = np.flatnonzero(np.insert(row[1:] != row[:-1], 0, True))
-    size, light = np.diff(first, append=len(row)), np.exp2(classes[_cell(pair)].astype(np.float64))
+    line = np.repeat(np.arange(len(first)), np.diff(first, append=len(row)))
+    light = np.exp2(classes[_cell(pair)].astype(np.float64))
     for block in range(BLOCKS):
         seeded = spans.mixed(pair ^ spans.mixed(np.array([block + 1], np.uint64)))
-        cost = (((seeded >> np.uint64(11)).astype(np.float64) + 1) * 2.0 ** -53) ** STEEP * light
+        value = ((seeded >> np.uint64(11)).astype(np.float64) + 1) * 2.0 ** -53
+        cost = reduce(np.multiply, [value] * STEEP, light)
         votes, heaviest = np.zeros((len(first), 64), np.float32), None
         for _ in range(VOTERS):
             least = np.minimum.reduceat(cost, first)
             heaviest = least if heaviest is None else heaviest
-            at = cost == np.repeat(least, size)
-            voter = np.bitwise_or.reduceat(np.where(at, seeded, np.uint64(0)), first)
+            at = np.flatnonzero(cost == least[line])
+            voter = np.zeros(len(first), np.uint64)
+            voter[line[at]] = seeded[at]
             bits = np.unpackbits(spans.mixed(voter).view(np.uint8).reshape(-1, 8), axis=1)
             weight = np.where(np.isfinite(least), heaviest / least, 0).astype(np.float32)
             votes += weight[:, None] * (2 * bits.astype(np.float32) - 1)
@@ -240,9 +256,10 @@ def simhash_blocks(row: np.ndarray, pair: np.ndarray, rows: int, classes: np.nda
     return out
 
 
-def _distinct_lines(data: np.ndarray, offsets: np.ndarray, least: int):
-    """(hash, words) of the distinct lines of enough words of a slice, and (line, hash) of their words."""
-    (_, _, words, line_hash), (of, _, _, hashes) = _line_words(data, offsets)
+def _distinct_lines(columns, found, least: int):
+    """Of a slice's lines and words, (hash, words) of the distinct lines of
+    enough words, and (line, hash) of their words."""
+    (_, _, words, line_hash), (of, _, _, hashes) = columns, found
     chosen = np.zeros(len(words), bool)
     chosen[np.unique(line_hash, return_index=True)[1]] = True
     chosen &= words >= least
@@ -256,22 +273,6 @@ def _neighbours(of: np.ndarray, hashes: np.ndarray):
     return of[first], spans.mixed(hashes[first] * _STEP + hashes[first + 1])
 
 
-def _counts(texts: DataFrame, least: int) -> DataFrame:
-    """Rows (part, counts): each task's share of the counting table of word pairs."""
-
-    def run(batches):
-        counts = np.zeros(CELLS, np.uint32)
-        for batch in batches:
-            for _, data, offsets in spans.slices(batch, "text"):
-                _, _, of, hashes = _distinct_lines(data, offsets, least)
-                np.add.at(counts, _cell(_neighbours(of, hashes)[1]), 1)
-        for part, block in enumerate(counts.reshape(CELL_PARTS, -1)):
-            if block.any():
-                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([_packed(block)], pa.binary())], ["part", "counts"])
-
-    return texts.select("text").mapInArrow(run, "part int, counts binary")
-
-
 def line_marks(texts: DataFrame, least: int, shared) -> DataFrame:
     """One row per distinct line of enough words: hash, n (words), parity marks
     and the blocks b0, b1, ... of its SimHash."""
@@ -279,7 +280,7 @@ def line_marks(texts: DataFrame, least: int, shared) -> DataFrame:
     def run(batches):
         for batch in batches:
             for _, data, offsets in spans.slices(batch, "text"):
-                line_hash, n, of, hashes = _distinct_lines(data, offsets, least)
+                line_hash, n, of, hashes = _distinct_lines(*_line_words(data, offsets), least)
                 if not len(n):
                     continue
                 at = np.flatnonzero(np.insert(of[1:] != of[:-1], 0, True))
@@ -338,7 +339,7 @@ def _split(crowded: DataFrame, lines: DataFrame, shared, depth: int) -> DataFram
 def _wanted(lines: DataFrame, rows: DataFrame) -> DataFrame:
     """(hash, words) of the lines that ``rows`` name, once each."""
     wanted = stored(rows.select("hash").distinct(), "line-wanted")
-    return stored(lines.join(wanted, "hash", "left_semi").dropDuplicates(["hash"]), "line-texts")
+    return stored(lines.join(small_or_not(wanted), "hash", "left_semi").dropDuplicates(["hash"]), "line-texts")
 
 
 def _with_classes(rows: DataFrame, found: DataFrame) -> DataFrame:
@@ -435,10 +436,10 @@ def _checked(pairs: DataFrame, lines: DataFrame) -> DataFrame:
     return stored(rows.select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long"), "line-links")
 
 
-def line_classes(texts: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
+def line_classes(texts: DataFrame, counts: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
     """(node, component) for every line of ``least`` words or more that is
-    linked to another one."""
-    classes, _ = frequency_classes(_counts(texts, least))
+    linked to another one; ``counts`` has the counting table's parts."""
+    classes, _ = frequency_classes(counts)
     table = texts.sparkSession.sparkContext.broadcast(np.minimum(classes, DAMPED))
     ranks = texts.sparkSession.sparkContext.broadcast(classes)
     lines = line_texts(texts, least)
@@ -446,9 +447,9 @@ def line_classes(texts: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
     links = _checked(_pivot_pairs(shared), lines)
     found = stored(connected_components(links, "a", "b"), "line-classes")
     rest, depth, pairs = _with_classes(shared.withColumn("rank", F.lit(-1)), found), 0, []
-    while depth < DEEPEST and not (crowded := rest.where(F.col("size") > CROWD)).isEmpty():
+    while depth < DEEPEST and not (crowded := rest.where(F.col("size") > SPLIT)).isEmpty():
         depth += 1
-        pairs.append(_cross_pairs(rest.where(F.col("size") <= CROWD)))
+        pairs.append(_cross_pairs(rest.where(F.col("size") <= SPLIT)))
         split = stored(_split(crowded, lines, ranks, depth), "line-split")
         stay = _with_classes(split.where("not open").drop("open"), found)
         pairs.append(_cross_pairs(stay))
@@ -462,9 +463,11 @@ def decisions(docs: DataFrame, id: str = "doc_id", text: str = "text", short: bo
     numbers, from 0, ascending).  ``short``: lines of every length but blank
     ones are compared, else those under ``LEAST_WORDS`` words stay."""
     texts = keyed_texts(docs, id, text)
-    found = stored(occurrences(texts), "occurrences")
+    least = SHORTEST if short else LEAST_WORDS
+    rows = stored(occurrences(texts, least), "occurrences")
+    found, counts = rows.where("part is null").drop("part", "counts"), rows.where("part is not null").select("part", "counts")
     long = found.where(F.col("words") >= (1 if short else LEAST_WORDS))
-    classes = line_classes(texts, SHORTEST if short else LEAST_WORDS)
+    classes = line_classes(texts, counts, least)
     ids = texts.select("key", "id")
     placed = (long.select("key", "line", "hash").join(classes, long["hash"] == classes["node"], "left")
               .select("key", "line", F.coalesce("component", "hash").alias("class")))

@@ -52,6 +52,7 @@ def test_log_lines_stay_apart(make, monkeypatch, crowd):
     """Lines with one long word and numbers are different unless most words are
     the same; crowded buckets are split without losing a pair."""
     monkeypatch.setattr(fuzzy_lines, "CROWD", crowd, raising=False)
+    monkeypatch.setattr(fuzzy_lines, "SPLIT", crowd, raising=False)
     rng = random.Random(6)
     lines = [f"error {rng.randrange(3)}:{rng.randrange(4)}:{rng.randrange(60)} {rng.randrange(60)} {rng.randrange(60)}" for _ in range(150)]
     want = removed(lines)
