@@ -190,7 +190,12 @@ def edit_distance(a: list[bytes], b: list[bytes]) -> int:
 
 def similar(a: bytes, b: bytes) -> bool:
     x, y = a.split(), b.split()
-    return 100 * edit_distance(x, y) <= (100 - SIMILARITY) * max(len(x), len(y))
+    most = (100 - SIMILARITY) * max(len(x), len(y)) // 100
+    # every word that the other line lacks takes an edit of its own
+    for these, other in ((x, set(y)), (y, set(x))):
+        if sum(word not in other for word in these) > most:
+            return False
+    return edit_distance(x, y) <= most
 
 
 def _lost(n):
