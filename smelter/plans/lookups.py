@@ -136,12 +136,48 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY score DESC,
 SELECT vec_id, label, score, CAST(rank AS INTEGER) AS rank FROM ranked WHERE rank <= 2""")
 def q_similar_top2(t):
     """Exact cosine top-2 corpus vectors for each label centroid (queries
-    derived from the corpus; no join, salted two-step top-k)."""
+    derived from the corpus; block products, salted two-step top-k)."""
     out = similarity.exact_top_k(t.table("embeddings"), _label_centroids(t), "vec_id", "label",
                                  "embedding", 2)
     return out.select("vec_id", "label", "score", "rank")
 
 
+@register("similar_queries", ("RET3",), """
+WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+s AS (SELECT q.vec_id AS query_id, e.vec_id, """ + r("list_cosine_similarity(e.v, q.v)", 6) + """ AS score
+      FROM e q, e WHERE q.vec_id % 100 = 0 AND e.vec_id <> q.vec_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, vec_id, score, CAST(rank AS INTEGER) AS rank FROM ranked WHERE rank <= 10""")
+def q_similar_queries(t):
+    """Exact cosine top-10 of every hundredth vector among all others."""
+    return _without_self(similarity.exact_top_k(t.table("embeddings"), _hundredth(t), "vec_id", "query_id", "embedding", 11))
+
+
+@register("similar_cells", ("RET2", "RET3"))
+def q_similar_cells(t):
+    """The same top-10 from a cell index that is built from half of the vectors
+    and synchronised with the whole table (approximate)."""
+    emb = t.table("embeddings")
+    cells = similarity.fit_cells(emb, "vec_id", "embedding")
+    index = similarity.SimilarityIndex(t.spark, scratch_dir(t.spark, "cell_index"), "vec_id", "embedding", cells)
+    cut = emb.agg(F.percentile_approx("vec_id", 0.5)).scalar()
+    index.sync(with_scalars(emb, _cut=cut).filter(F.col("vec_id") <= F.col("_cut")).drop("_cut"))
+    index.sync(emb)
+    return _without_self(index.search(_hundredth(t), "query_id", "embedding", 11))
+
+
+def _hundredth(t):
+    return t.table("embeddings").filter("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+
+
+def _without_self(found):
+    """Top 11 to top 10 of the others: the query itself goes, or the last one
+    where eleven others are as near."""
+    order = Window.partitionBy("query_id").orderBy("rank")
+    others = found.filter("vec_id <> query_id").withColumn("rank", F.row_number().over(order)).filter("rank <= 10")
+    return others.select("query_id", "vec_id", "score", "rank")
+
+
 @register("similar_lsh", ("RET3",))
 def q_similar_lsh(t):
     """Approximate top-2 via random-projection LSH candidates."""
