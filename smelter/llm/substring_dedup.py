@@ -122,8 +122,9 @@ def blocks(texts: DataFrame) -> DataFrame:
 
 def _cut_out(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     """The bytes of wanted blocks (key, begin, size, ...): rows (anchor, key,
-    begin, lead, alone, bytes)."""
-    by_text = wanted.groupBy("key").agg(F.collect_list(F.struct("anchor", "begin", "size", "lead", "alone")).alias("cuts"))
+    begin, lead, alone, bytes).  ``texts`` has one row of each key; blocks of
+    rows that repeat are the same block and are cut once."""
+    by_text = wanted.groupBy("key").agg(F.collect_set(F.struct("anchor", "begin", "size", "lead", "alone")).alias("cuts"))
 
     def run(batches):
         for batch in batches:
@@ -202,6 +203,16 @@ def _grid_matches(cuts: DataFrame) -> DataFrame:
     return found
 
 
+def _one_row_each(texts: DataFrame, every: DataFrame) -> DataFrame:
+    """``texts`` with one row of each key.  A text with blocks has one that
+    begins at 0, so the narrow table of blocks tells which keys repeat."""
+    repeated = stored(every.where("begin = 0").groupBy("key").count().where("count > 1").select("key"), "repeated")
+    if repeated.isEmpty():
+        return texts
+    one = texts.join(repeated, "key", "left_semi").groupBy("key").agg(F.first("id").alias("id"), F.first("text").alias("text"))
+    return texts.join(repeated, "key", "left_anti").select("key", "id", "text").union(one)
+
+
 def removed_spans(texts: DataFrame) -> DataFrame:
     """Rows (key, begin, size): bytes to remove, as spans that may overlap."""
     every = stored(blocks(texts), "blocks")
@@ -216,18 +227,20 @@ def removed_spans(texts: DataFrame) -> DataFrame:
     equal = differ.where("n > 1").select("key", "begin", F.col("size").cast("int").alias("size"))
     wanted = differ.where("place = one").withColumn("alone", F.col("n") == 1)
     found = whole.union(equal)
+    sources = _one_row_each(texts, every)
     if not crowded.isEmpty():
-        rim = _cut_out(texts, wanted.join(crowded, "anchor", "left_semi"))
+        rim = _cut_out(sources, wanted.join(crowded, "anchor", "left_semi"))
         found = found.union(stored(_grid_matches(rim), "grid-marks"))
         wanted = wanted.join(crowded, "anchor", "left_anti")
-    return found.union(_indexed_matches(_cut_out(texts, wanted)))
+    return found.union(_indexed_matches(_cut_out(sources, wanted)))
 
 
 def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", with_text: bool = False) -> DataFrame:
     """One row per document: id, n_bytes, n_removed, n_spans, kept_sha256 and,
     on request, the kept bytes."""
     texts = keyed_texts(docs, id, text)
-    marks = removed_spans(texts).groupBy("key").agg(F.collect_list(F.struct("begin", "size")).alias("marks"))
+    # a set: rows that repeat id and text share a key and find the same spans
+    marks = removed_spans(texts).groupBy("key").agg(F.collect_set(F.struct("begin", "size")).alias("marks"))
     joined = texts.join(marks, "key", "left").select("key", "id", "text", "marks")
     schema = T.StructType([texts.schema["id"], *(T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")),
                            T.StructField("kept_sha256", T.StringType()),
