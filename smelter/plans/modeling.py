@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from smelter.functions.columns import hash_bucket_sql, round_half_up, round_half_up_sql as r, with_scalars
 from smelter.models import features as fx
-from smelter.models import scoring, training
+from smelter.models import attribution, calibration, scoring, training
 from smelter.plans.medallion import SILVER_SQL, silver
 from smelter.plans.registry import register
 from smelter.session import materialize
@@ -290,6 +290,61 @@ def q_high_defect_probability(t):
             .filter(F.col("p_defect") > 0.5).select("inspection_id", "furnace_id", "is_defect", "p_defect"))
 
 
+def _calibrated(t):
+    """All inspections with their split and calibrated defect probability."""
+    data = defect_data(t)
+    train = data.filter(F.col("split") == "train").drop("split")
+    model = calibration.fit_calibrated(train, "logistic", "is_defect", DEFECT_FEATURES, "inspection_id")
+    return model.score(data, "p_defect")
+
+
+@register("elevated_defect_probability", ("ML20",))
+def q_elevated_defect_probability(t):
+    """Inspections whose calibrated defect probability exceeds the defect rate
+    of the training split: what a threshold of one half cannot show for a rare
+    class."""
+    scored = _calibrated(t)
+    rate = scored.filter(F.col("split") == "train").agg(F.avg(F.col("is_defect").cast("double"))).first()[0]
+    return (scored.withColumn("base_rate", F.lit(rate).cast("double")).filter(F.col("p_defect") > F.col("base_rate"))
+            .select("inspection_id", "furnace_id", "is_defect", "p_defect", "base_rate"))
+
+
+@register("defect_calibration", ("ML20", "ML10"))
+def q_defect_calibration(t):
+    """Predicted against observed defect rate on the held-out inspections."""
+    test = _calibrated(t).filter(F.col("split") == "test").withColumn("is_defect", F.col("is_defect").cast("double"))
+    return calibration.reliability(materialize(test), "is_defect", "p_defect")
+
+
+# the planted relation of the stand-in telemetry, as for energy_linear
+_PLANTED = {"temperature_c": 35, "amperage_ka": 2, "anode_effect": 120, "bath_ratio": 0, "alumina_feed_rate": 0}
+
+
+@register("furnace_energy_gap", ("RCA1",), REG_SQL + f""",
+means AS (SELECT furnace_id, {', '.join(f'avg({c}) AS {c}' for c in [*FEATS, TARGET])} FROM reg GROUP BY furnace_id),
+best AS (SELECT * FROM means ORDER BY {r(TARGET, 6)}, furnace_id LIMIT 1),
+parts AS (
+""" + "\nUNION ALL\n".join(
+    f"SELECT m.furnace_id, b.furnace_id AS against_id, '{f}' AS term, {c} * (m.{f} - b.{f}) AS contribution, "
+    f"m.{TARGET} - b.{TARGET} AS gap FROM means m, best b" for f, c in _PLANTED.items()) + f"""
+UNION ALL
+SELECT m.furnace_id, b.furnace_id, '{attribution.UNEXPLAINED}', 0, m.{TARGET} - b.{TARGET} FROM means m, best b)
+SELECT furnace_id, against_id, term, {r('contribution', 4)} AS contribution, {r('gap', 4)} AS gap
+FROM parts WHERE furnace_id <> against_id""")
+def q_furnace_energy_gap(t):
+    """Every furnace against the one with the least mean energy: the gap split
+    into what each feature contributes under the fitted linear model."""
+    split, model = _linear(t)
+    coefficients = {row.term: row.coefficient for row in training.linear_coefficients(model, FEATS).collect()}  # six rows
+    del coefficients["intercept"]
+    means = materialize(attribution.group_means(split, "furnace_id", [*FEATS, TARGET]))
+    best = means.agg(F.min(F.struct(round_half_up(TARGET, 6).alias("e"), "furnace_id")).alias("m")).select("m.furnace_id").scalar()
+    pairs = with_scalars(means.select("furnace_id"), against_id=best).filter("furnace_id <> against_id")
+    gaps = attribution.gap_contributions(means, pairs, "furnace_id", "against_id", coefficients, TARGET)
+    return gaps.select("furnace_id", "against_id", "term", round_half_up("contribution", 4).alias("contribution"),
+                       round_half_up("gap", 4).alias("gap"))
+
+
 @register("failure_classifier", ("ML19",))
 def q_failure_classifier(t):
     """Predictive-maintenance variant: is_failure on telemetry readings, the

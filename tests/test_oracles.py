@@ -11,7 +11,7 @@ from smelter import plans
 from smelter.sources.tables import BASE_TABLES
 
 HEAVY = {"energy_trees", "defect_classifier", "defect_importance", "defect_confusion",
-         "high_defect_probability", "failure_classifier"}
+         "high_defect_probability", "failure_classifier", "defect_calibration"}
 
 
 def _norm(v):
