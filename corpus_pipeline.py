@@ -2,6 +2,14 @@
 
 Every stage works on all rows that the one before it has kept, written as
 Parquet and read again.  All but the last return the columns of documents.
+
+Defined results, stage by stage: a null text counts as empty.  The classifier
+scores such texts like any other.  Of exact copies the largest id stays (a null
+id is below all), of rows that repeat id and text one.  Texts without a word
+are near copies of nothing.  The mix takes nothing of an empty text and treats
+a null source as a source of its own.  An empty text is encoded as the end id.
+Further columns, whatever their names, come back untouched up to the mix, and
+empty tables give empty results.
 """
 
 from __future__ import annotations
