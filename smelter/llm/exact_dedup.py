@@ -16,10 +16,9 @@ ones named like the results, do not take part and are returned untouched by
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from smelter.llm.common import ascii_lower, unused
+from smelter.llm.common import ascii_lower, stored, unused
 
 
 def content_hash(text: Column) -> Column:
@@ -52,14 +51,19 @@ def decisions(docs: DataFrame, id: str = "doc_id", text: str = "text", keep: str
     which the grouping by bytes has attached to each of them."""
     groups = copy_groups(docs, id, text, keep, normalise, hash)
     norm = _normalised(docs, text, normalise)
-    rows = (docs.select(docs[id].alias("id"), norm.alias("norm"))
-            .select("id", hash(F.col("norm")).alias("h"),
-                    F.sha2(F.col("norm").cast("binary"), 256).alias("text_sha256")))
-    # of rows that repeat the kept id, the first stays
-    turn = F.row_number().over(W.partitionBy("id", "text_sha256").orderBy("keep_id"))
-    return (rows.join(groups, ["h", "text_sha256"])
-            .select(F.col("id").alias(id), "keep_id", "group_size",
-                    (F.col("id").eqNullSafe(F.col("keep_id")) & (turn == 1)).alias("kept"),
+    # numbered once and stored, so that a row has the same number in both uses
+    rows = stored(docs.select(docs[id].alias("id"), norm.alias("norm"))
+                  .select("id", hash(F.col("norm")).alias("h"),
+                          F.sha2(F.col("norm").cast("binary"), 256).alias("text_sha256"),
+                          F.monotonically_increasing_id().alias("number")), "exact-rows")
+    # of rows that repeat the kept id, the first stays: a minimum, combined
+    # before the shuffle, however many rows repeat
+    first = (rows.groupBy("h", "text_sha256", "id").agg(F.min("number").alias("first"))
+             .select(F.col("h").alias("fh"), F.col("text_sha256").alias("fs"), F.col("id").alias("fid"), "first"))
+    best = groups.join(first, (F.col("h") == F.col("fh")) & (F.col("text_sha256") == F.col("fs"))
+                       & F.col("keep_id").eqNullSafe(F.col("fid"))).drop("fh", "fs", "fid")
+    return (rows.join(best, ["h", "text_sha256"])
+            .select(F.col("id").alias(id), "keep_id", "group_size", (F.col("number") == F.col("first")).alias("kept"),
                     "text_sha256", F.lower(F.hex("h")).alias("content_hash")))
 
 

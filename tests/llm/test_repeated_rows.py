@@ -1,11 +1,11 @@
-"""op2 on rows that repeat id and text: marks and cuts stay linear."""
+"""op1 and op2 on rows that repeat id and text: work stays linear."""
 
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from smelter.llm import substring_dedup
+from smelter.llm import exact_dedup, substring_dedup
 from smelter.llm.common import keyed_texts, stored
 
 
@@ -62,3 +62,13 @@ def test_marks_follow_rows_not_their_squares(spark, make, corpus, monkeypatch):
     out = substring_dedup.remove_repeats(docs).groupBy("doc_id").agg(F.min("n_removed").alias("low"), F.max("n_removed").alias("high"))
     found = {r.doc_id: (r.low, r.high) for r in out.collect()}
     assert found[1] == (len(text), len(text)) and found[3] == (0, 0) and 0 < found[2][0] < len(near)
+
+
+def test_one_of_many_repeated_rows_is_kept_without_a_window(spark, make):
+    many = make([(9, "Same Text", "en", "a")]).withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(5000)))).drop("n")
+    docs = many.union(make([(3, "same text", "en", "b"), (9, "other", "en", "b"), (None, None, "en", "b"), (None, "", "en", "b")])).repartition(7)
+    found = exact_dedup.decisions(docs)
+    assert "Window" not in found._jdf.queryExecution().optimizedPlan().toString()
+    rows = found.groupBy("doc_id", "keep_id", "group_size").agg(F.count("*").alias("n"), F.count_if("kept").alias("kept")).collect()
+    assert {tuple(r) for r in rows} == {(9, 9, 5001, 5000, 1), (3, 9, 5001, 1, 0), (9, 9, 1, 1, 1), (None, None, 2, 2, 1)}
+    assert sorted((r.doc_id or 0, r.text or "") for r in exact_dedup.drop_copies(docs).collect()) == [(0, ""), (9, "Same Text"), (9, "other")]
