@@ -221,7 +221,8 @@ def q_inefficiency_alerts(t):
     alerts = scoring.deviation_alerts(scored, TARGET, "predicted_energy_kwh_ton", 300.0, 20)
     return alerts.select("reading_id", "furnace_id", "ts", TARGET,
                          round_half_up("predicted_energy_kwh_ton", 4).alias("predicted_energy_kwh_ton"),
-                         round_half_up("deviation", 4).alias("deviation"))
+                         # nine digits first: a furnace mean carries noise of its order of summation
+                         round_half_up(F.round("deviation", 9), 4).alias("deviation"))
 
 
 DEFECT_FEATURES = ["surface_quality_score"] + [f"avg_{c}" for c in fx.STATE_COLUMNS]
