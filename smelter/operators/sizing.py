@@ -8,13 +8,18 @@ broadcast when the materialised shuffle turns out small).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Bounds for dimension-like sides (furnaces, plants, alloys, per-key summaries).
 DIMENSION_ROW_BOUND = 200_000
 DIMENSION_BYTE_BOUND = 32 << 20
 
+# The planner goes by the size of compressed files, a fraction of what the rows take.
+PLANNED_BYTE_BOUND = 1 << 20
+
 _CHECKED: dict[tuple, bool] = {}
 
 
@@ -45,3 +50,24 @@ def broadcast_if_small(df: DataFrame, bound: int = DIMENSION_ROW_BOUND) -> DataF
     (``session.materialize``), or left unhinted for AQE.
     """
     return F.broadcast(df) if is_bounded(df, bound) else df
+
+
+@contextmanager
+def bounded_broadcasts(spark: SparkSession, bound: int = PLANNED_BYTE_BOUND):
+    """Within it, the planner's own broadcasts take sides of ``bound`` bytes at
+    most, so joins with tables that grow do not pass them through the driver.
+    They are shuffled instead, and hashed without a sort where every shuffled
+    part is proven small.
+
+    Meant around an action (``session.materialize``): a frame that runs later
+    is planned with the session's own settings."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": bound,
+                "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": DIMENSION_BYTE_BOUND}
+    old = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, str(value))
+    try:
+        yield
+    finally:
+        for name, value in old.items():
+            spark.conf.set(name, value)

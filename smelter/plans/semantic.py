@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 
 from smelter.functions.columns import month_start, round_half_up, round_half_up_sql as r
 from smelter.operators import explore
-from smelter.operators.sizing import broadcast_if_small
+from smelter.operators.sizing import bounded_broadcasts, broadcast_if_small
 from smelter.operators.states import Grain, MeasureStates
 from smelter.plans.metrics import MetricView, ViewJoin, between, last_day, month_begin
 from smelter.plans.registry import ORACLES, register
-from smelter.session import scratch_dir
+from smelter.session import materialize, scratch_dir
 from smelter.sources.standins import duckdb_with
 
 TARIFF = explore.ENERGY_PRICE_BRL_PER_MWH
@@ -358,11 +358,15 @@ _KEPT: dict[tuple, MeasureStates] = {}
 def states_of(t, role: str) -> MeasureStates:
     """Stored states of a fact role, kept per table set.  They are first built
     from a fact that lacks its last day and has its first day twice; the change
-    feed of those two days then puts them right."""
+    feed of those two days then puts them right.
+
+    The fact's joins run once: its rows, in the columns that the states need,
+    are stored, as the five passes over them would each join anew."""
     if (id(t), role) not in _KEPT:
         grains, values = STATES[role]
         states = MeasureStates(t.spark, scratch_dir(t.spark, f"states-{role}"), grains, values)
-        fact = t.role(role)
+        with bounded_broadcasts(t.spark):
+            fact = materialize(t.role(role).select("date", *grains[0].keys, *values), f"fact-{role}")
         first, last = fact.agg(F.to_date(F.min("date")), F.to_date(F.max("date"))).first()
         wrong = fact.where(F.to_date("date") != F.lit(last)).unionAll(fact.where(F.to_date("date") == F.lit(first)))
         states.refresh(wrong)
