@@ -175,8 +175,12 @@ def exact_top_k(corpus: DataFrame, queries: DataFrame, item: str, query: str, ve
     of queries: rows (item, query, score, rank).  Scores are rounded to
     ``digits`` before ranking, ties go to the smaller item.  Query ids are
     unique."""
-    # a stated query set against all rows, block by block: no vector is joined with a vector
-    pairs = _packed(corpus, item, vec).drop("by").crossJoin(_query_blocks(_packed(queries, query, vec)).drop("by"))
+    # a stated query set against all rows, block by block: no vector is joined with a vector;
+    # corpus blocks are dealt to slots, and a shuffle, not the driver, brings all query blocks to each
+    slots = _default_salts(corpus)
+    blocks = _packed(corpus, item, vec).withColumn("by", F.pmod(F.xxhash64("ids"), F.lit(slots)).cast("int"))
+    asked = _query_blocks(_packed(queries, query, vec)).withColumn("by", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
+    pairs = blocks.join(asked.hint("merge"), "by").drop("by")
     scored = _scored_blocks(pairs, corpus.schema[item].dataType, queries.schema[query].dataType, k, digits)
     return _ranked(scored, item, query, k)
 
