@@ -18,7 +18,8 @@ similarity alone.  No candidate is dropped.
 
 Equal normalised lines are one node from the start, so a very common line is
 no large group.  Each line is first checked against its buckets' least lines;
-afterwards only pairs of different groups are listed.  A bucket of several
+afterwards only lines of different groups are compared, where their bucket is
+read: no pair becomes a row, only the links that join two groups.  A bucket of several
 groups and more than ``SPLIT`` lines is split by shared word pairs, which
 similar lines must have, up to ``DEEPEST`` of them; one of more than ``CROWD``
 lines is dealt as squares of that many lines to many tasks.
@@ -51,7 +52,10 @@ SHORTEST = 4
 BLOCKS, VOTERS, STEEP, DAMPED = 6, 3, 3, 3
 #: Lines of a bucket whose pairs one task compares, lines from which a bucket
 #: is split by word pairs, and how many of them a bucket's key may get.
-CROWD, SPLIT, DEEPEST = 4_000, 64_000, 8
+CROWD, SPLIT, DEEPEST = 16_000, 64_000, 8
+#: Lines of a bucket up to which those without a near one are left out at once,
+#: near lines whose words one task compares, and pairs listed at once.
+FEW, CHECKED, LISTED = 500, 1_000, 1 << 20
 #: Parity of a line's words in 64 cells each.
 MARKS = ["mark", "mark1", "mark2"]
 
@@ -190,9 +194,15 @@ def edit_distance(a: list[bytes], b: list[bytes]) -> int:
 
 def similar(a: bytes, b: bytes) -> bool:
     x, y = a.split(), b.split()
+    return _similar(x, y, set(x), set(y))
+
+
+def _similar(x: list[bytes], y: list[bytes], xs: set[bytes], ys: set[bytes]) -> bool:
     most = (100 - SIMILARITY) * max(len(x), len(y)) // 100
     # every word that the other line lacks takes an edit of its own
-    for these, other in ((x, set(y)), (y, set(x))):
+    if len(xs - ys) > most or len(ys - xs) > most:
+        return False
+    for these, other in ((x, ys), (y, xs)):
         if sum(word not in other for word in these) > most:
             return False
     return edit_distance(x, y) <= most
@@ -303,13 +313,15 @@ def line_marks(texts: DataFrame, least: int, shared) -> DataFrame:
 
 
 def _buckets(lines: DataFrame) -> DataFrame:
-    """(bucket, hash, n, marks): the lines of each block that several share."""
-    blocks = F.array(*(F.xxhash64(F.lit(k), f"b{k}") for k in range(BLOCKS)))
-    rows = lines.select("hash", F.explode(blocks).alias("bucket"))
+    """(bucket, hash, n, marks): the lines of each block that have a near one
+    there; all lines of a block that more than ``FEW`` share."""
+    blocks = F.explode(F.array(*(F.xxhash64(F.lit(k), f"b{k}") for k in range(BLOCKS)))).alias("bucket")
     # counted with a combine before the shuffle, so a bucket of any size is no large group
-    several = rows.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1").select("bucket")
-    found = rows.join(stored(several, "line-sizes"), "bucket")
-    return stored(found.join(lines.select("hash", "n", *MARKS), "hash"), "line-buckets")
+    sizes = lines.select(blocks).groupBy("bucket").agg(F.count("*").alias("size"))
+    crowded = small_or_not(stored(sizes.where(F.col("size") > FEW).select("bucket"), "line-crowded"))
+    rows = lines.select(blocks, "hash", "n", *MARKS)
+    near = _only_near(rows.join(crowded, "bucket", "left_anti"))
+    return stored(near.union(rows.join(crowded, "bucket", "left_semi")), "line-buckets")
 
 
 def _split(crowded: DataFrame, lines: DataFrame, shared, depth: int) -> DataFrame:
@@ -337,7 +349,7 @@ def _split(crowded: DataFrame, lines: DataFrame, shared, depth: int) -> DataFram
                     pa.array(rank.astype(np.int32)), pa.array(np.arange(len(row)) < len(row) - len(stay))], names)
 
     names = ["bucket", "hash", "n", *MARKS, "rank", "open"]
-    rows = crowded.select("bucket", "hash", "n", *MARKS, "rank").join(_wanted(lines, crowded), "hash")
+    rows = crowded.select("bucket", "hash", "n", *MARKS, "rank").join(lines, "hash")
     return rows.mapInArrow(run, "bucket long, hash long, n int, " + ", ".join(f"{c} long" for c in MARKS) + ", rank int, open boolean")
 
 
@@ -363,56 +375,124 @@ def _near(n, m, marks, others):
     return apart + np.abs(n - m) <= 2 * most
 
 
-def _cross_pairs(rows: DataFrame) -> DataFrame:
-    """All pairs of different classes in a bucket.  A bucket of more than
-    ``CROWD`` lines is dealt as squares of that size to many tasks."""
+def _dealt(rows: DataFrame, crowd: int) -> DataFrame:
+    """Rows of buckets whose size they have.  A bucket of more than ``crowd``
+    lines is dealt as squares of that many, each a bucket of its own."""
+    parts = F.ceil(F.col("size") / crowd).cast("int")
+    mine = F.pmod(F.xxhash64("hash"), parts).cast("int")
+    columns = [c for c in rows.columns if c in ("bucket", "hash", "class", "n", *MARKS)]
+    rows = rows.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+    square = F.when(F.col("size") <= crowd, F.col("bucket")).otherwise(
+        F.xxhash64("bucket", F.least("mine", "other"), F.greatest("mine", "other")))
+    return rows.withColumn("bucket", square).select(*columns)
+
+
+def _bucketwise(emit):
+    """``emit`` over tables of whole buckets, for ``mapInArrow`` over rows in order of buckets."""
 
     def run(batches):
         held = None
         for batch in batches:
-            now = [batch.column(c).to_numpy() for c in columns]
-            if not len(now[0]):
+            if not batch.num_rows:
                 continue
-            if held is not None:
-                now = [np.concatenate([h, c]) for h, c in zip(held, now, strict=True)]
-            cut = int(np.searchsorted(now[0], now[0][-1], "left"))
-            yield from emit([c[:cut] for c in now])
-            held = [c[cut:] for c in now]
+            now = pa.Table.from_batches([batch])
+            now = now if held is None else pa.concat_tables([held, now])
+            bucket = now.column("bucket").to_numpy()
+            cut = int(np.searchsorted(bucket, bucket[-1], "left"))
+            if cut:
+                yield from emit(now.slice(0, cut))
+            held = now.slice(cut)
         if held is not None:
             yield from emit(held)
 
-    def emit(now):
-        bucket, out, count = now[0], [], 0
-        edge = np.flatnonzero(np.append(np.insert(bucket[1:] != bucket[:-1], 0, True), True)) if len(bucket) else bucket
-        for a, b in zip(edge, edge[1:], strict=False):
-            h, of, n, *marks = (c[a:b] for c in now[1:])
-            # by word count: shorter lines than four fifths are too far away
-            begin = np.searchsorted(n, n - (100 - SIMILARITY) * n // 100)
-            for i in range(1, len(h)):
-                part = slice(begin[i], i)
-                near = of[part] != of[i]
-                if near.any():
-                    j = begin[i] + np.flatnonzero(near & _near(n[part], n[i], [m[part] for m in marks], [m[i] for m in marks]))
-                    if len(j):
-                        out.append((np.maximum(h[j], h[i]), np.minimum(h[j], h[i])))
-                        count += len(j)
-            if count > 100_000:
-                yield batch_of(out)
-                out, count = [], 0
-        if out:
-            yield batch_of(out)
-
-    def batch_of(out):
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], ["a", "b"])
-
-    parts = F.ceil(F.col("size") / CROWD).cast("int")
-    mine = F.pmod(F.xxhash64("hash"), parts).cast("int")
-    rows = rows.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-    square = F.when(F.col("size") <= CROWD, F.col("bucket")).otherwise(
-        F.xxhash64("bucket", F.least("mine", "other"), F.greatest("mine", "other")))
-    columns = ["bucket", "hash", "class", "n", *(c for c in MARKS if c in rows.columns)]
-    rows = rows.withColumn("bucket", square).select(*columns)
-    return rows.repartition("bucket").sortWithinPartitions("bucket", "n").mapInArrow(run, "a long, b long")
+    return run
+
+
+def _near_pairs(rows: pa.Table):
+    """(i, j) of the rows of a bucket that are of different classes (lines, if
+    none are known) and near by word counts and marks, in parts; rows are in
+    order of bucket and count."""
+    known = rows.column_names
+    columns = "bucket", "class" if "class" in known else "hash", "n", *(m for m in MARKS if m in known)
+    bucket, of, n, *marks = (rows.column(c).to_numpy() for c in columns)
+    n = n.astype(np.int64)
+    place = np.cumsum(np.insert(bucket[1:] != bucket[:-1], 0, False)).astype(np.int64) * (1 << 32) + n
+    # shorter lines than four fifths are too far away
+    begin = np.searchsorted(place, place - (100 - SIMILARITY) * n // 100)
+    many = np.arange(len(n)) - begin
+    cuts = [0, *(np.flatnonzero(np.diff(np.cumsum(many) // LISTED)) + 1).tolist(), len(n)]
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        i = np.repeat(np.arange(a, b), many[a:b])
+        j = begin[i] + np.arange(len(i)) - np.repeat(np.cumsum(many[a:b]) - many[a:b], many[a:b])
+        apart = of[i] != of[j]
+        i, j = i[apart], j[apart]
+        near = _near(n[j], n[i], [m[j] for m in marks], [m[i] for m in marks])
+        yield i[near], j[near]
+
+
+def _cross_pairs(rows: DataFrame) -> DataFrame:
+    """All pairs of different classes in a bucket that counts and marks allow,
+    one row each: what ``_cross_links`` goes through without listing it."""
+
+    def emit(table):
+        h = table.column("hash").to_numpy()
+        for i, j in _near_pairs(table):
+            yield pa.RecordBatch.from_arrays([pa.array(np.maximum(h[i], h[j])), pa.array(np.minimum(h[i], h[j]))], ["a", "b"])
+
+    rows = _dealt(rows, CROWD).repartition("bucket").sortWithinPartitions("bucket", "n")
+    return rows.mapInArrow(_bucketwise(emit), "a long, b long")
+
+
+def _only_near(rows: DataFrame) -> DataFrame:
+    """The rows that have a near one of another class in their bucket."""
+
+    def emit(table):
+        near = np.zeros(table.num_rows, bool)
+        for i, j in _near_pairs(table):
+            near[i] = near[j] = True
+        if near.any():
+            yield from table.filter(pa.array(near)).to_batches()
+
+    schema = ", ".join(f"{name} {kind}" for name, kind in rows.dtypes)
+    return rows.repartition("bucket").sortWithinPartitions("bucket", "n").mapInArrow(_bucketwise(emit), schema)
+
+
+def _cross_links(rows: DataFrame, lines: DataFrame) -> DataFrame:
+    """Links (a, b) between similar lines of different classes in a bucket, as
+    many as join the classes: a pair whose classes the same task has joined is
+    left out, so there are fewer links than rows however many pairs there are.
+    Pairs are compared where their bucket is read and never become rows."""
+
+    def find(roots, c):
+        while (up := roots.get(c, c)) != c:
+            roots[c] = roots.get(up, up)
+            c = up
+        return c
+
+    def check(batches):
+        roots: dict[int, int] = {}
+
+        def emit(table):
+            hashes, classes = table.column("hash").to_pylist(), table.column("class").to_pylist()
+            words = [w.split() for w in table.column("words").to_pylist()]
+            sets = [set(w) for w in words]
+            links = []
+            for i, j in _near_pairs(table):
+                for x, y in zip(i.tolist(), j.tolist(), strict=True):
+                    one, two = find(roots, classes[x]), find(roots, classes[y])
+                    if one != two and _similar(words[x], words[y], sets[x], sets[y]):
+                        roots[max(one, two)] = min(one, two)
+                        links.append((hashes[x], hashes[y]))
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links, strict=True)], ["a", "b"])
+
+        yield from _bucketwise(emit)(batches)
+
+    near = stored(_only_near(_dealt(rows, CROWD)), "line-near")
+    sizes = stored(near.groupBy("bucket").agg(F.count("*").alias("size")), "line-sizes")
+    dealt = _dealt(near.join(sizes, "bucket"), CHECKED).join(lines, "hash")
+    links = dealt.repartition("bucket").sortWithinPartitions("bucket", "n").mapInArrow(check, "a long, b long")
+    return stored(links.distinct(), "line-links")
 
 
 def _pivot_pairs(shared: DataFrame) -> DataFrame:
@@ -435,8 +515,7 @@ def _checked(pairs: DataFrame, lines: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     pairs = stored(pairs.distinct(), "line-pairs")
-    near = _wanted(lines, pairs.select(F.col("a").alias("hash")).union(pairs.select("b")))
-    side = lambda n, t: near.select(F.col("hash").alias(n), F.col("words").alias(t))
+    side = lambda n, t: lines.select(F.col("hash").alias(n), F.col("words").alias(t))
     rows = pairs.join(side("b", "tb"), "b").join(side("a", "ta"), "a")
     return stored(rows.select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long"), "line-links")
 
@@ -447,19 +526,20 @@ def line_classes(texts: DataFrame, counts: DataFrame, least: int = LEAST_WORDS)
     classes, _ = frequency_classes(counts)
     table = texts.sparkSession.sparkContext.broadcast(np.minimum(classes, DAMPED))
     ranks = texts.sparkSession.sparkContext.broadcast(classes)
-    lines = line_texts(texts, least)
     shared = _buckets(stored(line_marks(texts, least, table), "lines"))
+    lines = _wanted(line_texts(texts, least), shared)
     links = _checked(_pivot_pairs(shared), lines)
     found = stored(connected_components(links, "a", "b"), "line-classes")
-    rest, depth, pairs = _with_classes(shared.withColumn("rank", F.lit(-1)), found), 0, []
+    rest, depth, rows = _with_classes(shared.withColumn("rank", F.lit(-1)), found), 0, []
     while depth < DEEPEST and not (crowded := rest.where(F.col("size") > SPLIT)).isEmpty():
         depth += 1
-        pairs.append(_cross_pairs(rest.where(F.col("size") <= SPLIT)))
+        rows.append(rest.where(F.col("size") <= SPLIT))
         split = stored(_split(crowded, lines, ranks, depth), "line-split")
-        stay = _with_classes(split.where("not open").drop("open"), found)
-        pairs.append(_cross_pairs(stay))
+        rows.append(_with_classes(split.where("not open").drop("open"), found))
         rest = _with_classes(split.where("open").drop("open"), found)
-    more = _checked(reduce(DataFrame.union, [*pairs, _cross_pairs(rest)]), lines)
+    # a bucket of each step is one of its own
+    rows = [r.select(F.xxhash64(F.lit(k), "bucket").alias("bucket"), "hash", "n", *MARKS, "class", "size") for k, r in enumerate([*rows, rest])]
+    more = _cross_links(reduce(DataFrame.union, rows), lines)
     return found if more.isEmpty() else stored(connected_components(links.union(more), "a", "b"), "line-classes")
 
 

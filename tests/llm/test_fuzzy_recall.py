@@ -71,6 +71,33 @@ def test_crowded_bucket_lists_few_pairs(spark):
     assert fuzzy_lines._cross_pairs(same).distinct().count() == 600 * 600
 
 
+@pytest.mark.parametrize("crowd", [1000, 7])
+def test_near_lines_become_few_links(spark, monkeypatch, crowd):
+    """Lines of one bucket that counts and marks call near, some similar, most
+    in another order: fewer links than lines, which join what all pairs join."""
+    monkeypatch.setattr(fuzzy_lines, "CHECKED", crowd)
+    rng, words = random.Random(8), [f"w{i}" for i in range(10)]
+    lines = [" ".join(rng.sample(words, 10)) for _ in range(20)]
+    lines += [" ".join(line.split()[:9] + [f"x{k}"]) for line in lines for k in range(6)]
+    names = "bucket long, hash long, n int, mark long, class long, size long"
+    rows = spark.createDataFrame([(1, i, 10, 0, i, len(lines)) for i in range(len(lines))], names)
+    texts = spark.createDataFrame([(i, x.encode()) for i, x in enumerate(lines)], "hash long, words binary")
+    links = [tuple(r) for r in fuzzy_lines._cross_links(rows, texts).collect()]
+    near = [(r.a, r.b) for r in fuzzy_lines._cross_pairs(rows).collect()]
+    assert len(near) == len(lines) * (len(lines) - 1) // 2
+    assert len(links) < (len(lines) if crowd > len(lines) else len(near) // 10)
+
+    def groups(pairs):
+        root = list(range(len(lines)))
+        for a, b in pairs:
+            old, new = max(root[a], root[b]), min(root[a], root[b])
+            root = [new if r == old else r for r in root]
+        return root
+
+    want = [(a, b) for a, b in near if fuzzy_lines.similar(lines[a].encode(), lines[b].encode())]
+    assert set(map(frozenset, links)) <= set(map(frozenset, want)) and groups(links) == groups(want)
+
+
 def test_short_lines_are_compared_whole(make):
     """Exact repeats of lines of one to four words go, blank lines stay."""
     lines = ["Home", "", "home!", "Share this", "share  this", "Accept all cookies", "accept all, cookies", "share that",
