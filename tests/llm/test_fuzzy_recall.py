@@ -98,6 +98,18 @@ def test_near_lines_become_few_links(spark, monkeypatch, crowd):
     assert set(map(frozenset, links)) <= set(map(frozenset, want)) and groups(links) == groups(want)
 
 
+@pytest.mark.parametrize("few", [2, 500])
+def test_lines_without_a_near_one_are_left_out(make, monkeypatch, few):
+    """Buckets above and below the bound for it give what all pairs give."""
+    monkeypatch.setattr(fuzzy_lines, "FEW", few)
+    rng, lines = random.Random(9), []
+    for k in range(12):
+        words = [f"w{rng.randrange(60)}" for _ in range(10)]
+        lines += [" ".join(words[:at] + [f"x{k}"] + words[at + 1:]) for at in range(4)] + [" ".join(words + ["and", "so", f"on{k}", "then"])]
+    want = removed(lines)
+    assert 0 < len(want) < len(lines) - 12 and decided(make, lines) == want
+
+
 def test_short_lines_are_compared_whole(make):
     """Exact repeats of lines of one to four words go, blank lines stay."""
     lines = ["Home", "", "home!", "Share this", "share  this", "Accept all cookies", "accept all, cookies", "share that",
