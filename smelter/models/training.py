@@ -9,22 +9,23 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import Imputer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from smelter.functions.columns import round_half_up
+from smelter.models import forests
 
 REGRESSORS = {
     "linear": lambda label: LinearRegression(featuresCol="features", labelCol=label),
-    "gbt": lambda label: GBTRegressor(featuresCol="features", labelCol=label, maxIter=30, seed=42,
-                                      cacheNodeIds=True),
+    "gbt": lambda label: forests.BinnedGBTRegressor(featuresCol="features", labelCol=label, maxIter=30, seed=42,
+                                                    cacheNodeIds=True),
     # the reference's random-forest challenger settings (150 trees, depth 10,
     # seed 42); a larger node-statistics budget means fewer passes per level
-    "random_forest": lambda label: RandomForestRegressor(featuresCol="features", labelCol=label,
-                                                         numTrees=150, maxDepth=10, seed=42,
-                                                         maxMemoryInMB=1024, cacheNodeIds=True),
+    "random_forest": lambda label: forests.BinnedForestRegressor(featuresCol="features", labelCol=label,
+                                                                 numTrees=150, maxDepth=10, seed=42,
+                                                                 maxMemoryInMB=1024, cacheNodeIds=True),
 }
 
 
