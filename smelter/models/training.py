@@ -6,7 +6,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.regression import LinearRegression
@@ -90,8 +90,8 @@ def promotion(metrics: DataFrame, champion: str, challenger: str, metric: str =
 
 def _classifier_grid(label: str):
     lr = LogisticRegression(featuresCol="features", labelCol=label, maxIter=50)
-    rf = RandomForestClassifier(featuresCol="features", labelCol=label, seed=42)
-    gbt = GBTClassifier(featuresCol="features", labelCol=label, seed=42, maxIter=10, stepSize=0.3)
+    rf = forests.BinnedForestClassifier(featuresCol="features", labelCol=label, seed=42)
+    gbt = forests.BinnedGBTClassifier(featuresCol="features", labelCol=label, seed=42, maxIter=10, stepSize=0.3)
     return {
         "logistic": (lr, ParamGridBuilder().addGrid(lr.regParam, [0.0, 0.01]).build()),
         "random_forest": (rf, ParamGridBuilder().addGrid(rf.numTrees, [50]).addGrid(rf.maxDepth, [5, 8]).build()),
@@ -130,7 +130,8 @@ def classifier_search(df: DataFrame, label: str, features: Sequence[str], folds:
     NULL features are imputed with the column mean inside the pipeline.
     """
     prep, data = _prepared(df, label, features)
-    prepared = prep.transform(data)
+    # the folds are cached: only what the fits read
+    prepared = prep.transform(data).select(label, "features")
     results = {}
     grid = _classifier_grid(label)
     for family in families:
