@@ -1,17 +1,19 @@
 """Tree ensembles over many rows: Spark ML's estimators, fitted on binned features.
 
-A tree sees a feature only through the bins between its candidate splits (32 at
-most), so rows with the same bins take the same way through every tree.
-
-* Boosted trees draw nothing at random: they are Spark's own, fitted on one
-  weighted row per combination of bins (its mean label; per label, for a
-  classifier).  The trees are those of the single rows, but for rounding.
+A tree sees a feature only through the bins between its candidate splits (32 or
+so), so rows with the same bins take the same way through every tree.  Up to
+``SPARK_ROWS`` training rows the trees are Spark's own, fitted on the single
+rows.  Beyond:
+
+* Boosted trees draw nothing at random: Spark fits them on one weighted row per
+  combination of bins (its mean label; per label, for a classifier).  The trees
+  are those of the single rows, but for rounding, which may decide between
+  splits of equal gain.
 * Forests draw rows for every tree.  Spark keeps a count per row and tree in
-  memory and passes over it for every level.  Beyond ``SPARK_FOREST_ROWS`` rows
-  the counts are drawn anew in every pass, each task sums its rows per node,
-  feature and bin, and the sums of a tree meet in one reducer, which picks its
-  splits; the driver sees only those.  Same splits, depth and bootstrap, other
-  random draws.  Below that bound the forest is Spark's.
+  memory and passes over it for every level.  Here the counts are drawn anew in
+  every pass, each task sums its rows per node, feature and bin, and the sums of
+  a tree meet in one reducer, which picks its splits; the driver sees only
+  those.  Same splits, depth and bootstrap, other random draws.
 
 Every model returned is an ordinary Spark model over the raw features.
 """
@@ -33,8 +35,8 @@ from pyspark.sql import functions as F
 
 from smelter.session import materialize, scratch_dir
 
-#: Training rows up to which a forest is fitted by Spark itself.
-SPARK_FOREST_ROWS = 200_000
+#: Training rows up to which Spark fits the trees itself.
+SPARK_ROWS = 200_000
 #: Rows summed at a time, and the bytes of sums a task may hold.
 CHUNK_ROWS = 1 << 16
 SUM_BYTES = 32 << 20
@@ -154,7 +156,7 @@ def _fit_boosted(est, df: DataFrame, per_label: bool):
     label, features, seed = est.getLabelCol(), est.getFeaturesCol(), est.getSeed()
     rows, lacking, _, _ = _labels(df, label)
     plain = not est.isSet(est.weightCol) and not est.isSet(est.validationIndicatorCol) and est.getSubsamplingRate() == 1.0
-    if not plain or not rows or lacking:
+    if rows <= SPARK_ROWS or not plain or lacking:
         return JavaEstimator._fit(est, df)
     spark = df.sparkSession
     splits = candidate_splits(df, features, rows, est.getMaxBins(), seed)
@@ -413,7 +415,7 @@ def _fit_forest(est, df: DataFrame, classes: bool):
     plain = (not est.isSet(est.weightCol) and est.getSubsamplingRate() == 1.0
              and est.getMinInfoGain() == 0.0 and est.getMinInstancesPerNode() == 1
              and est.getMinWeightFractionPerNode() == 0.0 and not (classes and est.isSet(est.thresholds)))
-    if rows <= SPARK_FOREST_ROWS or lacking or not plain or (classes and (least, most) != (0.0, 1.0)):
+    if rows <= SPARK_ROWS or lacking or not plain or (classes and (least, most) != (0.0, 1.0)):
         return JavaEstimator._fit(est, df)
     splits = candidate_splits(df, features, rows, est.getMaxBins(), seed)
     offer = _offered(est.getFeatureSubsetStrategy(), len(splits), est.getNumTrees(), classes)

@@ -40,7 +40,8 @@ def fitted_rows(monkeypatch):
     return given
 
 
-def test_boosted_regression_is_that_of_the_single_rows(points, fitted_rows):
+def test_boosted_regression_is_that_of_the_single_rows(points, monkeypatch, fitted_rows):
+    monkeypatch.setattr(forests, "SPARK_ROWS", 0)
     kind = dict(labelCol="y", maxIter=6, seed=42)
     own, binned = GBTRegressor(**kind).fit(points), forests.BinnedGBTRegressor(**kind).fit(points)
     assert _apart(own, binned, points) < 1e-6
@@ -48,7 +49,8 @@ def test_boosted_regression_is_that_of_the_single_rows(points, fitted_rows):
     assert fitted_rows[0] == 24_000 and fitted_rows[1] <= 33 * 33 * 2
 
 
-def test_boosted_classifier_is_that_of_the_single_rows(points, fitted_rows):
+def test_boosted_classifier_is_that_of_the_single_rows(points, monkeypatch, fitted_rows):
+    monkeypatch.setattr(forests, "SPARK_ROWS", 0)
     kind = dict(labelCol="k", maxIter=4, maxDepth=3, stepSize=0.3, seed=42)
     own, binned = GBTClassifier(**kind).fit(points), forests.BinnedGBTClassifier(**kind).fit(points)
     assert _apart(own, binned, points) == 0
@@ -59,7 +61,7 @@ def test_boosted_classifier_is_that_of_the_single_rows(points, fitted_rows):
 
 @pytest.mark.parametrize("label", ["y", "k"])
 def test_tree_of_every_row_is_sparks_tree(points, monkeypatch, label):
-    monkeypatch.setattr(forests, "SPARK_FOREST_ROWS", 0)
+    monkeypatch.setattr(forests, "SPARK_ROWS", 0)
     monkeypatch.setattr(forests, "CHUNK_ROWS", 1 << 11)
     monkeypatch.setattr(forests, "SUM_BYTES", 1)
     kind = dict(labelCol=label, maxDepth=5, seed=42)
@@ -72,8 +74,9 @@ def test_tree_of_every_row_is_sparks_tree(points, monkeypatch, label):
 
 def test_forest_beyond_the_bound(points, monkeypatch, fitted_rows):
     kind = dict(labelCol="y", numTrees=30, maxDepth=6, seed=42)
-    assert forests.BinnedForestRegressor(**kind).fit(points).trees and fitted_rows == [24_000]  # within it: Spark's
-    monkeypatch.setattr(forests, "SPARK_FOREST_ROWS", 10_000)
+    forests.BinnedForestRegressor(**kind).fit(points)
+    assert fitted_rows == [24_000]  # within it: Spark's
+    monkeypatch.setattr(forests, "SPARK_ROWS", 10_000)
     forest, again = (forests.BinnedForestRegressor(**kind).fit(points) for _ in range(2))
     assert max(fitted_rows[1:]) == 2  # Spark sees no training row
     assert len(forest.trees) == 30 and max(t.depth for t in forest.trees) == 6
@@ -95,14 +98,16 @@ def test_draws_are_poisson():
     assert (forests._draw(42, 1, 3, None, 50, table) != forests._draw(42, 0, 3, None, 50, table)).any()
 
 
-def test_values_that_are_not_finite_are_refused(spark):
+def test_values_that_are_not_finite_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(forests, "SPARK_ROWS", 0)
     df = VectorAssembler(inputCols=["x"], outputCol="features", handleInvalid="keep").transform(
         spark.createDataFrame([(1.0, 1.0), (float("inf"), 2.0)], "x double, y double"))
     with pytest.raises(Exception, match="NaN or infinite"):
         forests.BinnedGBTRegressor(labelCol="y").fit(df)
 
 
-def test_a_row_without_label_is_refused(spark):
+def test_a_row_without_label_is_refused(spark, monkeypatch):
+    monkeypatch.setattr(forests, "SPARK_ROWS", 0)
     df = VectorAssembler(inputCols=["x"], outputCol="features").transform(
         spark.createDataFrame([(1.0, 1.0), (2.0, None)], "x double, y double"))
     for kind in (forests.BinnedGBTRegressor, forests.BinnedForestRegressor):
